@@ -18,10 +18,17 @@ from stratum import fixed
 BROADCAST_MAX_ROWS = 100_000
 
 
+def literal_table(spark: SparkSession, rows, names: tuple[str, ...], types: tuple[str, ...]) -> DataFrame:
+    """A small constant table built inside the JVM (no Python workers at run time)."""
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def city_dimension(spark: SparkSession) -> DataFrame:
     """(city, currency, rate): the fixed ten-city reference table."""
-    return spark.createDataFrame(list(fixed.CITY_CURRENCY_RATES),
-                                 "city string, currency string, rate double")
+    return literal_table(spark, fixed.CITY_CURRENCY_RATES, ("city", "currency", "rate"),
+                         ("string", "string", "double"))
 
 
 def sized_broadcast(dim: DataFrame, rows: int | None) -> DataFrame:

@@ -109,18 +109,19 @@ def type_census(df: DataFrame) -> DataFrame:
 
     ``mixed`` is TRUE when more than one class occurs: the distributed
     counterpart of "column holds more than one value type after load".
+    Values are unpivoted to ``(column, value)`` and classified once each;
+    the aggregate is partial per task, so the shuffle carries one row per
+    column per task.
     """
     classes = ("integer", "decimal", "date", "text")
-    aggs = []
-    for c in df.columns:
-        v = F.col(c).cast("string")
-        k = value_class(v)
-        aggs += [F.count_if(v.isNotNull() & (k == F.lit(cls))).alias(f"{c}__{cls}_values")
-                 for cls in classes]
-    metrics = [f"{cls}_values" for cls in classes]
-    long = _long(df.agg(*aggs), df.columns, metrics)
-    used = sum((F.col(m) > 0).cast("int") for m in metrics)
-    return long.withColumn("mixed", used > 1)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
+                      for c in df.columns])
+    classified = df.select(F.inline(pairs)).select(
+        "column_name", F.when(F.col("v").isNotNull(), value_class(F.col("v"))).alias("cls"))
+    counts = classified.groupBy("column_name").agg(
+        *[F.count_if(F.col("cls") == F.lit(cls)).alias(f"{cls}_values") for cls in classes])
+    used = sum((F.col(f"{cls}_values") > 0).cast("int") for cls in classes)
+    return counts.withColumn("mixed", used > 1)
 
 
 def profile_report(df: DataFrame, name: str,

@@ -8,9 +8,12 @@ null tokens, unparseable prices and dates, ``'2.0'`` integers, unmapped
 cities, and the natural key duplicates of ``lineitem``.
 
 Everything is plain column arithmetic on the scans plus equi-joins, so the
-extract scales with the tables: ``customer ⋈ nation ⋈ region`` is joined
-first (nation and region have 25 / 5 rows, the planner broadcasts them by
-their measured size), then joined to ``orders`` on the customer key.
+extract scales with the tables. The joins run in star order: ``orders ⋈
+customer`` on the customer key (a sort-merge join at scale; on small
+inputs the planner broadcasts the side that measures small), then the
+25-row ``nation`` and 5-row ``region``, which the planner broadcasts by
+their measured size. Both big scans are spread (see :func:`spread`) so
+the streamed side never runs as a single task.
 """
 
 from __future__ import annotations
@@ -31,8 +34,33 @@ SCORE_COLUMNS = ("review_scores_rating", "review_scores_accuracy", "review_score
                  "review_scores_value")
 
 
+# Declared schemas of the columns read from each driver table: no schema
+# inference job per read, and only these columns are scanned.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_shipdate timestamp_ntz",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan over the cluster when it arrives in fewer splits than cores.
+
+    A single small Parquet file (one row group) scans as one task, and the
+    per-row parsing downstream would then run on one core. Large inputs
+    already have at least as many splits as cores and are left untouched,
+    so this never adds a shuffle at scale. Hashing on a key keeps the
+    spread deterministic under task retries.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target, key) if df.rdd.getNumPartitions() < target else df
 
 
 def _s(c: Column) -> Column:
@@ -41,15 +69,16 @@ def _s(c: Column) -> Column:
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """33 text columns in loader order, one row per order."""
-    o = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    o = spread(_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+        "o_orderkey")
+    c = spread(_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+               "c_custkey")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    hosts = (c.join(n, c.c_nationkey == n.n_nationkey)
-             .join(r, F.col("n_regionkey") == r.r_regionkey)
-             .select("c_custkey", "c_nationkey", "c_mktsegment", "n_name", "r_name"))
-    j = o.join(hosts, o.o_custkey == hosts.c_custkey)
+    j = (o.join(c, o.o_custkey == c.c_custkey)
+         .join(n, F.col("c_nationkey") == n.n_nationkey)
+         .join(r, F.col("n_regionkey") == r.r_regionkey))
 
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
     city_names = F.array(*[F.lit(x) for x in fixed.CITIES])
@@ -102,7 +131,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4 text columns in loader order, one row per lineitem (key duplicates kept)."""
-    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    li = spread(_table(spark, sf_dir, "lineitem")
+                .select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"), "l_orderkey")
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return li.select(
         _s(k).alias("listing_id"),
