@@ -45,7 +45,7 @@ def build_models(raw_listings: DataFrame, raw_reviews: DataFrame, dim: DataFrame
 
 def run_daily(spark: SparkSession, raw_listings: DataFrame, raw_reviews: DataFrame, root: str,
               as_of: _dt.date | str | None = None, batch_ts: _dt.datetime | str | None = None,
-              log=print) -> dict[str, DataFrame]:
+              min_rows=fixed.GOLD_MIN_ROWS, log=print) -> dict[str, DataFrame]:
     """Profile gate -> raw load -> non-empty gate -> bronze -> silver -> gold -> tests -> row gates.
 
     ``raw_*`` are all-text extracts (e.g. from :func:`read_csv_positional`).
@@ -80,6 +80,6 @@ def run_daily(spark: SparkSession, raw_listings: DataFrame, raw_reviews: DataFra
         models[name] = write_table(df, root, "gold", name)
 
     raise_on_failures(run_data_tests(models))
-    counts = gate_min_rows({name: (models[name], n) for name, n in fixed.GOLD_MIN_ROWS})
+    counts = gate_min_rows({name: (models[name], n) for name, n in min_rows})
     log(f"gold row counts: {counts}")
     return models

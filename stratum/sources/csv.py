@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum import fixed
 from stratum.operators.cleanse import null_tokens
+from stratum.session import shared_dir
 
 CORRUPT = "_corrupt_record"
 
@@ -41,11 +42,12 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
       Spark could parse plus the whole ``line``.
 
     Spark only counts the fields of a line when every column is read; a
-    projection that prunes columns would let malformed lines through. With
-    ``stage_to`` the full parse is written once as Parquet (the raw table
-    of a bulk load) and both outputs read that table, so the split no
-    longer depends on what later stages select. Without it, both outputs
-    keep every column.
+    projection that prunes columns would let malformed lines through (and
+    a query on the corrupt-record column alone is refused). So the full
+    parse is written once as Parquet, the raw table of a bulk load, to
+    ``stage_to`` or a fresh folder under the shared checkpoint directory;
+    both outputs read that table, whatever later stages select. The write
+    also cuts the lineage back to the text files.
 
     ``multiline`` allows quoted line breaks but makes each file one split:
     keep it off for large single files without embedded newlines, or land
@@ -60,9 +62,10 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
            .option("columnNameOfCorruptRecord", CORRUPT)
            .option("enforceSchema", True)
            .csv(path if isinstance(path, str) else list(path)))
-    if stage_to is not None:
-        raw.write.mode("overwrite").parquet(stage_to)
-        raw = spark.read.parquet(stage_to)
+    if stage_to is None:
+        stage_to = shared_dir(spark, "csv-stage")
+    raw.write.mode("overwrite").parquet(stage_to)
+    raw = spark.read.parquet(stage_to)
     good = null_tokens(raw.where(F.col(CORRUPT).isNull()).select(*columns), tokens)
     rejects = (raw.where(F.col(CORRUPT).isNotNull())
                .select(*columns, F.col(CORRUPT).alias("line")))
