@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline being rebuilt is a daily full refresh: each run truncates and
+reloads its raw tables, with no watermark, windowed stream, state or
+late-data handling. There is therefore no streaming operator here; the
+batch loader in :mod:`stratum.sources.csv` covers the ingest.
+"""
