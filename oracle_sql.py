@@ -369,32 +369,42 @@ def _data_tests(kind: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _null_census(threshold: float) -> str:
-    cols = fixed.RAW_LISTING_COLUMNS
+LISTINGS = ("listings_tokens", fixed.RAW_LISTING_COLUMNS)
+REVIEWS = ("reviews_tokens", fixed.RAW_REVIEW_COLUMNS)
+
+
+def _null_census(threshold: float, src=LISTINGS) -> str:
+    table, cols = src
     unpivot = "\nUNION ALL\n".join(
         f"SELECT {_q(c)} AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls, COUNT(*) AS total "
-        f"FROM listings_tokens" for c in cols)
+        f"FROM {table}" for c in cols)
     share = "CAST(nulls AS DOUBLE) / total * 100"
     return (f"SELECT column_name, nulls, {rnd(share, 2)} AS null_pct FROM ({unpivot}) "
             f"WHERE nulls > 0 AND {share} > {threshold!r}")
 
 
-def _value_counts() -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT {_q(c)} AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n "
-        f"FROM listings_tokens GROUP BY {c}" for c in fixed.PROFILE_CATEGORICAL)
+def _present(cols, wanted):
+    return [c for c in wanted if c in cols]
+
+
+def _value_counts(src=LISTINGS) -> str | None:
+    table, cols = src
+    parts = [f"SELECT {_q(c)} AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n "
+             f"FROM {table} GROUP BY {c}" for c in _present(cols, fixed.PROFILE_CATEGORICAL)]
+    return "\nUNION ALL\n".join(parts) if parts else None
 
 
 def _money(c: str) -> str:
     return tdbl(f"regexp_replace(CAST({c} AS VARCHAR), '[$,]', '', 'g')")
 
 
-def _numeric_ranges() -> str:
-    return "\nUNION ALL\n".join(
-        f"SELECT {_q(c)} AS column_name, {rnd(f'MIN({_money(c)})', 2)} AS min_value, "
-        f"{rnd(f'MAX({_money(c)})', 2)} AS max_value, {rnd(f'AVG({_money(c)})', 2)} AS mean_value, "
-        f"COUNT(*) FILTER (WHERE {_money(c)} IS NULL) AS nulls FROM listings_tokens"
-        for c in fixed.PROFILE_NUMERIC)
+def _numeric_ranges(src=LISTINGS) -> str | None:
+    table, cols = src
+    parts = [f"SELECT {_q(c)} AS column_name, {rnd(f'MIN({_money(c)})', 2)} AS min_value, "
+             f"{rnd(f'MAX({_money(c)})', 2)} AS max_value, {rnd(f'AVG({_money(c)})', 2)} AS mean_value, "
+             f"COUNT(*) FILTER (WHERE {_money(c)} IS NULL) AS nulls FROM {table}"
+             for c in _present(cols, fixed.PROFILE_NUMERIC)]
+    return "\nUNION ALL\n".join(parts) if parts else None
 
 
 def _klass(c: str) -> str:
@@ -404,18 +414,54 @@ def _klass(c: str) -> str:
             f"WHEN regexp_full_match({t}, '{DATE}') THEN 'date' ELSE 'text' END")
 
 
-def _type_census() -> str:
+CLASSES = ("integer", "decimal", "date", "text")
+
+
+def _type_census(src=LISTINGS) -> str:
+    table, cols = src
     rows = []
-    for c in fixed.RAW_LISTING_COLUMNS:
+    for c in cols:
         k = _klass(c)
         counts = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {k} = '{cls}') AS {cls}_values"
-                           for cls in ("integer", "decimal", "date", "text"))
-        rows.append(f"SELECT {_q(c)} AS column_name, {counts} FROM listings_tokens")
+                           for cls in CLASSES)
+        rows.append(f"SELECT {_q(c)} AS column_name, {counts} FROM {table}")
     body = "\nUNION ALL\n".join(rows)
-    used = " + ".join(f"CAST({cls}_values > 0 AS INTEGER)" for cls in ("integer", "decimal", "date", "text"))
+    used = " + ".join(f"CAST({cls}_values > 0 AS INTEGER)" for cls in CLASSES)
     return f"SELECT *, ({used}) > 1 AS mixed FROM ({body})"
 
 
+def _duplicates(src) -> str:
+    table, cols = src
+    return (f"SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM ("
+            f"SELECT COUNT(*) AS n FROM {table} GROUP BY {', '.join(cols)})")
+
+
+def _profile(src, name: str) -> str:
+    """Long-format report: (section, column_name, value, metric, amount)."""
+    table, cols = src
+    none = "CAST(NULL AS VARCHAR)"
+
+    def rows(section, frm, column, value, metrics):
+        return [f"SELECT {_q(section)} AS section, {column} AS column_name, {value} AS value, "
+                f"{_q(m)} AS metric, CAST({m} AS DOUBLE) AS amount FROM ({frm})" for m in metrics]
+
+    parts = rows("shape", f"SELECT COUNT(*) AS rows, {len(cols)} AS columns FROM {table}",
+                 none, none, ["rows", "columns"])
+    parts += rows("duplicates", _duplicates(src), none, none, ["duplicate_rows"])
+    parts += rows("nulls", _null_census(0.0, src), "column_name", none, ["nulls", "null_pct"])
+    vc = _value_counts(src)
+    if vc:
+        parts += rows("values", vc, "column_name", "value", ["n"])
+        parts += rows("distinct", f"SELECT column_name, COUNT(value) AS distinct_values FROM ({vc}) "
+                                  f"GROUP BY column_name", "column_name", none, ["distinct_values"])
+    nr = _numeric_ranges(src)
+    if nr:
+        parts += rows("ranges", nr, "column_name", none, ["min_value", "max_value", "mean_value", "nulls"])
+    parts += rows("types", f"SELECT * REPLACE (CAST(mixed AS INTEGER) AS mixed) FROM ({_type_census(src)})",
+                  "column_name", none, [f"{c}_values" for c in CLASSES] + ["mixed"])
+    return "\nUNION ALL\n".join(parts)
+
+
 def _row_gates() -> str:
     parts = ["SELECT 'raw_listings' AS table_name, COUNT(*) AS rows, CAST(1 AS BIGINT) AS min_rows FROM raw_listings",
              "SELECT 'raw_reviews', COUNT(*), CAST(1 AS BIGINT) FROM raw_reviews"]
@@ -458,9 +504,9 @@ def _finals() -> dict[str, str]:
                       f"FROM silver_listings GROUP BY city"),
         "null_summary": _null_census(0.0),
         "null_rate_report": _null_census(fixed.NULL_RATE_REPORT_PCT),
-        "duplicate_rows": ("SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows FROM ("
-                           "SELECT COUNT(*) AS n FROM reviews_tokens "
-                           "GROUP BY listing_id, review_id, date, reviewer_id)"),
+        "duplicate_rows": _duplicates(REVIEWS),
+        "profile_listings": _profile(LISTINGS, "listings"),
+        "profile_reviews": _profile(REVIEWS, "reviews"),
         "value_counts": _value_counts(),
         "distinct_values": (f"SELECT column_name, COUNT(value) AS distinct_values FROM ({_value_counts()}) "
                             f"GROUP BY column_name"),
