@@ -1,0 +1,34 @@
+"""Build static Column lists once per JVM.
+
+Model projections and aggregate lists do not depend on the input
+DataFrame: they are unresolved expressions over column names. Building one
+costs a few JVM round trips per function call, which for the wide models
+adds up to seconds of driver time per query. Lists built here are reused
+across DataFrames (each use is resolved against its own plan). Only
+unresolved, name-based expressions may be cached — never a column bound to
+a specific DataFrame.
+"""
+
+from __future__ import annotations
+
+import functools
+
+from pyspark import SparkContext
+
+
+def jvm_cached(fn):
+    """Memoise ``fn(*hashable_args)`` per running JVM gateway."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        key = (id(SparkContext._jvm), args)
+        try:
+            return cache[key]
+        except KeyError:
+            value = cache[key] = fn(*args)
+            return value
+        except TypeError:  # unhashable argument: build every time
+            return fn(*args)
+
+    return wrapper

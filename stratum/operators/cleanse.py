@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from stratum import fixed
+from stratum.functions.cache import jvm_cached
 
 
 def null_tokens(df: DataFrame, tokens: Iterable[str] = fixed.NULL_TOKENS,
@@ -19,13 +20,15 @@ def null_tokens(df: DataFrame, tokens: Iterable[str] = fixed.NULL_TOKENS,
 
     One projection over the input: no shuffle, stays in whole-stage codegen.
     """
-    tokens = list(tokens)
     targets = set(columns) if columns is not None else {
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    return df.select(*[
-        F.when(~F.col(c).isin(tokens), F.col(c)).alias(c) if c in targets else F.col(c)
-        for c in df.columns
-    ])
+    return df.select(*_token_exprs(tuple(df.columns), frozenset(targets), tuple(tokens)))
+
+
+@jvm_cached
+def _token_exprs(columns: tuple[str, ...], targets: frozenset, tokens: tuple[str, ...]) -> tuple[Column, ...]:
+    return tuple(F.when(~F.col(c).isin(list(tokens)), F.col(c)).alias(c) if c in targets else F.col(c)
+                 for c in columns)
 
 
 def with_load_time(df: DataFrame, batch_ts: _dt.datetime | str | None = None) -> DataFrame:

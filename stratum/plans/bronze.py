@@ -7,9 +7,10 @@ deduplication shuffles (by ``review_id``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions.cache import jvm_cached
 from stratum.functions.parse import flag, percent, strict_int, try_date, try_double, try_number
 from stratum.operators.dedupe import keep_first
 
@@ -20,8 +21,13 @@ LISTING_SCORE_COLUMNS = ("review_scores_rating", "review_scores_accuracy", "revi
 
 def bronze_listings(raw: DataFrame) -> DataFrame:
     """raw_listings (text + loaded_at) -> 35 typed columns; rows without a raw id dropped."""
+    return raw.where(F.col("listing_id").isNotNull()).select(*_listing_exprs())
+
+
+@jvm_cached
+def _listing_exprs() -> tuple[Column, ...]:
     c = F.col
-    return raw.where(c("listing_id").isNotNull()).select(
+    return (
         try_number("listing_id").alias("listing_id"),
         try_number("host_id").alias("host_id"),
         c("name").alias("listing_name"),
@@ -54,6 +60,15 @@ def bronze_listings(raw: DataFrame) -> DataFrame:
     )
 
 
+@jvm_cached
+def _review_exprs() -> tuple[Column, ...]:
+    return (strict_int("listing_id", "listing_id").alias("listing_id"),
+            strict_int("review_id", "review_id").alias("review_id"),
+            try_date("date").alias("review_date"),
+            strict_int("reviewer_id", "reviewer_id").alias("reviewer_id"),
+            F.col("loaded_at"))
+
+
 def bronze_reviews(raw: DataFrame) -> DataFrame:
     """raw_reviews -> typed, one row per review_id.
 
@@ -63,11 +78,7 @@ def bronze_reviews(raw: DataFrame) -> DataFrame:
     """
     c = F.col
     typed = (raw.where(c("listing_id").isNotNull() & c("review_id").isNotNull())
-             .select(strict_int("listing_id", "listing_id").alias("listing_id"),
-                     strict_int("review_id", "review_id").alias("review_id"),
-                     try_date("date").alias("review_date"),
-                     strict_int("reviewer_id", "reviewer_id").alias("reviewer_id"),
-                     c("loaded_at")))
+             .select(*_review_exprs()))
     order = [c("loaded_at").asc_nulls_last(), c("review_date").asc_nulls_last(),
              c("reviewer_id").asc_nulls_last(), c("listing_id").asc_nulls_last()]
     return keep_first(typed, ["review_id"], order).select(

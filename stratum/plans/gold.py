@@ -11,10 +11,11 @@ most ~1.1 million entries per group no matter how many rows a group has.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum import fixed
+from stratum.functions.cache import jvm_cached
 from stratum.functions.measures import avg_nonzero, count_when, distinct_if, ratio, round_dec
 
 c = F.col
@@ -34,9 +35,10 @@ def _tier_counts(suffix: str) -> list:
             for n, cat in zip(names, fixed.PRICE_CATEGORIES)]
 
 
-def fct_revenue_by_city(listings: DataFrame, order: bool = True) -> DataFrame:
+@jvm_cached
+def _fct_revenue_by_city_aggs() -> tuple[Column, ...]:
     superhost, instant = c("host_is_superhost"), c("instant_bookable")
-    out = listings.groupBy("city", "currency").agg(
+    return (
         F.count_distinct("listing_id").alias("total_listings"),
         F.count_distinct("host_id").alias("total_hosts"),
         distinct_if(superhost, c("host_id")).alias("superhost_count"),
@@ -52,12 +54,18 @@ def fct_revenue_by_city(listings: DataFrame, order: bool = True) -> DataFrame:
         distinct_if(instant, c("listing_id")).alias("instant_bookable_count"),
         ratio(distinct_if(instant, c("listing_id")), F.count_distinct("listing_id")).alias("instant_bookable_pct"),
         *_tier_counts("listings"),
-    ).withColumn("updated_at", F.current_timestamp())
+    )
+
+
+def fct_revenue_by_city(listings: DataFrame, order: bool = True) -> DataFrame:
+    out = listings.groupBy("city", "currency").agg(*_fct_revenue_by_city_aggs()).withColumn(
+        "updated_at", F.current_timestamp())
     return out.orderBy(F.desc("total_listings")) if order else out
 
 
-def fct_superhost_performance(listings: DataFrame, order: bool = True) -> DataFrame:
-    out = listings.groupBy("city", "host_type", "host_is_superhost").agg(
+@jvm_cached
+def _fct_superhost_performance_aggs() -> tuple[Column, ...]:
+    return (
         F.count_distinct("host_id").alias("total_hosts"),
         F.count_distinct("listing_id").alias("total_listings"),
         *_price_stats(),
@@ -73,10 +81,27 @@ def fct_superhost_performance(listings: DataFrame, order: bool = True) -> DataFr
         round_dec(F.avg("minimum_nights"), 1).alias("avg_minimum_nights"),
         ratio(count_when(c("instant_bookable")), F.count(F.lit(1))).alias("instant_bookable_pct"),
         *_tier_counts("count"),
-    ).withColumn("updated_at", F.current_timestamp())
+    )
+
+
+def fct_superhost_performance(listings: DataFrame, order: bool = True) -> DataFrame:
+    out = (listings.groupBy("city", "host_type", "host_is_superhost")
+           .agg(*_fct_superhost_performance_aggs())
+           .withColumn("updated_at", F.current_timestamp()))
     return out.orderBy("city", F.desc("host_is_superhost")) if order else out
 
 
+@jvm_cached
+def _fct_seasonal_trends_aggs() -> tuple[Column, ...]:
+    return (
+        F.count("review_id").alias("total_reviews"),
+        F.count_distinct("listing_id").alias("active_listings"),
+        F.count_distinct("reviewer_id").alias("unique_reviewers"),
+        ratio(F.count("review_id"), F.count_distinct("listing_id"), pct=False)
+        .alias("avg_reviews_per_listing"),
+    )
+
+
 def fct_seasonal_trends(reviews: DataFrame, listings: DataFrame, order: bool = True) -> DataFrame:
     """Reviews of surviving listings by month, room type and price tier.
 
@@ -92,19 +117,14 @@ def fct_seasonal_trends(reviews: DataFrame, listings: DataFrame, order: bool = T
     joined = r.join(lst, "listing_id", "inner")
     keys = ["city", "year_number", "month_number", "month_name", "quarter_number", "season",
             "room_type", "price_category"]
-    out = joined.groupBy(*keys).agg(
-        F.count("review_id").alias("total_reviews"),
-        F.count_distinct("listing_id").alias("active_listings"),
-        F.count_distinct("reviewer_id").alias("unique_reviewers"),
-        ratio(F.count("review_id"), F.count_distinct("listing_id"), pct=False)
-        .alias("avg_reviews_per_listing"),
-    ).withColumn("updated_at", F.current_timestamp())
+    out = joined.groupBy(*keys).agg(*_fct_seasonal_trends_aggs()).withColumn(
+        "updated_at", F.current_timestamp())
     return out.orderBy("city", "year_number", "month_number") if order else out
 
 
-def fct_price_vs_rating(listings: DataFrame, order: bool = True) -> DataFrame:
-    rated = listings.where((c("price_usd") > 0) & (c("review_scores_rating") > 0))
-    out = rated.groupBy("city", "room_type", "property_type", "price_category").agg(
+@jvm_cached
+def _fct_price_vs_rating_aggs() -> tuple[Column, ...]:
+    return (
         F.count_distinct("listing_id").alias("total_listings"),
         F.count_distinct("host_id").alias("total_hosts"),
         *_price_stats(),
@@ -118,5 +138,12 @@ def fct_price_vs_rating(listings: DataFrame, order: bool = True) -> DataFrame:
         ratio(count_when(c("host_is_superhost")), F.count(F.lit(1))).alias("superhost_pct"),
         round_dec(F.avg("host_response_rate_pct"), 2).alias("avg_response_rate"),
         ratio(count_when(c("instant_bookable")), F.count(F.lit(1))).alias("instant_bookable_pct"),
-    ).withColumn("updated_at", F.current_timestamp())
+    )
+
+
+def fct_price_vs_rating(listings: DataFrame, order: bool = True) -> DataFrame:
+    rated = listings.where((c("price_usd") > 0) & (c("review_scores_rating") > 0))
+    out = (rated.groupBy("city", "room_type", "property_type", "price_category")
+           .agg(*_fct_price_vs_rating_aggs())
+           .withColumn("updated_at", F.current_timestamp()))
     return out.orderBy("city", "price_category", "room_type") if order else out

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum import fixed
+from stratum.functions.cache import jvm_cached
 from stratum.functions.dates import as_date, date_dimension, years_between
 from stratum.functions.measures import round_dec
 from stratum.functions.tiers import label, tier
@@ -47,9 +48,15 @@ def silver_listings(bronze: DataFrame, dim: DataFrame,
         & in_dimension(c("city")))
     mapped = lookup_normalise(base, dim, key="city", amount="price_raw", code_out="currency",
                               amount_out="__price_usd", dim_rows=dim_rows)
+    return mapped.select(*_listing_exprs(as_of))
+
+
+@jvm_cached
+def _listing_exprs(as_of) -> tuple[Column, ...]:
+    c = F.col
     d = defaulted(LISTING_DEFAULTS)
     keep = lambda name: d.get(name, c(name))
-    return mapped.select(
+    return (
         c("listing_id"), c("listing_name"), c("host_id"), c("host_since_date"), c("host_location"),
         c("host_listings_count"), c("host_is_superhost"), c("host_identity_verified"),
         c("host_has_profile_pic"), c("instant_bookable"),

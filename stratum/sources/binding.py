@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum import fixed
+from stratum.functions.cache import jvm_cached
 from stratum.sources.csv import write_csv
 
 # Orders whose key is divisible by these land as malformed CSV lines when
@@ -67,19 +68,9 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """33 text columns in loader order, one row per order."""
-    o = spread(_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-        "o_orderkey")
-    c = spread(_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
-               "c_custkey")
-    n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    j = (o.join(c, o.o_custkey == c.c_custkey)
-         .join(n, F.col("c_nationkey") == n.n_nationkey)
-         .join(r, F.col("n_regionkey") == r.r_regionkey))
-
+@jvm_cached
+def _listing_exprs() -> tuple[Column, ...]:
+    """The 33 text columns of the extract, over the joined order/customer/nation/region row."""
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
     city_names = F.array(*[F.lit(x) for x in fixed.CITIES])
     city = F.when(F.col("c_nationkey") < len(fixed.CITIES),
@@ -126,15 +117,28 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "instant_bookable": F.when(k % 5 < 2, F.lit("t")).otherwise(F.lit("f")),
     }
     assert tuple(cols) == fixed.RAW_LISTING_COLUMNS
-    return j.select(*[v.alias(name) for name, v in cols.items()])
+    return tuple(v.alias(name) for name, v in cols.items())
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """4 text columns in loader order, one row per lineitem (key duplicates kept)."""
-    li = spread(_table(spark, sf_dir, "lineitem")
-                .select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"), "l_orderkey")
+def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """33 text columns in loader order, one row per order."""
+    o = spread(_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+        "o_orderkey")
+    c = spread(_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+               "c_custkey")
+    n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    j = (o.join(c, o.o_custkey == c.c_custkey)
+         .join(n, F.col("c_nationkey") == n.n_nationkey)
+         .join(r, F.col("n_regionkey") == r.r_regionkey))
+    return j.select(*_listing_exprs())
+
+
+@jvm_cached
+def _review_exprs() -> tuple[Column, ...]:
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    return li.select(
+    return (
         _s(k).alias("listing_id"),
         _s(k * 10 + ln).alias("review_id"),
         F.when((k + ln) % 211 == 0, F.lit("2024-02-30"))
@@ -143,6 +147,13 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4 text columns in loader order, one row per lineitem (key duplicates kept)."""
+    li = spread(_table(spark, sf_dir, "lineitem")
+                .select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"), "l_orderkey")
+    return li.select(*_review_exprs())
+
+
 def malformed_key(listing_id: Column) -> Column:
     k = listing_id.cast("bigint")
     return (k % EXTRA_FIELD_EVERY == 0) | (k % MISSING_FIELDS_EVERY == 0)
