@@ -20,6 +20,7 @@ from stratum.functions.measures import round_dec
 from stratum.functions.parse import ISO_DATE_PATTERN, NUMERIC_PATTERN, money
 
 INTEGER_PATTERN = r"^[+-]?\d+$"
+RANGES_SCHEMA = "column_name string, min_value double, max_value double, mean_value double, nulls bigint"
 
 
 def _empty(df: DataFrame, schema: str) -> DataFrame:
@@ -39,21 +40,41 @@ def shape(df: DataFrame, name: str) -> DataFrame:
         F.lit(name).alias("table_name"), "rows", F.lit(len(df.columns)).alias("columns"))
 
 
+def _summary(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """One-row aggregate: row count, nulls per column, ranges of the numeric columns."""
+    aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in df.columns]
+    for c in numeric:
+        v = money(F.col(c))
+        aggs += [F.min(v).alias(f"{c}__min_value"), F.max(v).alias(f"{c}__max_value"),
+                 F.avg(v).alias(f"{c}__mean_value"), F.count_if(v.isNull()).alias(f"{c}__bad")]
+    return df.agg(*aggs)
+
+
+def _nulls_from(summary: DataFrame, columns: Sequence[str], threshold_pct: float) -> DataFrame:
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nulls").alias("nulls"),
+                     F.col("__rows").alias("rows")) for c in columns]
+    long = summary.select(F.inline(F.array(*rows)))
+    share = F.col("nulls") / F.col("rows") * F.lit(100)
+    return (long.where((F.col("nulls") > 0) & (share > F.lit(threshold_pct)))
+            .select("column_name", "nulls", round_dec(share, 2).alias("null_pct")))
+
+
+def _ranges_from(summary: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    rows = [F.struct(F.lit(c).alias("column_name"),
+                     *[round_dec(F.col(f"{c}__{m}"), 2).alias(m)
+                       for m in ("min_value", "max_value", "mean_value")],
+                     F.col(f"{c}__bad").alias("nulls")) for c in numeric]
+    return summary.select(F.inline(F.array(*rows)))
+
+
 def null_summary(df: DataFrame, threshold_pct: float = 0.0) -> DataFrame:
     """``(column_name, nulls, null_pct)`` for columns whose null share is above the threshold.
 
     ``null_pct`` is rounded to 2 places; the threshold compares the unrounded share
     and is strict. Columns without nulls are never listed.
     """
-    cols = df.columns
-    agg = df.agg(F.count(F.lit(1)).alias("__rows"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in cols])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__nulls").alias("nulls"),
-                     F.col("__rows").alias("rows")) for c in cols]
-    long = agg.select(F.inline(F.array(*rows)))
-    share = F.col("nulls") / F.col("rows") * F.lit(100)
-    return (long.where((F.col("nulls") > 0) & (share > F.lit(threshold_pct)))
-            .select("column_name", "nulls", round_dec(share, 2).alias("null_pct")))
+    return _nulls_from(_summary(df, ()), df.columns, threshold_pct)
 
 
 def value_counts(df: DataFrame, columns: Iterable[str] = fixed.PROFILE_CATEGORICAL) -> DataFrame:
@@ -76,17 +97,8 @@ def numeric_ranges(df: DataFrame, columns: Iterable[str] = fixed.PROFILE_NUMERIC
     """``(column_name, min_value, max_value, mean_value, nulls)`` after money coercion."""
     present = [c for c in columns if c in df.columns]
     if not present:
-        return _empty(df, "column_name string, min_value double, max_value double, "
-                          "mean_value double, nulls bigint")
-    aggs: list[Column] = []
-    for c in present:
-        v = money(F.col(c))
-        aggs += [F.min(v).alias(f"{c}__min_value"), F.max(v).alias(f"{c}__max_value"),
-                 F.avg(v).alias(f"{c}__mean_value"), F.count_if(v.isNull()).alias(f"{c}__nulls")]
-    long = _long(df.agg(*aggs), present, ["min_value", "max_value", "mean_value", "nulls"])
-    return long.select("column_name",
-                       *[round_dec(F.col(m), 2).alias(m) for m in ("min_value", "max_value", "mean_value")],
-                       "nulls")
+        return _empty(df, RANGES_SCHEMA)
+    return _ranges_from(_summary(df, present), present)
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -136,14 +148,20 @@ def profile_report(df: DataFrame, name: str,
                             value.alias("value"), F.inline(pairs))
 
     none = F.lit(None).cast("string")
+    present = [c for c in numeric if c in df.columns]
+    # shape, null census and ranges share one aggregate (its exchange is reused)
+    summary = _summary(df, present)
     counts = value_counts(df, categorical)
+    ranges = _ranges_from(summary, present) if present else _empty(df, RANGES_SCHEMA)
     parts = [
-        rows(shape(df, name), "shape", none, none, ["rows", "columns"]),
+        rows(summary.select(F.col("__rows").alias("rows"), F.lit(len(df.columns)).alias("columns")),
+             "shape", none, none, ["rows", "columns"]),
         rows(duplicate_rows(df), "duplicates", none, none, ["duplicate_rows"]),
-        rows(null_summary(df), "nulls", F.col("column_name"), none, ["nulls", "null_pct"]),
+        rows(_nulls_from(summary, df.columns, 0.0), "nulls", F.col("column_name"), none,
+             ["nulls", "null_pct"]),
         rows(counts, "values", F.col("column_name"), F.col("value"), ["n"]),
         rows(distinct_counts(counts), "distinct", F.col("column_name"), none, ["distinct_values"]),
-        rows(numeric_ranges(df, numeric), "ranges", F.col("column_name"), none,
+        rows(ranges, "ranges", F.col("column_name"), none,
              ["min_value", "max_value", "mean_value", "nulls"]),
         rows(type_census(df).withColumn("mixed", F.col("mixed").cast("int")), "types",
              F.col("column_name"), none,

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from stratum import fixed
 from stratum.functions.cache import jvm_cached
+from stratum.session import shared_dir
 from stratum.sources.csv import write_csv
 
 # Orders whose key is divisible by these land as malformed CSV lines when
@@ -51,7 +52,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str, barrier: bool = False) -> DataFrame:
     """Hash-spread a scan over the cluster when it arrives in fewer splits than cores.
 
     A single small Parquet file (one row group) scans as one task, and the
@@ -59,9 +60,22 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     already have at least as many splits as cores and are left untouched,
     so this never adds a shuffle at scale. Hashing on a key keeps the
     spread deterministic under task retries.
+
+    Catalyst pushes later filters through a repartition, which would put
+    the filters' parsing back on the single scan task. With ``barrier`` the
+    (small) spread input is checkpointed to the shared checkpoint folder,
+    which filters cannot cross.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target, key) if df.rdd.getNumPartitions() < target else df
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    spread_df = df.repartition(target, key)
+    if barrier:
+        if not spark.sparkContext.getCheckpointDir():
+            shared_dir(spark)  # sets a checkpoint folder only where none is configured
+        spread_df = spread_df.checkpoint(eager=True)
+    return spread_df
 
 
 def _s(c: Column) -> Column:
@@ -124,7 +138,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """33 text columns in loader order, one row per order."""
     o = spread(_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-        "o_orderkey")
+        "o_orderkey", barrier=True)
     c = spread(_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
                "c_custkey")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
