@@ -107,6 +107,16 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
+def ordered_nulls(nulls: DataFrame) -> DataFrame:
+    """Presentation order of a null census: most nulls first (ties by name)."""
+    return nulls.orderBy(F.desc("nulls"), "column_name")
+
+
+def ordered_values(counts: DataFrame) -> DataFrame:
+    """Presentation order of value frequencies: per column, most frequent first."""
+    return counts.orderBy("column_name", F.desc("n"), F.asc_nulls_last("value"))
+
+
 def value_class(v: Column) -> Column:
     """'integer' | 'decimal' | 'date' | 'text' for a non-null text value."""
     t = F.trim(v)

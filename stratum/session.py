@@ -35,10 +35,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     only set here (to a new temporary folder) when the session has none,
     which is the local-test case.
     """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="stratum-ckpt-")
-        sc.setCheckpointDir(base)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None:
         base = sc.getCheckpointDir() or base
+        if not base:
+            base = tempfile.mkdtemp(prefix="stratum-ckpt-")
+            sc.setCheckpointDir(base)
+            base = sc.getCheckpointDir() or base
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set")
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])

@@ -72,6 +72,19 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
     return good, rejects
 
 
+def read_csv_named(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
+                   multiline: bool = False) -> DataFrame:
+    """Header-named scan for profiling: every column as text, names from the header.
+
+    No type inference (it would cost a full extra pass over the files);
+    profiling classifies the text itself.
+    """
+    return (spark.read.option("header", True).option("inferSchema", False)
+            .option("quote", '"').option("escape", '"')
+            .option("multiLine", multiline).option("encoding", encoding)
+            .csv(path if isinstance(path, str) else list(path)))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write text columns in the same dialect the loader reads (header in every part file)."""
     (df.write.mode(mode)

@@ -116,3 +116,12 @@ def test_gates(spark):
     assert len(fixed.DATA_TESTS) == 40
     kinds = [t[2] for t in fixed.DATA_TESTS]
     assert (kinds.count("not_null"), kinds.count("unique"), kinds.count("accepted_values")) == (28, 3, 9)
+
+
+def test_presentation_order(frames):
+    df, _ = frames
+    nulls = [r.column_name for r in profile.ordered_nulls(profile.null_summary(df)).collect()]
+    assert nulls == ["bedrooms", "city", "host_is_superhost", "misc", "room_type"]  # all 1 null: by name
+    counts = [r.n for r in profile.ordered_values(profile.value_counts(df)).collect()
+              if r.column_name == "room_type"]
+    assert counts == sorted(counts, reverse=True)

@@ -75,3 +75,11 @@ def test_layer_routing_and_full_refresh(spark, scratch):
     write_table(df, scratch, "bronze", "t")
     again = write_table(df, scratch, "bronze", "t")   # overwrite, not append
     assert again.count() == 5
+
+
+def test_csv_named_scan_for_profiling(spark, scratch):
+    path = _write(scratch, "Listings_utf8.csv", 'city,price\nParis,"$1,200"\nRome,NA\n')
+    from stratum.sources.csv import read_csv_named
+    df = read_csv_named(spark, path)
+    assert df.columns == ["city", "price"]
+    assert [tuple(r) for r in df.collect()] == [("Paris", "$1,200"), ("Rome", "NA")]
