@@ -28,9 +28,6 @@ class GateError(RuntimeError):
     """A data gate or data test failed; the run must stop."""
 
 
-_SCHEMA = "test_id int, model string, column_name string, test_name string, failures bigint"
-
-
 def _row(test_id: int, model: str, column: str, test: str, failures) -> list:
     return [F.lit(test_id).cast("int").alias("test_id"), F.lit(model).alias("model"),
             F.lit(column).alias("column_name"), F.lit(test).alias("test_name"),

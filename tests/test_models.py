@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import listing_row, raw_listings_df, raw_reviews_df
 from stratum.operators.lookup import city_dimension, lookup_normalise
