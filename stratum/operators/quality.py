@@ -7,8 +7,8 @@ test_name, failures)`` with the usual semantics of column tests:
 * ``unique``: non-null values that occur more than once;
 * ``accepted_values``: distinct non-null values outside the list.
 
-All ``not_null`` tests of one table share a single aggregate pass; each
-``unique`` / ``accepted_values`` test is one map-side-combined group-by.
+All ``not_null`` and ``accepted_values`` tests of one table share a single
+aggregate pass; each ``unique`` test is one map-side-combined group-by.
 Gates are the only actions: they collect a handful of counts, never rows.
 """
 
@@ -54,29 +54,49 @@ def accepted_values(df: DataFrame, model: str, column: str, values: Iterable[Any
     return bad.agg(*_row(test_id, model, column, "accepted_values", F.count(F.lit(1))))
 
 
+def column_tests(df: DataFrame, model: str, tests: Sequence[tuple[int, str, str, Any]]) -> DataFrame:
+    """All ``not_null`` and ``accepted_values`` tests of one table in a single aggregate pass.
+
+    ``tests`` = [(test_id, column, test_name, accepted_values_or_None)]. An
+    accepted-values failure count is ``COUNT(DISTINCT bad value)``; Catalyst
+    plans several of them as one Expand whose first aggregation groups by
+    (test, value), so the shuffle carries distinct values, not rows.
+    """
+    aggs = []
+    for i, column, test, arg in tests:
+        col = F.col(column)
+        if test == "not_null":
+            aggs.append(F.count_if(col.isNull()).alias(f"__{i}"))
+        elif test == "accepted_values":
+            aggs.append(F.count_distinct(F.when(~col.isin(list(arg)), col)).alias(f"__{i}"))
+        else:
+            raise ValueError(f"not a column test: {test}")
+    rows = [F.struct(*_row(i, model, column, test, F.col(f"__{i}"))) for i, column, test, _ in tests]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def run_data_tests(models: Mapping[str, DataFrame],
                    tests: Sequence[tuple[str, str, str, Any]] = fixed.DATA_TESTS,
                    kinds: Iterable[str] | None = None) -> DataFrame:
     """Run every test of ``tests`` whose model is in ``models``; one row per test.
 
     ``test_id`` is the 1-based position in ``tests``; ``kinds`` keeps only some test types.
+    Per table, not_null and accepted_values tests share one pass; each unique test is
+    one map-side-combined group-by.
     """
     kinds = None if kinds is None else set(kinds)
+    per_table: dict[str, list[tuple[int, str, str, Any]]] = {}
     parts: list[DataFrame] = []
-    nn: dict[str, list[tuple[int, str]]] = {}
     for i, (model, column, test, arg) in enumerate(tests, start=1):
         if model not in models or (kinds is not None and test not in kinds):
             continue
-        df = models[model]
-        if test == "not_null":
-            nn.setdefault(model, []).append((i, column))
-        elif test == "unique":
-            parts.append(unique(df, model, column, i))
-        elif test == "accepted_values":
-            parts.append(accepted_values(df, model, column, arg, i))
+        if test == "unique":
+            parts.append(unique(models[model], model, column, i))
+        elif test in ("not_null", "accepted_values"):
+            per_table.setdefault(model, []).append((i, column, test, arg))
         else:
             raise ValueError(f"unknown test {test}")
-    parts = [not_null(models[m], m, cols) for m, cols in nn.items()] + parts
+    parts = [column_tests(models[m], m, ts) for m, ts in per_table.items()] + parts
     if not parts:
         raise ValueError("no tests for the given models")
     out = parts[0]
