@@ -142,7 +142,10 @@ def gate_non_empty(tables: Mapping[str, DataFrame]) -> None:
 
 def gate_coverage(df: DataFrame, key: str, dim: DataFrame, show: int = 20) -> None:
     """Raise when a non-null key value has no dimension row (schema drift guard)."""
-    missing = uncovered(df, key, dim).orderBy(key).limit(show).collect()
-    if missing:
-        names = ", ".join(f"{r[key]} ({r['rows']} rows)" for r in missing)
-        raise GateError(f"{key} values not covered by the lookup: {names}")
+    missing = uncovered(df, key, dim)
+    total = missing.count()
+    if total:
+        shown = missing.orderBy(key).limit(show).collect()  # message only; the gate counted all
+        names = ", ".join(f"{r[key]} ({r['rows']} rows)" for r in shown)
+        more = f" and {total - len(shown)} more" if total > len(shown) else ""
+        raise GateError(f"{total} {key} values not covered by the lookup: {names}{more}")
