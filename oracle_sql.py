@@ -478,6 +478,7 @@ def _finals() -> dict[str, str]:
     return {
         "bronze_listings": _except("bronze_listings", "loaded_at"),
         "bronze_reviews_dedupe": _except("bronze_reviews", "loaded_at"),
+        "bronze_reviews_table": _except("bronze_reviews", "loaded_at"),
         "silver_listings": _except("silver_listings", "loaded_at"),
         "silver_reviews": _except("silver_reviews", "loaded_at"),
         "fct_revenue_by_city": "SELECT * FROM fct_revenue_by_city",

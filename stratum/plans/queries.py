@@ -30,6 +30,7 @@ from stratum.session import shared_dir
 from stratum.sources import binding
 from stratum.sources.csv import read_csv_positional
 from stratum.sources.presence import source_presence
+from stratum.sources.tables import write_table
 
 AS_OF = "2025-01-01"
 BATCH_TS = "2025-01-01 06:00:00"
@@ -95,6 +96,14 @@ def q_fct_price_vs_rating(spark, sf_dir):
 
 # --- single operators -------------------------------------------------------------
 
+def q_bronze_reviews_table(spark, sf_dir):
+    """Full-refresh materialisation: the table is written twice, the re-run replaces it."""
+    root = shared_dir(spark, "tables")
+    df = bronze_reviews(raw_reviews(spark, sf_dir))
+    write_table(df, root, " bronze ", "bronze_reviews")
+    return write_table(df, root, "bronze", "bronze_reviews").drop("loaded_at")
+
+
 def q_years_active(spark, sf_dir):
     b = bronze_listings(raw_listings(spark, sf_dir))
     return b.select("listing_id", "host_since_date",
@@ -223,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "fct_superhost_performance": q_fct_superhost_performance,
     "fct_seasonal_trends": q_fct_seasonal_trends,
     "fct_price_vs_rating": q_fct_price_vs_rating,
+    "bronze_reviews_table": q_bronze_reviews_table,
     "years_active": q_years_active,
     "null_tokens": q_null_tokens,
     "csv_load_good": q_csv_load_good,
