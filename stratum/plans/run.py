@@ -23,7 +23,9 @@ from stratum.plans.bronze import bronze_listings, bronze_reviews
 from stratum.plans.gold import (fct_price_vs_rating, fct_revenue_by_city, fct_seasonal_trends,
                                 fct_superhost_performance)
 from stratum.plans.silver import silver_listings, silver_reviews
-from stratum.sources.tables import register_view, write_table
+from stratum.sources.csv import read_csv_positional
+from stratum.sources.presence import require_sources
+from stratum.sources.tables import layer_path, register_view, write_table
 
 
 def build_models(raw_listings: DataFrame, raw_reviews: DataFrame, dim: DataFrame,
@@ -83,3 +85,29 @@ def run_daily(spark: SparkSession, raw_listings: DataFrame, raw_reviews: DataFra
     counts = gate_min_rows({name: (models[name], n) for name, n in min_rows})
     log(f"gold row counts: {counts}")
     return models
+
+
+def run_from_landing(spark: SparkSession, landing_dir: str, root: str,
+                     as_of: _dt.date | str | None = None, batch_ts: _dt.datetime | str | None = None,
+                     sources: tuple[str, str] = fixed.REQUIRED_SOURCES, encoding: str = "UTF-8",
+                     min_rows=fixed.GOLD_MIN_ROWS, log=print) -> dict[str, DataFrame]:
+    """The whole daily run from a landing folder of CSV files.
+
+    Presence gate on ``sources`` (listings, reviews) -> positional CSV loads
+    with quarantine -> :func:`run_daily`. Malformed lines are logged as a
+    count and kept under ``root``/QUARANTINE; they do not stop the load.
+    """
+    require_sources(spark, landing_dir, sources)
+    base = landing_dir.rstrip("/")
+    listings, listing_rejects = read_csv_positional(
+        spark, f"{base}/{sources[0]}", fixed.RAW_LISTING_COLUMNS, encoding=encoding,
+        stage_to=layer_path(root, "quarantine", "listings_parsed"))
+    reviews, review_rejects = read_csv_positional(
+        spark, f"{base}/{sources[1]}", fixed.RAW_REVIEW_COLUMNS, encoding=encoding,
+        stage_to=layer_path(root, "quarantine", "reviews_parsed"))
+    for name, rejects in (("listings", listing_rejects), ("reviews", review_rejects)):
+        n = rejects.count()
+        if n:
+            log(f"{name}: {n} malformed lines skipped")
+    return run_daily(spark, listings, reviews, root, as_of=as_of, batch_ts=batch_ts,
+                     min_rows=min_rows, log=log)

@@ -12,12 +12,13 @@ from stratum.operators.quality import GateError
 
 
 def listed_paths(spark: SparkSession, directory: str) -> DataFrame:
-    """``(path)`` of every file directly under ``directory`` (any Hadoop FS URI).
+    """``(path)`` of every file under ``directory`` (any Hadoop FS URI).
 
     Only the path column is selected, so file contents are never read; the
     listing itself is parallelised by Spark for large directories.
     """
-    return spark.read.format("binaryFile").load(directory).select("path")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .load(directory).select("path"))
 
 
 def source_presence(spark: SparkSession, directory: str,

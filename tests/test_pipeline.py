@@ -68,3 +68,24 @@ def test_every_query_matches_oracle_at_small_scale(spark):
     bad = {k: v for k, v in res.items() if v not in ("ok", "no-oracle")}
     assert not bad, bad
     assert sum(v == "ok" for v in res.values()) >= 27
+
+
+def test_run_from_landing_csv(spark, scratch):
+    import os
+    from stratum.plans.run import run_from_landing
+    from stratum.sources.csv import write_csv
+    listings, reviews = _clean_inputs(spark)
+    landing = os.path.join(scratch, "landing")
+    write_csv(listings, os.path.join(landing, "Listings_utf8.csv"))
+    write_csv(reviews, os.path.join(landing, "Reviews_utf8.csv"))
+    logs = []
+    models = run_from_landing(spark, landing, os.path.join(scratch, "out"), as_of=Q.AS_OF,
+                              batch_ts=Q.BATCH_TS, log=logs.append)
+    direct = run_daily(spark, listings, reviews, os.path.join(scratch, "direct"), as_of=Q.AS_OF,
+                       batch_ts=Q.BATCH_TS, log=lambda *_: None)
+    for name in ("fct_revenue_by_city", "fct_seasonal_trends"):
+        a = sorted(map(tuple, models[name].drop("updated_at").collect()))
+        b = sorted(map(tuple, direct[name].drop("updated_at").collect()))
+        assert a == b
+    with pytest.raises(GateError, match="Reviews_utf8.csv"):
+        run_from_landing(spark, os.path.join(landing, "Listings_utf8.csv"), os.path.join(scratch, "x"))
