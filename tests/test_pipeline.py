@@ -89,3 +89,18 @@ def test_run_from_landing_csv(spark, scratch):
         assert a == b
     with pytest.raises(GateError, match="Reviews_utf8.csv"):
         run_from_landing(spark, os.path.join(landing, "Listings_utf8.csv"), os.path.join(scratch, "x"))
+
+
+def test_results_do_not_depend_on_session_settings(spark):
+    import oracle_check
+    keys = {"spark.sql.ansi.enabled": "false", "spark.sql.session.timeZone": "America/Los_Angeles"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        res = oracle_check.compare(spark, SF_SMALL, ["bronze_listings", "silver_reviews",
+                                                     "fct_revenue_by_city", "years_active"], verbose=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert set(res.values()) == {"ok"}, res
