@@ -436,7 +436,7 @@ def _duplicates(src) -> str:
             f"SELECT COUNT(*) AS n FROM {table} GROUP BY {', '.join(cols)})")
 
 
-def _profile(src, name: str) -> str:
+def _profile(src, name: str, coverage_key: str | None = None) -> str:
     """Long-format report: (section, column_name, value, metric, amount)."""
     table, cols = src
     none = "CAST(NULL AS VARCHAR)"
@@ -459,6 +459,11 @@ def _profile(src, name: str) -> str:
         parts += rows("ranges", nr, "column_name", none, ["min_value", "max_value", "mean_value", "nulls"])
     parts += rows("types", f"SELECT * REPLACE (CAST(mixed AS INTEGER) AS mixed) FROM ({_type_census(src)})",
                   "column_name", none, [f"{c}_values" for c in CLASSES] + ["mixed"])
+    if coverage_key:
+        k = coverage_key
+        parts += rows("coverage", f"SELECT {k}, COUNT(*) AS rows FROM {table} WHERE {k} IS NOT NULL "
+                                  f"AND {k} NOT IN (SELECT city FROM city_dim) GROUP BY {k}",
+                      _q(k), f"CAST({k} AS VARCHAR)", ["rows"])
     return "\nUNION ALL\n".join(parts)
 
 
@@ -506,7 +511,7 @@ def _finals() -> dict[str, str]:
         "null_summary": _null_census(0.0),
         "null_rate_report": _null_census(fixed.NULL_RATE_REPORT_PCT),
         "duplicate_rows": _duplicates(REVIEWS),
-        "profile_listings": _profile(LISTINGS, "listings"),
+        "profile_listings": _profile(LISTINGS, "listings", coverage_key="city"),
         "profile_reviews": _profile(REVIEWS, "reviews"),
         "value_counts": _value_counts(),
         "distinct_values": (f"SELECT column_name, COUNT(value) AS distinct_values FROM ({_value_counts()}) "

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from stratum import fixed
 from stratum.functions.measures import round_dec
+from stratum.operators.coverage import uncovered
 from stratum.functions.parse import ISO_DATE_PATTERN, NUMERIC_PATTERN, money
 
 INTEGER_PATTERN = r"^[+-]?\d+$"
@@ -159,8 +160,13 @@ def type_census(df: DataFrame) -> DataFrame:
 
 def profile_report(df: DataFrame, name: str,
                    categorical: Iterable[str] = fixed.PROFILE_CATEGORICAL,
-                   numeric: Iterable[str] = fixed.PROFILE_NUMERIC) -> DataFrame:
-    """Every profile section of one input as ``(section, column_name, value, metric, amount)``."""
+                   numeric: Iterable[str] = fixed.PROFILE_NUMERIC,
+                   dim: DataFrame | None = None, key: str = "city") -> DataFrame:
+    """Every profile section of one input as ``(section, column_name, value, metric, amount)``.
+
+    With ``dim`` and a ``key`` column present, a ``coverage`` section lists the
+    key values the dimension does not cover, with their row counts.
+    """
     def rows(frame: DataFrame, section: str, column: Column, value: Column,
              metrics: Sequence[str]) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("amount"))
@@ -188,6 +194,8 @@ def profile_report(df: DataFrame, name: str,
              F.col("column_name"), none,
              ["integer_values", "decimal_values", "date_values", "text_values", "mixed"]),
     ]
+    if dim is not None and key in df.columns:
+        parts.append(rows(uncovered(df, key, dim), "coverage", F.lit(key), F.col(key), ["rows"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

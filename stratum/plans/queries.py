@@ -224,7 +224,7 @@ def q_table_shape(spark, sf_dir):
 
 
 def q_profile_listings(spark, sf_dir):
-    return profile.profile_report(_profiled_once(spark, sf_dir), "listings")
+    return profile.profile_report(_profiled_once(spark, sf_dir), "listings", dim=city_dimension(spark))
 
 
 def q_profile_reviews(spark, sf_dir):

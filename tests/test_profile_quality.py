@@ -80,6 +80,13 @@ def test_profile_report_sections(frames):
     assert sections == {"shape", "duplicates", "nulls", "values", "distinct", "ranges", "types"}
 
 
+def test_profile_report_coverage_section(spark):
+    df = spark.createDataFrame([("Atlantis",), ("Atlantis",), ("Paris",)], "city string")
+    rows = [r for r in profile.profile_report(df, "t", dim=city_dimension(spark)).collect()
+            if r.section == "coverage"]
+    assert [(r.column_name, r.value, r.metric, r.amount) for r in rows] == [("city", "Atlantis", "rows", 2.0)]
+
+
 def test_coverage(spark, frames):
     df, _ = frames
     assert uncovered(df, "city", city_dimension(spark)).count() == 0
