@@ -26,8 +26,8 @@ from stratum.functions.cache import jvm_cached
 from stratum.session import shared_dir
 from stratum.sources.csv import write_csv
 
-# Orders whose key is divisible by these land as malformed CSV lines when
-# the extract is staged as CSV: too many fields / too few fields.
+# When the extract is staged as CSV, orders whose key is divisible by these
+# also get a damaged copy: one field too many / three fields too few.
 EXTRA_FIELD_EVERY = 199
 MISSING_FIELDS_EVERY = 211
 
@@ -172,24 +172,19 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(*_review_exprs())
 
 
-def malformed_key(listing_id: Column) -> Column:
-    k = listing_id.cast("bigint")
-    return (k % EXTRA_FIELD_EVERY == 0) | (k % MISSING_FIELDS_EVERY == 0)
-
-
 def stage_listings_csv(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
-    """Stage the listings extract as CSV landing files, some lines malformed.
+    """Stage the listings extract as CSV landing files plus malformed lines.
 
-    Well-formed rows go to ``good/``; rows picked by :func:`malformed_key`
-    are written with one field too many (``extra/``) or three too few
-    (``short/``). Every part file carries a header line. Returns ``out_dir``.
+    Every row of the extract is written well-formed to ``good/``. On top of
+    that, a damaged copy of some rows lands in ``extra/`` (one field too
+    many) or ``short/`` (three fields too few), so the load has lines to
+    quarantine without losing any row. Every part file carries a header
+    line. Returns ``out_dir``.
     """
     raw = raw_listings(spark, sf_dir)
     k = F.col("listing_id").cast("bigint")
-    write_csv(raw.where(~malformed_key(F.col("listing_id"))), f"{out_dir}/good")
-    extra = raw.where(k % EXTRA_FIELD_EVERY == 0).withColumn("unexpected", F.lit("x"))
-    write_csv(extra, f"{out_dir}/extra")
-    short = raw.where((k % MISSING_FIELDS_EVERY == 0) & (k % EXTRA_FIELD_EVERY != 0)) \
-        .select(*fixed.RAW_LISTING_COLUMNS[:-3])
-    write_csv(short, f"{out_dir}/short")
+    write_csv(raw, f"{out_dir}/good")
+    write_csv(raw.where(k % EXTRA_FIELD_EVERY == 0).withColumn("unexpected", F.lit("x")), f"{out_dir}/extra")
+    write_csv(raw.where(k % MISSING_FIELDS_EVERY == 0).select(*fixed.RAW_LISTING_COLUMNS[:-3]),
+              f"{out_dir}/short")
     return out_dir
