@@ -83,3 +83,15 @@ def test_csv_named_scan_for_profiling(spark, scratch):
     df = read_csv_named(spark, path)
     assert df.columns == ["city", "price"]
     assert [tuple(r) for r in df.collect()] == [("Paris", "$1,200"), ("Rome", "NA")]
+
+
+def test_command_line_profile(spark, scratch):
+    from stratum.__main__ import main
+    path = _write(scratch, "Listings_utf8.csv", "city,price\nParis,80\nAtlantis,NA\nParis,80\n")
+    out = os.path.join(scratch, "profile")
+    assert main(["profile", path, out, "--name", "listings"]) == 0
+    report = spark.read.parquet(out)
+    got = {(r.section, r.metric): r.amount for r in report.collect() if r.column_name in (None, "city")
+           and r.value in (None, "Atlantis")}
+    assert got[("shape", "rows")] == 3.0 and got[("duplicates", "duplicate_rows")] == 1.0
+    assert got[("coverage", "rows")] == 1.0
