@@ -146,3 +146,22 @@ def test_seasonal_trends_inner_join(spark, models):
     assert keys == {("New York", 2024, 3, "Spring"): 1, ("New York", 2024, 12, "Winter"): 1,
                     ("New York", 2025, 1, "Winter"): 1}
     assert all(r.avg_reviews_per_listing == 1.0 for r in trends)
+
+
+def test_sized_broadcast_only_for_known_small_dimensions(spark):
+    from stratum.operators.lookup import BROADCAST_MAX_ROWS, sized_broadcast
+    dim = city_dimension(spark)
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(sized_broadcast(dim, 10)).lower()
+    assert "broadcast" not in plan(sized_broadcast(dim, None)).lower()
+    assert "broadcast" not in plan(sized_broadcast(dim, BROADCAST_MAX_ROWS + 1)).lower()
+
+
+def test_load_stamp_and_defaults(spark):
+    from stratum.operators.cleanse import fill_defaults, with_load_time
+    df = spark.createDataFrame([(None, None), ("x", 2)], "a string, b bigint")
+    stamped = with_load_time(df).select("loaded_at").distinct().collect()
+    assert len(stamped) == 1 and stamped[0].loaded_at is not None   # one time for the whole batch
+    filled = fill_defaults(df, {"a": "Unknown", "b": 1}).collect()
+    assert [tuple(r) for r in filled] == [("Unknown", 1), ("x", 2)]
+    assert fill_defaults(df, {"a": "Unknown"}).columns == ["a", "b"]
