@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum import fixed
+from stratum.functions.cache import jvm_cached
 
 # Largest dimension (in rows) that is broadcast explicitly. Bigger or
 # unknown-size dimensions are left to the planner / AQE, which picks a
@@ -20,9 +21,14 @@ BROADCAST_MAX_ROWS = 100_000
 
 def literal_table(spark: SparkSession, rows, names: tuple[str, ...], types: tuple[str, ...]) -> DataFrame:
     """A small constant table built inside the JVM (no Python workers at run time)."""
+    return spark.range(1).select(_inline_rows(tuple(map(tuple, rows)), tuple(names), tuple(types)))
+
+
+@jvm_cached
+def _inline_rows(rows, names, types) -> Column:
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)])
                for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return F.inline(F.array(*structs))
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:
