@@ -24,6 +24,7 @@ from stratum.operators.quality import row_counts, run_data_tests
 from stratum.plans.bronze import bronze_listings, bronze_reviews
 from stratum.plans.gold import (fct_price_vs_rating, fct_revenue_by_city, fct_seasonal_trends,
                                 fct_superhost_performance)
+from stratum.plans.run import build_models
 from stratum.plans.silver import silver_listings, silver_reviews
 from stratum.session import shared_dir
 from stratum.sources import binding
@@ -55,23 +56,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight models with bronze materialised, as the layered run builds them.
-
-    Multi-table queries (data tests, row gates) read every model several
-    times; bronze is written once instead of being re-parsed per branch.
-    """
-    dim = city_dimension(spark)
-    bl = materialize(bronze_listings(raw_listings(spark, sf_dir)))
-    br = materialize(bronze_reviews(raw_reviews(spark, sf_dir)))
-    sl = silver_listings(bl, dim, AS_OF)
-    sr = silver_reviews(br)
-    return {
-        "bronze_listings": bl, "bronze_reviews": br, "silver_listings": sl, "silver_reviews": sr,
-        "fct_revenue_by_city": fct_revenue_by_city(sl),
-        "fct_superhost_performance": fct_superhost_performance(sl),
-        "fct_seasonal_trends": fct_seasonal_trends(sr, sl),
-        "fct_price_vs_rating": fct_price_vs_rating(sl),
-    }
+    """All eight models as lazy DataFrames over the extracts (the gated run materialises bronze)."""
+    return build_models(raw_listings(spark, sf_dir), raw_reviews(spark, sf_dir),
+                        city_dimension(spark), AS_OF)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
