@@ -58,8 +58,9 @@ def _fct_revenue_by_city_aggs() -> tuple[Column, ...]:
 
 
 def fct_revenue_by_city(listings: DataFrame, order: bool = True) -> DataFrame:
-    out = listings.groupBy("city", "currency").agg(*_fct_revenue_by_city_aggs()).withColumn(
-        "updated_at", F.current_timestamp())
+    out = (listings.groupBy("city", "currency")
+           .agg(*_fct_revenue_by_city_aggs())
+           .withColumn("updated_at", F.current_timestamp()))
     return out.orderBy(F.desc("total_listings")) if order else out
 
 
@@ -117,8 +118,9 @@ def fct_seasonal_trends(reviews: DataFrame, listings: DataFrame, order: bool = T
     joined = r.join(lst, "listing_id", "inner")
     keys = ["city", "year_number", "month_number", "month_name", "quarter_number", "season",
             "room_type", "price_category"]
-    out = joined.groupBy(*keys).agg(*_fct_seasonal_trends_aggs()).withColumn(
-        "updated_at", F.current_timestamp())
+    out = (joined.groupBy(*keys)
+           .agg(*_fct_seasonal_trends_aggs())
+           .withColumn("updated_at", F.current_timestamp()))
     return out.orderBy("city", "year_number", "month_number") if order else out
 
 
