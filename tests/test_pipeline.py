@@ -78,6 +78,8 @@ def test_run_from_landing_csv(spark, scratch):
     landing = os.path.join(scratch, "landing")
     write_csv(listings, os.path.join(landing, "Listings_utf8.csv"))
     write_csv(reviews, os.path.join(landing, "Reviews_utf8.csv"))
+    with open(os.path.join(landing, "Listings_utf8.csv", "part-late.csv"), "w") as f:
+        f.write("header,line\n999999,too,few,fields\n")   # quarantined, the load continues
     logs = []
     models = run_from_landing(spark, landing, os.path.join(scratch, "out"), as_of=Q.AS_OF,
                               batch_ts=Q.BATCH_TS, log=logs.append)
@@ -87,6 +89,7 @@ def test_run_from_landing_csv(spark, scratch):
         a = sorted(map(tuple, models[name].drop("updated_at").collect()))
         b = sorted(map(tuple, direct[name].drop("updated_at").collect()))
         assert a == b
+    assert any("listings: 1 malformed lines skipped" in m for m in logs), logs
     with pytest.raises(GateError, match="Reviews_utf8.csv"):
         run_from_landing(spark, os.path.join(landing, "Listings_utf8.csv"), os.path.join(scratch, "x"))
 
