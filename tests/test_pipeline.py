@@ -107,3 +107,18 @@ def test_results_do_not_depend_on_session_settings(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert set(res.values()) == {"ok"}, res
+
+
+def test_command_line_daily(spark, scratch):
+    import os
+    from stratum.__main__ import main
+    from stratum.sources.csv import write_csv
+    from stratum.sources.tables import read_table
+    listings, reviews = _clean_inputs(spark)
+    landing = os.path.join(scratch, "landing")
+    write_csv(listings, os.path.join(landing, "Listings_utf8.csv"))
+    write_csv(reviews, os.path.join(landing, "Reviews_utf8.csv"))
+    out = os.path.join(scratch, "out")
+    assert main(["daily", landing, out, "--as-of", Q.AS_OF]) == 0
+    assert read_table(spark, out, "gold", "fct_revenue_by_city").count() == 10
+    assert read_table(spark, out, "bronze", "bronze_reviews").count() > 0
