@@ -132,7 +132,10 @@ def ordered_values(counts: DataFrame) -> DataFrame:
 def value_class(v: Column) -> Column:
     """'integer' | 'decimal' | 'date' | 'text' for a non-null text value."""
     t = F.trim(v)
-    return (F.when(t.rlike(INTEGER_PATTERN), F.lit("integer"))
+    # numbers and dates start with a digit, sign or dot: other text skips the patterns
+    starts_like_number = F.substring(t, 1, 1).isin(*"0123456789+-.")
+    return (F.when(~starts_like_number, F.lit("text"))
+            .when(t.rlike(INTEGER_PATTERN), F.lit("integer"))
             .when(t.rlike(NUMERIC_PATTERN), F.lit("decimal"))
             .when(t.rlike(ISO_DATE_PATTERN), F.lit("date"))
             .otherwise(F.lit("text")))
