@@ -30,7 +30,7 @@ from stratum.session import shared_dir
 from stratum.sources import binding
 from stratum.sources.csv import read_csv_positional
 from stratum.sources.presence import source_presence
-from stratum.sources.tables import write_table
+from stratum.sources.tables import materialize, write_table
 
 AS_OF = "2025-01-01"
 BATCH_TS = "2025-01-01 06:00:00"
@@ -47,14 +47,6 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_load_time(null_tokens(binding.raw_reviews(spark, sf_dir)), BATCH_TS)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write once to the shared checkpoint folder, read many times (lineage cut)."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        shared_dir(spark)  # sets a folder only where none is configured
-    return df.checkpoint(eager=True)
-
-
 def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All eight models as lazy DataFrames over the extracts (the gated run materialises bronze)."""
     return build_models(raw_listings(spark, sf_dir), raw_reviews(spark, sf_dir),

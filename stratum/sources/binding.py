@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from stratum import fixed
 from stratum.functions.cache import jvm_cached
-from stratum.session import shared_dir
 from stratum.sources.csv import write_csv
+from stratum.sources.tables import materialize
 
 # When the extract is staged as CSV, orders whose key is divisible by these
 # also get a damaged copy: one field too many / three fields too few.
@@ -63,8 +63,8 @@ def spread(df: DataFrame, key: str, barrier: bool = False) -> DataFrame:
 
     Catalyst pushes later filters through a repartition, which would put
     the filters' parsing back on the single scan task. With ``barrier`` the
-    (small) spread input is checkpointed to the shared checkpoint folder,
-    which filters cannot cross.
+    (small) spread input is written once as Parquet under the shared
+    checkpoint folder and read back, which filters cannot cross.
     """
     spark = df.sparkSession
     try:
@@ -75,11 +75,7 @@ def spread(df: DataFrame, key: str, barrier: bool = False) -> DataFrame:
     if splits >= target:
         return df
     spread_df = df.repartition(target, key)
-    if barrier:
-        if not spark.sparkContext.getCheckpointDir():
-            shared_dir(spark)  # sets a checkpoint folder only where none is configured
-        spread_df = spread_df.checkpoint(eager=True)
-    return spread_df
+    return materialize(spread_df, "spread") if barrier else spread_df
 
 
 def _s(c: Column) -> Column:

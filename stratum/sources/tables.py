@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratum.session import shared_dir
+
 DEFAULT_LAYER = "DEFAULT"
 
 
@@ -37,3 +39,16 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     """A lazily evaluated model: the plan is inlined wherever the view is read."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def materialize(df: DataFrame, label: str = "materialized") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but stores columnar, compressed
+    files instead of serialized rows, and keeps file statistics for the
+    planner. Each call writes a fresh folder.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
