@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratum import fixed
 from stratum.operators.quality import GateError
@@ -95,3 +96,12 @@ def test_command_line_profile(spark, scratch):
            and r.value in (None, "Atlantis")}
     assert got[("shape", "rows")] == 3.0 and got[("duplicates", "duplicate_rows")] == 1.0
     assert got[("coverage", "rows")] == 1.0
+
+
+def test_materialize_writes_fresh_parquet_and_cuts_lineage(spark):
+    from stratum.sources.tables import materialize
+    df = spark.range(100).withColumn("sq", F.col("id") * F.col("id"))
+    a, b = materialize(df), materialize(df)
+    assert a.inputFiles() and set(a.inputFiles()).isdisjoint(b.inputFiles())   # a new folder per call
+    assert "Range" not in a._jdf.queryExecution().optimizedPlan().toString()    # reads files, not the plan
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, df.collect()))
