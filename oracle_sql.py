@@ -474,6 +474,25 @@ def _row_gates() -> str:
     return f"SELECT *, rows >= min_rows AS passed FROM ({' UNION ALL '.join(parts)})"
 
 
+def _csv_field(f: str) -> str:
+    """A text value as the CSV writer renders it: NULL empty, '' quoted, quotes doubled."""
+    return (f"CASE WHEN {f} IS NULL THEN '' WHEN {f} = '' THEN '\"\"' "
+            f"WHEN contains({f}, ',') OR contains({f}, '\"') OR contains({f}, chr(10)) "
+            f"OR contains({f}, chr(13)) THEN '\"' || replace({f}, '\"', '\"\"') || '\"' ELSE {f} END")
+
+
+def _rejects() -> str:
+    from stratum.sources.binding import EXTRA_FIELD_EVERY, MISSING_FIELDS_EVERY
+    cols = fixed.RAW_LISTING_COLUMNS
+    extra = " || ',' || ".join([_csv_field(c) for c in cols] + ["'x'"])
+    short = " || ',' || ".join(_csv_field(c) for c in cols[:-3])
+    k = "CAST(listing_id AS BIGINT)"
+    return (f"SELECT listing_id AS first_field, {extra} AS line FROM raw_listings_text "
+            f"WHERE {k} % {EXTRA_FIELD_EVERY} = 0\nUNION ALL\n"
+            f"SELECT listing_id AS first_field, {short} AS line FROM raw_listings_text "
+            f"WHERE {k} % {MISSING_FIELDS_EVERY} = 0")
+
+
 def _finals() -> dict[str, str]:
     return {
         "bronze_listings": _except("bronze_listings", "loaded_at"),
@@ -489,6 +508,7 @@ def _finals() -> dict[str, str]:
                          f"AS INTEGER) AS host_years_active FROM bronze_listings"),
         "null_tokens": "SELECT * FROM listings_tokens",
         "csv_load_good": "SELECT * FROM listings_tokens",
+        "csv_load_rejects": _rejects(),
         "uncovered_keys": ("SELECT t.city, COUNT(*) AS rows FROM listings_tokens t "
                            "WHERE t.city IS NOT NULL AND t.city NOT IN (SELECT city FROM city_dim) "
                            "GROUP BY t.city"),
