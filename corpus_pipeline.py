@@ -20,7 +20,7 @@ from stratum.llm.simhash import drop_near_duplicates
 #: documents below this chance of being good go
 MIN_QUALITY = 0.5
 #: SimHash over word shingles: bits that near copies may differ by
-NEAR_SHINGLE, NEAR_DISTANCE = 3, 7
+NEAR_SHINGLE, NEAR_DISTANCE = 3, 3
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
