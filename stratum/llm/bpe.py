@@ -98,7 +98,8 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
-def _classes() -> tuple[str, str]:
+def character_classes() -> tuple[str, str]:
+    """Ranges of letters and of numbers up to PLAIN_END, for use in a character class."""
     def ranges(kind):
         points = [c for c in range(PLAIN_END + 1) if unicodedata.category(chr(c))[0] == kind]
         out, i = "", 0
@@ -140,7 +141,7 @@ class WordBpe:
         self.last = [vocab[c + suffix] for c in chars]
         self.byte = {c: b for b, c in enumerate(chars)}
         self.file = Tokenizer.from_file(path)
-        letters, numbers = _classes()
+        letters, numbers = character_classes()
         white = r"\t-\r \x85\xa0"
         self.words = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{letters}]+|[{numbers}]|[^{white}{letters}{numbers}]+").findall
         self.foreign = re.compile(rf"[^\x00-{chr(PLAIN_END)}]").search

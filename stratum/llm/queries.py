@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from stratum.llm.ann import op1_ann
 from stratum.llm.bpe import op4_bpe
 from stratum.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from stratum.llm.license_scan import op9_license_scan, op9_sql
 from stratum.llm.mixing import op10_mix_sources
 from stratum.llm.quality import op8_quality_classifier
 from stratum.llm.simhash import op2_simhash_near_dedup
+from stratum.llm.suffix_dedup import op7_suffix_dedup
+from stratum.llm.token_files import op6_token_files
 from stratum.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op3_url_filter, op4_bpe, op5_exact_dedup, op8_quality_classifier,
-    op9_license_scan, op10_mix_sources)}
+    op1_ann, op2_simhash_near_dedup, op3_url_filter, op4_bpe, op5_exact_dedup, op6_token_files,
+    op7_suffix_dedup, op8_quality_classifier, op9_license_scan, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
