@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +99,15 @@ def unpack(blob: bytes) -> list[bytes]:
     return out
 
 
+def steps(x: np.ndarray) -> bytes:
+    """Numbers as differences to the one before: small and alike where they rise evenly."""
+    return np.diff(x.astype(np.int64), prepend=0).astype("<i8").tobytes()
+
+
+def unsteps(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, "<i8"))
+
+
 def merge_runs(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tuple[int, bytes, object]]:
     """Merge sorted runs of (bytes in common with the run's key before, key, payload).
 
@@ -168,7 +178,7 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tupl
 # ---------------------------------------------------------------- round one: which anchors are shared
 
 def _documents(batches) -> Iterator[list[tuple[int, int, bytes, object]]]:
-    """Rows (doc_id, version, utf-8 text, last column) in lists of about RUN_BYTES bytes."""
+    """Rows (doc_id, row number, utf-8 text, last column) in lists of about RUN_BYTES bytes."""
     held, size = [], 0
     for b in batches:
         extra = b.column(3) if b.num_columns > 3 else None
@@ -210,7 +220,7 @@ def _gram_run(docs, parts: int):
     order = np.argsort(slot, kind="stable")
     bounds = np.searchsorted(slot[order], np.arange(parts + 1))
     ids = np.array([d[0] for d in docs], "<i8")
-    versions = np.array([d[1] for d in docs], "<i8")
+    lines = np.array([d[1] for d in docs], "<i8")
     blobs = []
     for p in range(parts):
         at = order[bounds[p]:bounds[p + 1]]
@@ -226,66 +236,93 @@ def _gram_run(docs, parts: int):
         used, local = np.unique(number[at], return_inverse=True)
         blobs.append((p, pack(same.astype(np.uint8).tobytes(), left, inside[at].astype(np.uint8).tobytes(),
                               local.astype("<u4").tobytes(), place[at].astype("<u4").tobytes(),
-                              ids[used].tobytes(), versions[used].tobytes())))
+                              steps(ids[used]), steps(lines[used]))))
     return blobs, own
 
 
 def _gram_stream(blob: bytes):
-    same, left, inside, local, place, ids, versions = unpack(blob)
-    local, place = np.frombuffer(local, "<u4").tolist(), np.frombuffer(place, "<u4").tolist()
-    ids, versions = np.frombuffer(ids, "<i8").tolist(), np.frombuffer(versions, "<i8").tolist()
+    same, left, inside, local, place, ids, lines = unpack(blob)
+    local, place = np.frombuffer(local, "<u4"), np.frombuffer(place, "<u4").tolist()
+    ids, lines = unsteps(ids)[local].tolist(), unsteps(lines)[local].tolist()
     at, key = 0, b""
-    for c, done, d, p in zip(same, inside, local, place):
+    for c, entry in zip(same, zip(inside, ids, lines, place)):
         end = at + GRAM - c
         key = key[:c] + left[at:end]
         at = end
-        yield c, key, (done, ids[d], versions[d], p)
-
-
-def _places(rows: dict[tuple[int, int], list[int]]):
-    keys = list(rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-         pa.array([np.array(rows[k], "<u4").tobytes() for k in keys], pa.binary())],
-        names=["doc_id", "version", "places"])
-
-
-FLUSH = 200_000
-
-
-def _merged_grams(batches):
+        yield c, key, entry
+
+
+FLUSH = 400_000
+
+
+def _scattered(lines: list[int], numbers: list[int], width: int, keys: list[int]):
+    """(slot, blob) rows that take ``width`` numbers each to the partition of their document's row."""
+    line = np.array(lines, np.int64)
+    number = np.array(numbers, np.uint32).reshape(-1, width)
+    slot = line % len(keys)
+    order = np.lexsort((line, slot))
+    line, number, slot = line[order], number[order], slot[order]
+    bounds = np.searchsorted(slot, np.arange(len(keys) + 1))
+    some = [(keys[p], pack(steps(line[x:y]), number[x:y].tobytes()))
+            for p, (x, y) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())) if y > x]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()),
+                                       pa.array([x for _, x in some], pa.binary())], names=["slot", "blob"])
+
+
+def _gathered(width: int):
+    """For one partition's scattered blobs: (line, numbers), one row per document's row."""
+    def run(batches):
+        parts = [unpack(x) for b in batches for x in b.column(1).to_pylist()]
+        if not parts:
+            return
+        line = np.concatenate([unsteps(p[0]) for p in parts])
+        number = np.concatenate([np.frombuffer(p[1], "<u4").reshape(-1, width) for p in parts])
+        order = np.argsort(line, kind="stable")
+        line, number = line[order], number[order]
+        start = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+        ends = [*start[1:].tolist(), len(line)]
+        for at in range(0, len(start), 1024):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(line[start[at:at + 1024]]),
+                 pa.array([number[x:y].tobytes() for x, y in zip(start[at:at + 1024].tolist(), ends[at:at + 1024])],
+                          pa.binary())], names=["line", "numbers"])
+
+    return run
+
+
+def _merged_grams(keys: list[int]):
     """Documents' places of anchors that several documents share, from one partition's runs."""
-    blobs, rows, size = [], {}, 0
-    for b in batches:
-        for slot, blob, doc_id, version in zip(*(b.column(i).to_pylist() for i in range(4))):
-            if slot is None or doc_id is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([version], pa.int64()),
-                                                  pa.array([blob], pa.binary())], names=["doc_id", "version", "places"])
-            else:
-                blobs.append(blob)
-    first, shared = None, False
-    for common, _, entry in merge_runs([_gram_stream(b) for b in blobs]):
-        done, doc_id, version, place = entry
-        if common < GRAM:
-            waiting, shared, first = [], False, doc_id
-        if done or doc_id != first:
-            if not shared:
+    def run(batches):
+        blobs = []
+        for b in batches:
+            blobs += b.filter(b.column(2)).column(1).to_pylist()
+            settled = b.filter(pc.invert(b.column(2)))  # what a run found by itself goes on as it is
+            if settled.num_rows:
+                yield settled.select(["slot", "blob"])
+        lines, places = [], []
+        first, shared, waiting = None, False, []
+        for common, _, entry in merge_runs([_gram_stream(b) for b in blobs]):
+            done, doc_id, line, place = entry
+            if common < GRAM:
+                waiting, shared, first = [], False, doc_id
+            if not shared and (done or doc_id != first):
                 shared = True
-                for d, v, p in waiting:
-                    rows.setdefault((d, v), []).append(p)
-                    size += 1
-                waiting = []
-        if not done:
-            if shared:
-                rows.setdefault((doc_id, version), []).append(place)
-                size += 1
-            else:
-                waiting.append((doc_id, version, place))
-        if size >= FLUSH:
-            yield _places(rows)
-            rows, size = {}, 0
-    if rows:
-        yield _places(rows)
+                for line_, place_ in waiting:
+                    lines.append(line_)
+                    places.append(place_)
+            if not done:
+                if shared:
+                    lines.append(line)
+                    places.append(place)
+                else:
+                    waiting.append((line, place))
+            if len(lines) >= FLUSH:
+                yield _scattered(lines, places, 1, keys)
+                lines, places = [], []
+        if lines:
+            yield _scattered(lines, places, 1, keys)
+
+    return run
 
 
 # ---------------------------------------------------------------- round two: which windows are repeated
@@ -295,7 +332,7 @@ def _unit_run(docs, parts: int):
     units: dict[tuple[bytes, int], list[tuple[int, int]]] = {}
     for number, (_, _, raw, wanted) in enumerate(docs):
         a, first, last, _, _ = anchors(raw)
-        mark = np.unique(np.frombuffer(b"".join(wanted), "<u4")).astype(np.int64)
+        mark = np.unique(np.frombuffer(wanted, "<u4")).astype(np.int64)
         at = np.flatnonzero(np.isin(a, mark))
         for x, s, e in zip(a[at].tolist(), first[at].tolist(), last[at].tolist()):
             units.setdefault((raw[x:e + MIN_BYTES] + raw[s:x][::-1], x - s), []).append((number, s))
@@ -305,7 +342,7 @@ def _unit_run(docs, parts: int):
     for s, unit in zip(slot, units):
         slots.setdefault(s, []).append(unit)
     ids = np.array([d[0] for d in docs], "<i8")
-    versions = np.array([d[1] for d in docs], "<i8")
+    lines = np.array([d[1] for d in docs], "<i8")
     for s, found in slots.items():
         found.sort()
         same, left = front_code([k for k, _ in found])
@@ -315,31 +352,31 @@ def _unit_run(docs, parts: int):
         yield s, pack(same, left, np.array([len(k) for k, _ in found], "<u1").tobytes(),
                       np.array([b for _, b in found], "<u1").tobytes(),
                       np.array([len(p) for p in places], "<u4").tobytes(), local.astype("<u4").tobytes(),
-                      flat[:, 1].astype("<u4").tobytes(), ids[used].tobytes(), versions[used].tobytes())
+                      flat[:, 1].astype("<u4").tobytes(), steps(ids[used]), steps(lines[used]))
 
 
 def _unit_stream(blob: bytes):
-    same, left, sizes, before, counts, local, place, ids, versions = unpack(blob)
+    same, left, sizes, before, counts, local, place, ids, lines = unpack(blob)
     counts = np.frombuffer(counts, "<u4").tolist()
-    local, place = np.frombuffer(local, "<u4").tolist(), np.frombuffer(place, "<u4").tolist()
-    ids, versions = np.frombuffer(ids, "<i8").tolist(), np.frombuffer(versions, "<i8").tolist()
+    local, place = np.frombuffer(local, "<u4"), np.frombuffer(place, "<u4").tolist()
+    ids, lines = unsteps(ids)[local].tolist(), unsteps(lines)[local].tolist()
     at, key, o = 0, b"", 0
     for c, n, back, count in zip(same, sizes, before, counts):
         end = at + n - c
         key = key[:c] + left[at:end]
         at = end
-        yield c, key, (back, [(ids[d], versions[d], p) for d, p in zip(local[o:o + count], place[o:o + count])])
+        yield c, key, (back, list(zip(ids[o:o + count], lines[o:o + count], place[o:o + count])))
         o += count
 
 
 def _repeats(units: dict[tuple[bytes, int], list[tuple[int, int, int]]]):
-    """(doc_id, version, start, end) of windows of these units (all of one anchor) that begin in a smaller document too."""
+    """(row number, start, end) of windows of these units (all of one anchor) that begin in a smaller document too."""
     if len(units) == 1:
         ((key, _), places), = units.items()
         low = min(p[0] for p in places)
         for d, v, s in places:
             if d > low:
-                yield d, v, s, s + len(key)
+                yield v, s, s + len(key)
         return
     least: dict[bytes, int] = {}
     whole = []
@@ -361,37 +398,43 @@ def _repeats(units: dict[tuple[bytes, int], list[tuple[int, int, int]]]):
                     if start is None:
                         start = i
                 elif start is not None:
-                    yield d, v, s + start, s + i - 1 + MIN_BYTES
+                    yield v, s + start, s + i - 1 + MIN_BYTES
                     start = None
             if start is not None:
-                yield d, v, s + start, s + len(lows) - 1 + MIN_BYTES
-
-
-def _merged_units(batches):
-    """(doc_id, version, spans): byte ranges to remove, from one partition's runs."""
-    blobs = [x for b in batches for x in b.column(1).to_pylist()]
-    rows: dict[tuple[int, int], list[int]] = {}
-    size = 0
-    units: dict[tuple[bytes, int], list] = {}
-
-    def settle():
-        nonlocal size
-        for d, v, s, e in _repeats(units):
-            rows.setdefault((d, v), []).extend((s, e))
-            size += 1
-
-    for common, key, (back, places) in merge_runs([_unit_stream(b) for b in blobs]):
-        if common < GRAM and units:
+                yield v, s + start, s + len(lows) - 1 + MIN_BYTES
+
+
+def _merged_units(keys: list[int]):
+    """Byte ranges to remove from documents, from one partition's runs."""
+    def run(batches):
+        blobs = [x for b in batches for x in b.column(1).to_pylist()]
+        lines, ranges = [], []
+        units: dict[tuple[bytes, int], list] = {}
+
+        def settle():
+            for line, start, end in _repeats(units):
+                lines.append(line)
+                ranges.append(start)
+                ranges.append(end)
+
+        for common, key, (back, places) in merge_runs([_unit_stream(b) for b in blobs]):
+            if common < GRAM and units:
+                settle()
+                units = {}
+                if len(lines) >= FLUSH:
+                    yield _scattered(lines, ranges, 2, keys)
+                    lines, ranges = [], []
+            unit = units.get((key, back))
+            if unit is None:
+                units[key, back] = places
+            else:
+                unit.extend(places)
+        if units:
             settle()
-            units = {}
-            if size >= FLUSH:
-                yield _places(rows)
-                rows, size = {}, 0
-        units.setdefault((key, back), []).extend(places)
-    if units:
-        settle()
-    if rows:
-        yield _places(rows)
+        if lines:
+            yield _scattered(lines, ranges, 2, keys)
+
+    return run
 
 
 # ---------------------------------------------------------------- the whole
@@ -416,18 +459,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     Rows that share a doc_id don't take from one another, and rows without a doc_id neither
     take nor lose. Texts shorter than MIN_BYTES stay whole. An empty table gives no rows.
 
-    Text moves once, into a table bucketed by document. Runs hold at most RUN_BYTES of text;
+    Text moves once, into a table bucketed by row. Runs hold at most RUN_BYTES of text;
     what a run already knows to be shared goes on as one suffix, so an anchor that a third of
     all documents share reaches the merge once per run.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     body = text_or_empty(text)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("version"), body.alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("line"),
+                       body.alias("text"))
     name = f"repeats_{uuid.uuid4().hex}"
     path = shared_folder(spark, "texts")
-    (rows.write.option("path", path).option("compression", "zstd").bucketBy(parts, "doc_id", "version")
-     .saveAsTable(name))
+    # row numbers are those of this table from here on
+    rows.write.option("path", path).option("compression", "zstd").bucketBy(parts, "line").saveAsTable(name)
     stored = spark.table(name)
     keys = _slot_keys(spark, parts)
     known = stored.where("doc_id is not null")
@@ -435,16 +479,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     def first_round(batches):
         for docs_ in _documents(batches):
             blobs, own = _gram_run(docs_, parts)
-            out = [(keys[p], blob, None, None) for p, blob in blobs]
-            out += [(keys[i % parts], at.astype("<u4").tobytes(), docs_[i][0], docs_[i][1]) for i, at in own.items()]
-            for at in range(0, len(out), 64):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out[at:at + 64]), (pa.int32(), pa.binary(), pa.int64(), pa.int64()))],
-                    names=["slot", "blob", "doc_id", "version"])
-
-    runs = known.mapInArrow(first_round, "slot int, blob binary, doc_id long, version long")
-    shared = (runs.repartition(parts, "slot").mapInArrow(_merged_grams, "doc_id long, version long, places binary")
-              .groupBy("doc_id", "version").agg(F.collect_list("places").alias("places")))
+            for p, blob in blobs:
+                yield pa.RecordBatch.from_arrays([pa.array([keys[p]], pa.int32()), pa.array([blob], pa.binary()),
+                                                  pa.array([True])], names=["slot", "blob", "open"])
+            if own:
+                lines = np.concatenate([np.full(len(x), docs_[i][1]) for i, x in own.items()])
+                found = _scattered(lines, np.concatenate(list(own.values())), 1, keys)
+                yield pa.RecordBatch.from_arrays([*found.columns, pa.array([False] * found.num_rows)],
+                                                 names=["slot", "blob", "open"])
+
+    found = (known.select("doc_id", "line", "text").mapInArrow(first_round, "slot int, blob binary, open boolean")
+             .repartition(parts, "slot").mapInArrow(_merged_grams(keys), "slot int, blob binary"))
+    shared = found.repartition(parts, "slot").mapInArrow(_gathered(1), "line long, numbers binary")
     shared = written(shared, "anchors")
 
     def second_round(batches):
@@ -453,10 +499,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
                 yield pa.RecordBatch.from_arrays([pa.array([keys[p]], pa.int32()), pa.array([blob], pa.binary())],
                                                  names=["slot", "blob"])
 
-    units = (known.join(shared.hint("merge"), ["doc_id", "version"]).select("doc_id", "version", "text", "places")
+    units = (known.join(shared.hint("merge"), "line").select("doc_id", "line", "text", "numbers")
              .mapInArrow(second_round, "slot int, blob binary"))
-    spans = (units.repartition(parts, "slot").mapInArrow(_merged_units, "doc_id long, version long, places binary")
-             .groupBy("doc_id", "version").agg(F.collect_list("places").alias("spans")))
+    spans = (units.repartition(parts, "slot").mapInArrow(_merged_units(keys), "slot int, blob binary")
+             .repartition(parts, "slot").mapInArrow(_gathered(2), "line long, numbers binary"))
     spans = written(spans, "spans")
 
     def cut(batches):
@@ -466,7 +512,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
                 raw = raw.encode("utf-8")
                 n = len(raw)
                 at, kept, removed, count, end = 0, [], 0, 0, -1
-                ranges = np.frombuffer(b"".join(spans_ or ()), "<u4").reshape(-1, 2)
+                ranges = np.frombuffer(spans_ or b"", "<u4").reshape(-1, 2)
                 for s, e in ranges[np.argsort(ranges[:, 0], kind="stable")].tolist():
                     if s > end:
                         kept.append(raw[at:s])
@@ -484,7 +530,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = stored.join(spans.hint("merge"), ["doc_id", "version"], "left").select("doc_id", "text", "spans")
+    joined = stored.join(spans.hint("merge"), "line", "left").select("doc_id", "text", "numbers")
     return joined.mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
