@@ -26,23 +26,27 @@ def main(argv: list[str] | None = None) -> int:
     daily.add_argument("out")
     daily.add_argument("--as-of", default=None, help="run date for host_years_active (default: today)")
     daily.add_argument("--encoding", default="UTF-8")
+    daily.add_argument("--single-line", action="store_true", help="the files hold no quoted line breaks")
     prof = sub.add_parser("profile", help="long-format profile report of one CSV")
     prof.add_argument("path")
     prof.add_argument("out")
     prof.add_argument("--encoding", default="UTF-8")
+    prof.add_argument("--single-line", action="store_true", help="the file holds no quoted line breaks")
     prof.add_argument("--name", default="input")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"stratum-{args.command}").getOrCreate()
     if args.command == "daily":
         from stratum.plans.run import run_from_landing
-        run_from_landing(spark, args.landing, args.out, as_of=args.as_of, encoding=args.encoding)
+        run_from_landing(spark, args.landing, args.out, as_of=args.as_of, encoding=args.encoding,
+                         multiline=not args.single_line)
     else:
         from stratum.operators.cleanse import null_tokens
         from stratum.operators.lookup import city_dimension
         from stratum.operators.profile import profile_report
         from stratum.sources.csv import read_csv_named
-        df = null_tokens(read_csv_named(spark, args.path, encoding=args.encoding))
+        df = null_tokens(read_csv_named(spark, args.path, encoding=args.encoding,
+                                        multiline=not args.single_line))
         report = profile_report(df, args.name, dim=city_dimension(spark))
         report.write.mode("overwrite").parquet(args.out)
     return 0

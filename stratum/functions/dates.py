@@ -35,6 +35,15 @@ def season(month: Column) -> Column:
     return expr.otherwise(F.lit(fixed.SEASON_OTHER))
 
 
+def month_name(month: Column) -> Column:
+    """Short name of a month number."""
+    return F.date_format(F.make_date(F.lit(2000), month, F.lit(1)), "MMM")
+
+
+def month_quarter(month: Column) -> Column:
+    return F.ceil(month / 3).cast("int")
+
+
 def date_dimension(d: Column) -> list[Column]:
     """Calendar attributes of a DATE column (day_of_week 0 = Sunday)."""
     return [

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 def round_dec(c: Column, places: int) -> Column:
     """Round half away from zero on the decimal value; result is DOUBLE."""
-    return F.round(c.cast("decimal(28,10)"), places).cast("double")
+    exact = F.round(c.try_cast("decimal(28,10)"), places).cast("double")
+    return F.coalesce(exact, F.round(c, places))  # beyond 18 digits a double has no such places left
 
 
 def ratio(numerator: Column, denominator: Column, places: int = 2, pct: bool = True) -> Column:

@@ -30,9 +30,13 @@ def try_number(c: str | Column) -> Column:
     """NUMBER(38,0) parse: rounds half up to an integer, NULL when unparseable.
 
     Going through DECIMAL(38,0) is what makes '3.7' -> 4 and '2.0' -> 2;
-    a direct cast to BIGINT would return NULL for both.
+    a direct cast to BIGINT would return NULL for both. A whole number that
+    has a value but not in 64 bits stops the job: it is never lost as a NULL.
     """
-    return numeric_text(c).try_cast("decimal(38,0)").try_cast("bigint")
+    wide = numeric_text(c).try_cast("decimal(38,0)")
+    value = wide.try_cast("bigint")
+    return F.when(wide.isNotNull() & value.isNull(),
+                  F.raise_error(F.concat(F.lit("number beyond 64 bits: "), wide.cast("string")))).otherwise(value)
 
 
 def try_double(c: str | Column) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from stratum import fixed
-from stratum.functions.cache import jvm_cached
 
 
 def null_tokens(df: DataFrame, tokens: Iterable[str] = fixed.NULL_TOKENS,
@@ -25,7 +24,6 @@ def null_tokens(df: DataFrame, tokens: Iterable[str] = fixed.NULL_TOKENS,
     return df.select(*_token_exprs(tuple(df.columns), frozenset(targets), tuple(tokens)))
 
 
-@jvm_cached
 def _token_exprs(columns: tuple[str, ...], targets: frozenset, tokens: tuple[str, ...]) -> tuple[Column, ...]:
     return tuple(F.when(~F.col(c).isin(list(tokens)), F.col(c)).alias(c) if c in targets else F.col(c)
                  for c in columns)

@@ -11,20 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum import fixed
-from stratum.functions.cache import jvm_cached
-
-# Largest dimension (in rows) that is broadcast explicitly. Bigger or
-# unknown-size dimensions are left to the planner / AQE, which picks a
-# broadcast only when the measured size is under its threshold.
-BROADCAST_MAX_ROWS = 100_000
-
 
 def literal_table(spark: SparkSession, rows, names: tuple[str, ...], types: tuple[str, ...]) -> DataFrame:
     """A small constant table built inside the JVM (no Python workers at run time)."""
     return spark.range(1).select(_inline_rows(tuple(map(tuple, rows)), tuple(names), tuple(types)))
 
 
-@jvm_cached
 def _inline_rows(rows, names, types) -> Column:
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)])
                for row in rows]
@@ -37,25 +29,20 @@ def city_dimension(spark: SparkSession) -> DataFrame:
                          ("string", "string", "double"))
 
 
-def sized_broadcast(dim: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast hint only when the row count is known and small."""
-    return F.broadcast(dim) if rows is not None and rows <= BROADCAST_MAX_ROWS else dim
-
-
 def lookup_normalise(df: DataFrame, dim: DataFrame, key: str = "city",
                      amount: str = "price_raw", code_out: str = "currency",
                      amount_out: str = "price_converted",
                      default_code: str = fixed.DEFAULT_CURRENCY,
-                     default_rate: float = fixed.DEFAULT_RATE,
-                     dim_rows: int | None = None) -> DataFrame:
+                     default_rate: float = fixed.DEFAULT_RATE) -> DataFrame:
     """Left join ``df`` to ``dim(key, currency, rate)``; add code and converted amount.
 
     Unmatched keys (NULL included) get ``default_code`` and ``amount * default_rate``.
-    ``dim`` must be unique on ``key`` (true for the city dimension).
+    ``dim`` must be unique on ``key`` (true for the city dimension). Whether it is broadcast
+    is left to the planner and AQE, which measure it.
     """
     d = dim.select(F.col(key).alias("__k"), F.col("currency").alias("__code"),
                    F.col("rate").alias("__rate"))
-    joined = df.join(sized_broadcast(d, dim_rows), F.col(key) == F.col("__k"), "left")
+    joined = df.join(d, F.col(key) == F.col("__k"), "left")
     return (joined
             .withColumn(code_out, F.coalesce(F.col("__code"), F.lit(default_code)))
             .withColumn(amount_out, F.col(amount) * F.coalesce(F.col("__rate"), F.lit(default_rate)))

@@ -105,17 +105,10 @@ def numeric_ranges(df: DataFrame, columns: Iterable[str] = fixed.PROFILE_NUMERIC
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """``(duplicate_rows)``: rows after the first of each group of fully equal rows (NULLs equal).
 
-    Hash, then verify: rows are first grouped by a 96-bit row hash, so the
-    full-table shuffle carries 12 bytes per row instead of whole rows. Only
-    rows whose hash occurs more than once are joined back and grouped by
-    all columns, which makes the count exact whatever the collisions.
+    One scan and one shuffle; equal rows are combined before it, so a row
+    that a third of the table repeats crosses it once per task.
     """
-    cols = [F.col(c) for c in df.columns]
-    hashed = df.select(F.xxhash64(*cols).alias("__h1"), F.hash(*cols).alias("__h2"), *cols)
-    shared = (hashed.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
-              .where(F.col("__n") > 1).select("__h1", "__h2"))
-    candidates = hashed.join(shared, ["__h1", "__h2"], "left_semi")
-    groups = candidates.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 

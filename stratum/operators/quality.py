@@ -7,9 +7,9 @@ test_name, failures)`` with the usual semantics of column tests:
 * ``unique``: non-null values that occur more than once;
 * ``accepted_values``: distinct non-null values outside the list.
 
-All ``not_null`` and ``accepted_values`` tests of one table share a single
-aggregate pass; each ``unique`` test is one map-side-combined group-by.
-Gates are the only actions: they collect a handful of counts, never rows.
+All ``not_null`` tests of one table share an aggregate pass and all its
+``accepted_values`` tests another; each ``unique`` test is one
+map-side-combined group-by. Gates collect a handful of counts.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from stratum import fixed
 from stratum.operators.coverage import uncovered
+from stratum.session import shared_dir
 
 
 class GateError(RuntimeError):
@@ -55,24 +56,31 @@ def accepted_values(df: DataFrame, model: str, column: str, values: Iterable[Any
 
 
 def column_tests(df: DataFrame, model: str, tests: Sequence[tuple[int, str, str, Any]]) -> DataFrame:
-    """All ``not_null`` and ``accepted_values`` tests of one table in a single aggregate pass.
+    """All ``not_null`` and ``accepted_values`` tests of one table.
 
-    ``tests`` = [(test_id, column, test_name, accepted_values_or_None)]. An
-    accepted-values failure count is ``COUNT(DISTINCT bad value)``; Catalyst
-    plans several of them as one Expand whose first aggregation groups by
-    (test, value), so the shuffle carries distinct values, not rows.
+    ``tests`` = [(test_id, column, test_name, accepted_values_or_None)]. The
+    ``not_null`` tests are one aggregate pass. An accepted-values failure
+    count is the number of distinct bad values: a second pass gives a row
+    (test, value) per violation only, made distinct and counted per test.
     """
-    aggs = []
-    for i, column, test, arg in tests:
-        col = F.col(column)
-        if test == "not_null":
-            aggs.append(F.count_if(col.isNull()).alias(f"__{i}"))
-        elif test == "accepted_values":
-            aggs.append(F.count_distinct(F.when(~col.isin(list(arg)), col)).alias(f"__{i}"))
-        else:
-            raise ValueError(f"not a column test: {test}")
-    rows = [F.struct(*_row(i, model, column, test, F.col(f"__{i}"))) for i, column, test, _ in tests]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    wrong = [test for _, _, test, _ in tests if test not in ("not_null", "accepted_values")]
+    if wrong:
+        raise ValueError(f"not a column test: {wrong[0]}")
+    nulls = [(i, c) for i, c, test, _ in tests if test == "not_null"]
+    lists = [(i, c, list(arg)) for i, c, test, arg in tests if test == "accepted_values"]
+    out = not_null(df, model, nulls) if nulls else None
+    if lists:
+        found = F.array(*[F.struct(F.lit(i).alias("__id"), F.when(~F.col(c).isin(vals), F.col(c).cast("string")).alias("__bad"))
+                          for i, c, vals in lists])
+        bad = (df.select(F.inline(F.filter(found, lambda s: s["__bad"].isNotNull()))).distinct()
+               .groupBy("__id").agg(F.count(F.lit(1)).alias("__n")))
+        every = df.sparkSession.range(1).select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("__test"), F.lit(c).alias("__column")) for i, c, _ in lists])))
+        got = every.join(bad, F.col("__test") == F.col("__id"), "left")
+        counted = got.select(*_row(F.col("__test"), model, F.col("__column"), "accepted_values",
+                                   F.coalesce(F.col("__n"), F.lit(0))))
+        out = counted if out is None else out.unionByName(counted)
+    return out
 
 
 def run_data_tests(models: Mapping[str, DataFrame],
@@ -81,7 +89,7 @@ def run_data_tests(models: Mapping[str, DataFrame],
     """Run every test of ``tests`` whose model is in ``models``; one row per test.
 
     ``test_id`` is the 1-based position in ``tests``; ``kinds`` keeps only some test types.
-    Per table, not_null and accepted_values tests share one pass; each unique test is
+    Per table, not_null tests share one pass and accepted_values tests another; each unique test is
     one map-side-combined group-by.
     """
     kinds = None if kinds is None else set(kinds)
@@ -140,12 +148,16 @@ def gate_non_empty(tables: Mapping[str, DataFrame]) -> None:
         raise GateError(f"empty after load: {', '.join(empty)}")
 
 
-def gate_coverage(df: DataFrame, key: str, dim: DataFrame, show: int = 20) -> None:
-    """Raise when a non-null key value has no dimension row (schema drift guard)."""
-    missing = uncovered(df, key, dim)
+def gate_coverage(df: DataFrame, key: str, dim: DataFrame, report_to: str | None = None, show: int = 20) -> None:
+    """Raise when a non-null key value has no dimension row (schema drift guard).
+
+    All uncovered values with their row counts are written to ``report_to`` (or a fresh
+    shared folder), which the error names beside the first ``show`` of them.
+    """
+    path = report_to or shared_dir(df.sparkSession, "uncovered")
+    uncovered(df, key, dim).write.mode("overwrite").parquet(path)
+    missing = df.sparkSession.read.parquet(path)
     total = missing.count()
     if total:
-        shown = missing.orderBy(key).limit(show).collect()  # message only; the gate counted all
-        names = ", ".join(f"{r[key]} ({r['rows']} rows)" for r in shown)
-        more = f" and {total - len(shown)} more" if total > len(shown) else ""
-        raise GateError(f"{total} {key} values not covered by the lookup: {names}{more}")
+        names = ", ".join(f"{r[key]} ({r['rows']} rows)" for r in missing.orderBy(key).limit(show).collect())
+        raise GateError(f"{total} {key} values not covered by the lookup: {names}; all of them: {path}")

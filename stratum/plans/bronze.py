@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions.cache import jvm_cached
 from stratum.functions.parse import flag, percent, strict_int, try_date, try_double, try_number
 from stratum.operators.dedupe import keep_first
 
@@ -24,7 +23,6 @@ def bronze_listings(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("listing_id").isNotNull()).select(*_listing_exprs())
 
 
-@jvm_cached
 def _listing_exprs() -> tuple[Column, ...]:
     c = F.col
     return (
@@ -60,7 +58,6 @@ def _listing_exprs() -> tuple[Column, ...]:
     )
 
 
-@jvm_cached
 def _review_exprs() -> tuple[Column, ...]:
     return (strict_int("listing_id", "listing_id").alias("listing_id"),
             strict_int("review_id", "review_id").alias("review_id"),

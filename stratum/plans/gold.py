@@ -2,10 +2,7 @@
 
 Each is one ``groupBy().agg()``: Spark plans the distinct counts with an
 Expand + two-level hash aggregate (partial aggregation before every
-shuffle) and the exact median as an object aggregate that keeps a
-value -> count map per group. ``price_usd`` is rounded to cents and
-bounded by the raw-price cap times the largest rate, so that map holds at
-most ~1.1 million entries per group no matter how many rows a group has.
+shuffle). The exact median is a join beside it (see :func:`with_median`).
 ``updated_at`` is the build time; ordering is the presentation order.
 """
 
@@ -15,16 +12,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum import fixed
-from stratum.functions.cache import jvm_cached
+from stratum.functions.dates import month_name, month_quarter, season
 from stratum.functions.measures import avg_nonzero, count_when, distinct_if, ratio, round_dec
 
 c = F.col
 
 
+def with_median(df: DataFrame, keys: list[str], aggs, value: str = "price_usd") -> DataFrame:
+    """``df`` grouped by ``keys`` with ``aggs`` and the exact ``median`` of ``value`` (2 places).
+
+    The median is taken over the counts of each value per group, so a group
+    that holds a third of all rows is split by its values before anything
+    meets in one task; the other aggregates stay a plain hash aggregate.
+    """
+    base = df.groupBy(*keys).agg(*aggs)
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    middle = (counts.groupBy(*[c(k).alias(f"__{k}") for k in keys])
+              .agg(round_dec(F.percentile(value, 0.5, c("__n")), 2).alias("median")))
+    same = F.lit(True)
+    for k in keys:
+        same = same & base[k].eqNullSafe(middle[f"__{k}"])
+    return base.join(middle, same).drop(*[f"__{k}" for k in keys])
+
+
+def _median_after(df: DataFrame, column: str) -> DataFrame:
+    """The median as ``median_price_usd``, placed after ``column``."""
+    names = [x for x in df.columns if x != "median"]
+    at = names.index(column) + 1
+    return df.withColumnRenamed("median", "median_price_usd").select(*names[:at], "median_price_usd", *names[at:])
+
+
 def _price_stats() -> list:
     p = c("price_usd")
     return [round_dec(F.avg(p), 2).alias("avg_price_usd"),
-            round_dec(F.median(p), 2).alias("median_price_usd"),
             round_dec(F.min(p), 2).alias("min_price_usd"),
             round_dec(F.max(p), 2).alias("max_price_usd")]
 
@@ -35,7 +55,6 @@ def _tier_counts(suffix: str) -> list:
             for n, cat in zip(names, fixed.PRICE_CATEGORIES)]
 
 
-@jvm_cached
 def _fct_revenue_by_city_aggs() -> tuple[Column, ...]:
     superhost, instant = c("host_is_superhost"), c("instant_bookable")
     return (
@@ -46,7 +65,6 @@ def _fct_revenue_by_city_aggs() -> tuple[Column, ...]:
         round_dec(F.avg("price_usd"), 2).alias("avg_price_usd"),
         round_dec(F.min("price_usd"), 2).alias("min_price_usd"),
         round_dec(F.max("price_usd"), 2).alias("max_price_usd"),
-        round_dec(F.median("price_usd"), 2).alias("median_price_usd"),
         round_dec(avg_nonzero(c("review_scores_rating")), 2).alias("avg_rating"),
         round_dec(avg_nonzero(c("review_scores_cleanliness")), 2).alias("avg_cleanliness_score"),
         round_dec(avg_nonzero(c("review_scores_location")), 2).alias("avg_location_score"),
@@ -58,13 +76,11 @@ def _fct_revenue_by_city_aggs() -> tuple[Column, ...]:
 
 
 def fct_revenue_by_city(listings: DataFrame, order: bool = True) -> DataFrame:
-    out = (listings.groupBy("city", "currency")
-           .agg(*_fct_revenue_by_city_aggs())
+    out = (_median_after(with_median(listings, ["city", "currency"], _fct_revenue_by_city_aggs()), "max_price_usd")
            .withColumn("updated_at", F.current_timestamp()))
-    return out.orderBy(F.desc("total_listings")) if order else out
+    return out.orderBy(F.desc("total_listings"), "city") if order else out
 
 
-@jvm_cached
 def _fct_superhost_performance_aggs() -> tuple[Column, ...]:
     return (
         F.count_distinct("host_id").alias("total_hosts"),
@@ -86,13 +102,11 @@ def _fct_superhost_performance_aggs() -> tuple[Column, ...]:
 
 
 def fct_superhost_performance(listings: DataFrame, order: bool = True) -> DataFrame:
-    out = (listings.groupBy("city", "host_type", "host_is_superhost")
-           .agg(*_fct_superhost_performance_aggs())
+    out = (_median_after(with_median(listings, ["city", "host_type", "host_is_superhost"], _fct_superhost_performance_aggs()), "avg_price_usd")
            .withColumn("updated_at", F.current_timestamp()))
     return out.orderBy("city", F.desc("host_is_superhost")) if order else out
 
 
-@jvm_cached
 def _fct_seasonal_trends_aggs() -> tuple[Column, ...]:
     return (
         F.count("review_id").alias("total_reviews"),
@@ -106,25 +120,26 @@ def _fct_seasonal_trends_aggs() -> tuple[Column, ...]:
 def fct_seasonal_trends(reviews: DataFrame, listings: DataFrame, order: bool = True) -> DataFrame:
     """Reviews of surviving listings by month, room type and price tier.
 
-    Only six listing columns cross the join. The join is left to the
-    planner: AQE turns it into a broadcast when the measured listings side
-    is under the broadcast threshold, otherwise it stays a sort-merge join
-    with skew splitting for hot listing ids.
+    Only the columns that are grouped or counted cross the join. What
+    depends on the month alone is derived after the aggregate. The join is
+    left to the planner: AQE turns it into a broadcast when the measured
+    listings side is under the broadcast threshold, otherwise it stays a
+    sort-merge join with skew splitting for hot listing ids.
     """
-    r = reviews.select("review_id", "listing_id", "reviewer_id", "month_name", "month_number",
-                       "year_number", "quarter_number", "season")
-    lst = listings.select("listing_id", "city", "room_type", "property_type", "price_category",
-                          "host_type")
+    r = reviews.select("review_id", "listing_id", "reviewer_id", "year_number", "month_number")
+    lst = listings.select("listing_id", "city", "room_type", "price_category")
     joined = r.join(lst, "listing_id", "inner")
-    keys = ["city", "year_number", "month_number", "month_name", "quarter_number", "season",
-            "room_type", "price_category"]
-    out = (joined.groupBy(*keys)
-           .agg(*_fct_seasonal_trends_aggs())
+    keys = ["city", "year_number", "month_number", "room_type", "price_category"]
+    month = c("month_number")
+    grouped = joined.groupBy(*keys).agg(*_fct_seasonal_trends_aggs())
+    counted = [x for x in grouped.columns if x not in keys]
+    out = (grouped.select("city", "year_number", "month_number", month_name(month).alias("month_name"),
+                          month_quarter(month).alias("quarter_number"), season(month).alias("season"),
+                          "room_type", "price_category", *counted)
            .withColumn("updated_at", F.current_timestamp()))
     return out.orderBy("city", "year_number", "month_number") if order else out
 
 
-@jvm_cached
 def _fct_price_vs_rating_aggs() -> tuple[Column, ...]:
     return (
         F.count_distinct("listing_id").alias("total_listings"),
@@ -145,7 +160,7 @@ def _fct_price_vs_rating_aggs() -> tuple[Column, ...]:
 
 def fct_price_vs_rating(listings: DataFrame, order: bool = True) -> DataFrame:
     rated = listings.where((c("price_usd") > 0) & (c("review_scores_rating") > 0))
-    out = (rated.groupBy("city", "room_type", "property_type", "price_category")
-           .agg(*_fct_price_vs_rating_aggs())
+    keys = ["city", "room_type", "property_type", "price_category"]
+    out = (_median_after(with_median(rated, keys, _fct_price_vs_rating_aggs()), "avg_price_usd")
            .withColumn("updated_at", F.current_timestamp()))
     return out.orderBy("city", "price_category", "room_type") if order else out

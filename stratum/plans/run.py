@@ -31,8 +31,11 @@ from stratum.sources.tables import layer_path, register_view, write_table
 def build_models(raw_listings: DataFrame, raw_reviews: DataFrame, dim: DataFrame,
                  as_of=None) -> dict[str, DataFrame]:
     """The eight models as lazy DataFrames over the given raw inputs."""
-    bl = bronze_listings(raw_listings)
-    br = bronze_reviews(raw_reviews)
+    return models_over(bronze_listings(raw_listings), bronze_reviews(raw_reviews), dim, as_of)
+
+
+def models_over(bl: DataFrame, br: DataFrame, dim: DataFrame, as_of=None) -> dict[str, DataFrame]:
+    """The eight models over the bronze tables."""
     sl = silver_listings(bl, dim, as_of)
     sr = silver_reviews(br)
     return {
@@ -60,7 +63,7 @@ def run_daily(spark: SparkSession, raw_listings: DataFrame, raw_reviews: DataFra
     listings_text = null_tokens(raw_listings)
     for r in null_summary(listings_text, fixed.NULL_RATE_REPORT_PCT).orderBy("null_pct").collect():
         log(f"null rate above {fixed.NULL_RATE_REPORT_PCT}%: {r.column_name} {r.null_pct}%")
-    gate_coverage(listings_text, "city", dim)
+    gate_coverage(listings_text, "city", dim, layer_path(root, "quarantine", "uncovered_city"))
 
     # full-refresh raw load, stamped with one batch time
     raw_l = write_table(with_load_time(listings_text, batch_ts), root, "bronze", "raw_listings")
@@ -72,10 +75,10 @@ def run_daily(spark: SparkSession, raw_listings: DataFrame, raw_reviews: DataFra
     sl = register_view(silver_listings(bl, dim, as_of), "silver_listings")
     sr = register_view(silver_reviews(br), "silver_reviews")
     gold: Mapping[str, DataFrame] = {
-        "fct_revenue_by_city": fct_revenue_by_city(sl),
-        "fct_superhost_performance": fct_superhost_performance(sl),
-        "fct_seasonal_trends": fct_seasonal_trends(sr, sl),
-        "fct_price_vs_rating": fct_price_vs_rating(sl),
+        "fct_revenue_by_city": fct_revenue_by_city(sl, order=False),
+        "fct_superhost_performance": fct_superhost_performance(sl, order=False),
+        "fct_seasonal_trends": fct_seasonal_trends(sr, sl, order=False),
+        "fct_price_vs_rating": fct_price_vs_rating(sl, order=False),
     }
     models = {"bronze_listings": bl, "bronze_reviews": br, "silver_listings": sl, "silver_reviews": sr}
     for name, df in gold.items():
@@ -90,7 +93,7 @@ def run_daily(spark: SparkSession, raw_listings: DataFrame, raw_reviews: DataFra
 def run_from_landing(spark: SparkSession, landing_dir: str, root: str,
                      as_of: _dt.date | str | None = None, batch_ts: _dt.datetime | str | None = None,
                      sources: tuple[str, str] = fixed.REQUIRED_SOURCES, encoding: str = "UTF-8",
-                     min_rows=fixed.GOLD_MIN_ROWS, log=print) -> dict[str, DataFrame]:
+                     min_rows=fixed.GOLD_MIN_ROWS, log=print, multiline: bool = True) -> dict[str, DataFrame]:
     """The whole daily run from a landing folder of CSV files.
 
     Presence gate on ``sources`` (listings, reviews) -> positional CSV loads
@@ -100,10 +103,10 @@ def run_from_landing(spark: SparkSession, landing_dir: str, root: str,
     require_sources(spark, landing_dir, sources)
     base = landing_dir.rstrip("/")
     listings, listing_rejects = read_csv_positional(
-        spark, f"{base}/{sources[0]}", fixed.RAW_LISTING_COLUMNS, encoding=encoding,
+        spark, f"{base}/{sources[0]}", fixed.RAW_LISTING_COLUMNS, encoding=encoding, multiline=multiline,
         stage_to=layer_path(root, "quarantine", "listings_parsed"))
     reviews, review_rejects = read_csv_positional(
-        spark, f"{base}/{sources[1]}", fixed.RAW_REVIEW_COLUMNS, encoding=encoding,
+        spark, f"{base}/{sources[1]}", fixed.RAW_REVIEW_COLUMNS, encoding=encoding, multiline=multiline,
         stage_to=layer_path(root, "quarantine", "reviews_parsed"))
     for name, rejects in (("listings", listing_rejects), ("reviews", review_rejects)):
         n = rejects.count()

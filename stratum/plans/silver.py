@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum import fixed
-from stratum.functions.cache import jvm_cached
 from stratum.functions.dates import as_date, date_dimension, years_between
 from stratum.functions.measures import round_dec
 from stratum.functions.tiers import label, tier
@@ -29,8 +28,7 @@ LISTING_DEFAULTS = {
 
 
 def silver_listings(bronze: DataFrame, dim: DataFrame,
-                    as_of: _dt.date | str | Column | None = None,
-                    dim_rows: int | None = len(fixed.CITY_CURRENCY_RATES)) -> DataFrame:
+                    as_of: _dt.date | str | Column | None = None) -> DataFrame:
     """Cleaned listings (40 columns).
 
     Filters use the *raw* values: the price bounds apply to the local
@@ -47,11 +45,10 @@ def silver_listings(bronze: DataFrame, dim: DataFrame,
         & (c("accommodates") > 0)
         & in_dimension(c("city")))
     mapped = lookup_normalise(base, dim, key="city", amount="price_raw", code_out="currency",
-                              amount_out="__price_usd", dim_rows=dim_rows)
+                              amount_out="__price_usd")
     return mapped.select(*_listing_exprs(as_of))
 
 
-@jvm_cached
 def _listing_exprs(as_of) -> tuple[Column, ...]:
     c = F.col
     d = defaulted(LISTING_DEFAULTS)

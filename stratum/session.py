@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import SparkSession
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "stratum") -> SparkSession:
     """Local session with AQE on, UI off and UTC session time."""
-    spark = (SparkSession.builder.config("spark.eventLog.enabled", os.environ.get("STRATUM_EVENTLOG", "") != "").config("spark.eventLog.dir", os.environ.get("STRATUM_EVENTLOG", "/tmp")).master(f"local[{cpus}]").appName(app)
+    spark = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              # no per-call Python call-site capture: ~4 fewer JVM round trips per F.* call
@@ -31,21 +30,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
-    ``spark.checkpoint.dir`` names storage every executor can reach; it is
-    only set here (to a new temporary folder) when the session has none,
-    which is the local-test case.
+    ``spark.checkpoint.dir`` names storage every executor can reach. A session
+    without one is an error: no machine-local folder stands in for it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
-        sc = None
-    if sc is not None:
-        base = sc.getCheckpointDir() or base
-        if not base:
-            base = tempfile.mkdtemp(prefix="stratum-ckpt-")
-            sc.setCheckpointDir(base)
-            base = sc.getCheckpointDir() or base
     if not base:
-        raise RuntimeError("spark.checkpoint.dir is not set")
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: no SparkContext on the client
+            base = None
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])

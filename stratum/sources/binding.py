@@ -12,8 +12,7 @@ extract scales with the tables. The joins run in star order: ``orders ⋈
 customer`` on the customer key (a sort-merge join at scale; on small
 inputs the planner broadcasts the side that measures small), then the
 25-row ``nation`` and 5-row ``region``, which the planner broadcasts by
-their measured size. Both big scans are spread (see :func:`spread`) so
-the streamed side never runs as a single task.
+their measured size. The plan is the same at every input size.
 """
 
 from __future__ import annotations
@@ -22,9 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum import fixed
-from stratum.functions.cache import jvm_cached
 from stratum.sources.csv import write_csv
-from stratum.sources.tables import materialize
 
 # When the extract is staged as CSV, orders whose key is divisible by these
 # also get a damaged copy: one field too many / three fields too few.
@@ -52,37 +49,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str, barrier: bool = False) -> DataFrame:
-    """Hash-spread a scan over the cluster when it arrives in fewer splits than cores.
-
-    A single small Parquet file (one row group) scans as one task, and the
-    per-row parsing downstream would then run on one core. Large inputs
-    already have at least as many splits as cores and are left untouched,
-    so this never adds a shuffle at scale. Hashing on a key keeps the
-    spread deterministic under task retries.
-
-    Catalyst pushes later filters through a repartition, which would put
-    the filters' parsing back on the single scan task. With ``barrier`` the
-    (small) spread input is written once as Parquet under the shared
-    checkpoint folder and read back, which filters cannot cross.
-    """
-    spark = df.sparkSession
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: split count not visible to the client
-        return df
-    if splits >= target:
-        return df
-    spread_df = df.repartition(target, key)
-    return materialize(spread_df, "spread") if barrier else spread_df
-
-
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-@jvm_cached
 def _listing_exprs() -> tuple[Column, ...]:
     """The 33 text columns of the extract, over the joined order/customer/nation/region row."""
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -136,11 +106,9 @@ def _listing_exprs() -> tuple[Column, ...]:
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """33 text columns in loader order, one row per order."""
-    o = spread(_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-        "o_orderkey", barrier=True)
-    c = spread(_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
-               "c_custkey")
+    o = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (o.join(c, o.o_custkey == c.c_custkey)
@@ -149,7 +117,6 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*_listing_exprs())
 
 
-@jvm_cached
 def _review_exprs() -> tuple[Column, ...]:
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
     return (
@@ -163,8 +130,7 @@ def _review_exprs() -> tuple[Column, ...]:
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4 text columns in loader order, one row per lineitem (key duplicates kept)."""
-    li = spread(_table(spark, sf_dir, "lineitem")
-                .select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"), "l_orderkey")
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
     return li.select(*_review_exprs())
 
 

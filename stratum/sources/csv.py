@@ -29,7 +29,7 @@ def text_schema(columns: Sequence[str], corrupt: bool = True) -> StructType:
 
 
 def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
-                        encoding: str = "UTF-8", multiline: bool = False,
+                        encoding: str = "UTF-8", multiline: bool = True,
                         tokens: Sequence[str] = fixed.NULL_TOKENS,
                         header: bool = True,
                         stage_to: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -49,9 +49,10 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
     both outputs read that table, whatever later stages select. The write
     also cuts the lineage back to the text files.
 
-    ``multiline`` allows quoted line breaks but makes each file one split:
-    keep it off for large single files without embedded newlines, or land
-    many files so the scan still parallelises.
+    With ``multiline`` (the default) a quoted field may hold line breaks;
+    each file is then one split, so parallelism comes from landing many
+    files. Turn it off only for files known to hold no quoted line break:
+    there such a record would be cut in two and quarantined.
     """
     raw = (spark.read.schema(text_schema(columns))
            .option("header", header)
@@ -73,7 +74,7 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
 
 
 def read_csv_named(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
-                   multiline: bool = False) -> DataFrame:
+                   multiline: bool = True) -> DataFrame:
     """Header-named scan for profiling: every column as text, names from the header.
 
     No type inference (it would cost a full extra pass over the files);

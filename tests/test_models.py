@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import listing_row, raw_listings_df, raw_reviews_df
 from stratum.operators.lookup import city_dimension, lookup_normalise
@@ -108,7 +109,7 @@ def test_median_is_interpolated(spark):
 
 def test_lookup_default_arm(spark):
     df = spark.createDataFrame([("Atlantis", 10.0), (None, 3.0), ("Rome", 10.0)], "city string, price_raw double")
-    out = {r.city: r for r in lookup_normalise(df, city_dimension(spark), dim_rows=10).collect()}
+    out = {r.city: r for r in lookup_normalise(df, city_dimension(spark)).collect()}
     assert (out["Atlantis"].currency, out["Atlantis"].price_converted) == ("USD", 10.0)
     assert (out[None].currency, out[None].price_converted) == ("USD", 3.0)
     assert out["Rome"].currency == "EUR" and out["Rome"].price_converted == pytest.approx(10.8)
@@ -148,13 +149,15 @@ def test_seasonal_trends_inner_join(spark, models):
     assert all(r.avg_reviews_per_listing == 1.0 for r in trends)
 
 
-def test_sized_broadcast_only_for_known_small_dimensions(spark):
-    from stratum.operators.lookup import BROADCAST_MAX_ROWS, sized_broadcast
-    dim = city_dimension(spark)
-    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(sized_broadcast(dim, 10)).lower()
-    assert "broadcast" not in plan(sized_broadcast(dim, None)).lower()
-    assert "broadcast" not in plan(sized_broadcast(dim, BROADCAST_MAX_ROWS + 1)).lower()
+def test_one_city_with_a_third_of_the_rows_and_null_groups(spark):
+    from stratum.plans.gold import with_median
+    rows = [("a", None, float(i % 7)) for i in range(300)] + [(str(i), "r", float(i)) for i in range(600)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "city string, room string, price_usd double")
+    got = with_median(df, ["city", "room"], [F.count(F.lit(1)).alias("n")])
+    by = {(r.city, r.room): (r.n, r.median) for r in got.collect()}
+    assert by[("a", None)] == (300, 3.0) and by[("5", "r")] == (1, 5.0) and by[(None, None)] == (1, None)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
 
 
 def test_load_stamp_and_defaults(spark):

@@ -105,3 +105,35 @@ def test_materialize_writes_fresh_parquet_and_cuts_lineage(spark):
     assert a.inputFiles() and set(a.inputFiles()).isdisjoint(b.inputFiles())   # a new folder per call
     assert "Range" not in a._jdf.queryExecution().optimizedPlan().toString()    # reads files, not the plan
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_quoted_line_breaks_stay_in_their_field(spark, scratch):
+    import os
+    from stratum.sources.csv import read_csv_named, read_csv_positional
+    path = os.path.join(scratch, "l.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('a,b\n1,"two\nlines, ""quoted"""\n2,plain\n3,x,too many\n')
+    good, rejects = read_csv_positional(spark, path, ("a", "b"))
+    assert sorted(map(tuple, good.collect())) == [("1", 'two\nlines, "quoted"'), ("2", "plain")]
+    assert [r.a for r in rejects.collect()] == ["3"]
+    assert read_csv_named(spark, path).where("a = '1'").first().b == 'two\nlines, "quoted"'
+
+
+def test_a_session_without_a_shared_folder_is_an_error():
+    import pytest
+    from stratum.session import shared_dir
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session(), "x")
