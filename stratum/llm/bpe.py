@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.llm.common import per_worker, table
 
 #: merged words and runs kept by one worker; the cache starts anew beyond that
-CACHE = 400_000
+CACHE = 200_000
 #: up to this code point text is its own NFC form and character classes are settled in every Unicode version
 PLAIN_END = 0x24F
 

@@ -90,11 +90,12 @@ def drop_exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) ->
     marks = exact_dedup(docs, index).where("kept").groupBy("doc_id", "n_chars", "text_sha256").agg(
         F.count(F.lit(1)).alias("same"))
     marks = written(marks, "kept")
+    # one plan at every size: the marks grow with the documents and are never broadcast
     key = [F.col("doc_id").alias("__id"), F.col("n_chars").alias("__n"),
            F.unhex("text_sha256").alias("__digest"), F.col("same").alias("__same")]
     body = text_or_empty("text")
     rows = docs.withColumn("__d", F.unhex(F.sha2(without_white(body), 256)))
-    kept = rows.join(marks.select(*key), (rows["__d"] == F.col("__digest"))
+    kept = rows.join(marks.select(*key).hint("merge"), (rows["__d"] == F.col("__digest"))
                      & rows["doc_id"].eqNullSafe(F.col("__id"))
                      & (F.char_length(body) == F.col("__n"))).drop("__id", "__n", "__digest", "__d")
     single = kept.where("__same = 1").drop("__same")

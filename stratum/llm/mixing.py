@@ -230,7 +230,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
              .agg(F.min("copies").alias("__copies")).where("__copies > 0"))
     marks = written(marks, "mix")
     rows = with_size(docs, options.get("text", "text"), "__size")
-    out = rows.join(marks, rows[options.get("doc_id", "doc_id")].eqNullSafe(marks["__id"])
+    out = rows.join(marks.hint("merge"), rows[options.get("doc_id", "doc_id")].eqNullSafe(marks["__id"])
                     & (rows["__size"] == marks["__words"]))
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
 

@@ -210,7 +210,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -
     keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("__same"))
     keep = written(keep, "kept").withColumnRenamed("doc_id", "__id")
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__id"])).drop("__id")
+    kept = docs.join(keep.hint("merge"), docs["doc_id"].eqNullSafe(keep["__id"])).drop("__id")
     single = kept.where("__same = 1").drop("__same")
     several = kept.where("__same > 1").drop("__same")
     rest = [c for c in docs.columns if c != "doc_id"]

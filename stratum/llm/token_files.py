@@ -28,7 +28,7 @@ MAGIC, VERSION = b"TIDS", 1
 # ---------------------------------------------------------------- ids of texts
 
 #: pieces kept by one worker; the cache starts anew beyond that
-CACHE = 400_000
+CACHE = 200_000
 
 
 class ByteBpe:
