@@ -488,7 +488,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
                 yield pa.RecordBatch.from_arrays([*found.columns, pa.array([False] * found.num_rows)],
                                                  names=["slot", "blob", "open"])
 
-    found = (known.select("doc_id", "line", "text").mapInArrow(first_round, "slot int, blob binary, open boolean")
+    # the table's many small files are read by as few tasks as there are buckets, for longer runs
+    found = (known.select("doc_id", "line", "text").coalesce(parts).mapInArrow(first_round, "slot int, blob binary, open boolean")
              .repartition(parts, "slot").mapInArrow(_merged_grams(keys), "slot int, blob binary"))
     shared = found.repartition(parts, "slot").mapInArrow(_gathered(1), "line long, numbers binary")
     shared = written(shared, "anchors")
