@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,21 @@ PIECE = 60_000
 _PLACE = np.uint64(0xFFFF)
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first, last, high, low): anchors, the first and last window that has it, and its GRAM bytes as two numbers."""
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(number, anchor, first, last, high, low) of all texts, in order: the text's number, the
+    place of an anchor, the first and last window that has it, its GRAM bytes as two numbers.
+
+    The texts are looked at as one, PIECE windows in one go (at a piece's end an anchor's
+    windows are cut in two rows); windows across the end of a text are left out.
+    """
+    joined = b"".join(texts)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
     found: list[tuple] = []
-    n = len(text) - MIN_BYTES + 1  # windows
+    n = len(joined) - MIN_BYTES + 1  # windows
     for base in range(0, n, PIECE):
         count = min(PIECE, n - base)
-        x = np.frombuffer(text, np.uint8, count + MIN_BYTES - 1, base)
+        x = np.frombuffer(joined, np.uint8, count + MIN_BYTES - 1, base)
         eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(x, 8)).view(">u8").ravel().astype(np.uint64)
         high, low = eight[:-8], eight[8:]
         h = (high ^ (low * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -57,13 +66,26 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
             rest = STEP - width
             m = np.minimum(m[:-rest], m[rest:])
         at = (m & _PLACE).astype(np.int64)
-        start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        # windows whole within their text; a text's first window begins anew
+        inside = np.ones(count + 1, dtype=bool)
+        inside[count] = False
+        cut = np.ones(count + 1, dtype=bool)
+        cut[1:count] = at[1:] != at[:-1]
+        for e in ends[np.searchsorted(ends, base + 1):np.searchsorted(ends, base + count + MIN_BYTES)].tolist():
+            inside[max(0, e - MIN_BYTES + 1 - base):max(0, min(count, e - base))] = False
+            if e - base < count:
+                cut[e - base] = True
+        start = np.flatnonzero(inside[:count] & (cut[:count] | np.concatenate(([True], ~inside[:count - 1]))))
+        last = np.flatnonzero(inside[:count] & (cut[1:] | ~inside[1:]))
         a = at[start]
-        found.append((a + base, start + base, np.r_[start[1:], count] - 1 + base, high[a], low[a]))
+        found.append((a + base, start + base, last + base, high[a], low[a]))
     if not found:
         e = np.zeros(0, np.int64)
-        return e, e, e, e.astype(np.uint64), e.astype(np.uint64)
-    return tuple(np.concatenate(c) for c in zip(*found))
+        return e, e, e, e, e.astype(np.uint64), e.astype(np.uint64)
+    a, first, last, high, low = (np.concatenate(c) for c in zip(*found))
+    number = np.searchsorted(ends, a, side="right")
+    begin = (ends - sizes)[number]
+    return number, a - begin, first - begin, last - begin, high, low
 
 
 def _slot(high: np.ndarray, low: np.ndarray, parts: int) -> np.ndarray:
@@ -75,12 +97,13 @@ def front_code(keys: list[bytes], known: np.ndarray | None = None) -> tuple[byte
     """(lengths in common with the key before, as bytes; what is left of the keys, joined)."""
     if known is None:
         known = np.zeros(len(keys), np.uint8)
-        for i in range(1, len(keys)):
-            x, y = keys[i - 1], keys[i]
-            n, k = min(len(x), len(y)), 0
-            while k < n and x[k] == y[k]:
-                k += 1
-            known[i] = k
+        if len(keys) > 1:
+            sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+            width = int(sizes.max()) + 1  # one more than any key: the longest place that can differ
+            square = np.frombuffer(b"".join([k.ljust(width, b"\0") for k in keys]), np.uint8).reshape(-1, width)
+            differ = square[1:] != square[:-1]
+            differ[:, -1] = True
+            known[1:] = np.minimum(differ.argmax(1), np.minimum(sizes[1:], sizes[:-1]))
     return known.astype(np.uint8).tobytes(), b"".join(k[c:] for k, c in zip(keys, known.tolist()))
 
 
@@ -132,8 +155,13 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tupl
             return a, b
         p, q = heads[a][1], heads[b][1]
         n = len(p) if len(p) < len(q) else len(q)
-        while x < n and p[x] == q[x]:
+        if x < n and p[x] == q[x]:
             x += 1
+            if p[x:n] == q[x:n]:
+                x = n
+            else:
+                while p[x] == q[x]:
+                    x += 1
         if x == n:
             first = len(p) <= len(q)
         else:
@@ -197,10 +225,8 @@ def _documents(batches) -> Iterator[list[tuple[int, int, bytes, object]]]:
 
 def _gram_run(docs, parts: int):
     """Rows (slot, blob) of one sorted run, and (number of the document, shared anchors) found inside it."""
-    found = [anchors(d[2]) for d in docs]
-    number = np.repeat(np.arange(len(docs)), [len(f[0]) for f in found])
-    place, high, low = (np.concatenate([f[i] for f in found]) for i in (0, 3, 4))
-    order = np.lexsort((place, number, low, high))
+    number, place, _, _, high, low = anchors([d[2] for d in docs])
+    order = np.lexsort((low, high))  # stable: equal ones stay by document and place
     number, place, high, low = number[order], place[order], high[order], low[order]
     new = np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]
     starts = np.flatnonzero(new)
@@ -217,6 +243,8 @@ def _gram_run(docs, parts: int):
         own[int(number[hit[at]])] = place[hit[at:end]]
     number, place, high, low, inside = number[go], place[go], high[go], low[go], inside[go]
     slot = _slot(high, low, parts)
+    if parts <= 1 << 16:
+        slot = slot.astype(np.uint16)  # sorted by its digits
     order = np.argsort(slot, kind="stable")
     bounds = np.searchsorted(slot[order], np.arange(parts + 1))
     ids = np.array([d[0] for d in docs], "<i8")
@@ -329,13 +357,18 @@ def _merged_grams(keys: list[int]):
 
 def _unit_run(docs, parts: int):
     """Rows (slot, blob): the sorted units of the documents' shared anchors, equal ones as one with all their places."""
-    units: dict[tuple[bytes, int], list[tuple[int, int]]] = {}
-    for number, (_, _, raw, wanted) in enumerate(docs):
-        a, first, last, _, _ = anchors(raw)
-        mark = np.unique(np.frombuffer(wanted, "<u4")).astype(np.int64)
-        at = np.flatnonzero(np.isin(a, mark))
-        for x, s, e in zip(a[at].tolist(), first[at].tolist(), last[at].tolist()):
-            units.setdefault((raw[x:e + MIN_BYTES] + raw[s:x][::-1], x - s), []).append((number, s))
+    units: dict[tuple[bytes, int], list[int]] = {}  # places: document << 32 | first window
+    number, a, first, last, _, _ = anchors([d[2] for d in docs])
+    mark = np.concatenate([np.frombuffer(d[3], "<u4").astype(np.int64) | i << 32 for i, d in enumerate(docs)])
+    at = np.flatnonzero(np.isin(a | number << 32, mark))
+    for i, x, s, e in zip(number[at].tolist(), a[at].tolist(), first[at].tolist(), last[at].tolist()):
+        raw = docs[i][2]
+        unit = raw[x:e + MIN_BYTES] + raw[s:x][::-1], x - s
+        places = units.get(unit)
+        if places is None:
+            units[unit] = [i << 32 | s]
+        else:
+            places.append(i << 32 | s)
     slots: dict[int, list] = {}
     heads = np.frombuffer(b"".join(k[0][:GRAM] for k in units), ">u8").reshape(-1, 2).astype(np.uint64)
     slot = _slot(heads[:, 0], heads[:, 1], parts).tolist()
@@ -347,12 +380,12 @@ def _unit_run(docs, parts: int):
         found.sort()
         same, left = front_code([k for k, _ in found])
         places = [units[u] for u in found]
-        flat = np.array([x for p in places for x in p], "<u4").reshape(-1, 2)
-        used, local = np.unique(flat[:, 0], return_inverse=True)
+        flat = np.fromiter(chain.from_iterable(places), np.int64)
+        used, local = np.unique(flat >> 32, return_inverse=True)
         yield s, pack(same, left, np.array([len(k) for k, _ in found], "<u1").tobytes(),
                       np.array([b for _, b in found], "<u1").tobytes(),
                       np.array([len(p) for p in places], "<u4").tobytes(), local.astype("<u4").tobytes(),
-                      flat[:, 1].astype("<u4").tobytes(), steps(ids[used]), steps(lines[used]))
+                      (flat & 0xFFFFFFFF).astype("<u4").tobytes(), steps(ids[used]), steps(lines[used]))
 
 
 def _unit_stream(blob: bytes):
