@@ -32,7 +32,7 @@ MIN_BYTES = 50
 GRAM = 16
 STEP = MIN_BYTES - GRAM + 1
 #: bytes of text sorted into one run, and bytes of a long text looked at in one go
-RUN_BYTES = 12 << 20
+RUN_BYTES = 24 << 20
 PIECE = 60_000
 _PLACE = np.uint64(0xFFFF)
 
@@ -328,25 +328,29 @@ def _merged_grams(keys: list[int]):
             if settled.num_rows:
                 yield settled.select(["slot", "blob"])
         lines, places = [], []
-        first, shared, waiting = None, False, []
+        # of the entries with the present key: the first, those after it while none is of another document
+        first, waiting, shared = None, [], False
         for common, _, entry in merge_runs([_gram_stream(b) for b in blobs]):
+            if common < GRAM:  # most keys come once, and nothing more is done for them
+                first, shared = entry, entry[0]
+                if waiting:
+                    waiting = []
+                continue
             done, doc_id, line, place = entry
-            if common < GRAM:
-                waiting, shared, first = [], False, doc_id
-            if not shared and (done or doc_id != first):
+            if not shared:
+                if not done and doc_id == first[1]:
+                    waiting.append(entry)
+                    continue
                 shared = True
-                for line_, place_ in waiting:
+                for _, _, line_, place_ in (first, *waiting):
                     lines.append(line_)
                     places.append(place_)
             if not done:
-                if shared:
-                    lines.append(line)
-                    places.append(place)
-                else:
-                    waiting.append((line, place))
-            if len(lines) >= FLUSH:
-                yield _scattered(lines, places, 1, keys)
-                lines, places = [], []
+                lines.append(line)
+                places.append(place)
+                if len(lines) >= FLUSH:
+                    yield _scattered(lines, places, 1, keys)
+                    lines, places = [], []
         if lines:
             yield _scattered(lines, places, 1, keys)
 
