@@ -183,23 +183,24 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tupl
         winners = following
         level //= 2
     top = winners[0]
-    while known[top] >= 0:
-        _, key, payload = heads[top]
-        yield known[top], key, payload
-        head = next(runs[top], None)
-        heads[top] = head
-        known[top] = -1 if head is None else head[0]
+    best = known[top]  # what the top has in common with the key that left last
+    while best >= 0:
+        head = heads[top]
+        yield best, head[1], head[2]
+        heads[top] = head = next(runs[top], None)
+        known[top] = best = -1 if head is None else head[0]
         node = (top + k) >> 1
         while node:
             other = loser[node]
-            x, y = known[top], known[other]
-            if x < y:
+            y = known[other]
+            if best < y:
                 loser[node] = top
-                top = other
-            elif x == y and x >= 0:
+                top, best = other, y
+            elif best == y and y >= 0:
                 w, lost = play(top, other)
-                loser[node] = lost
-                top = w
+                if w != top:
+                    loser[node] = lost
+                    top = w
             node >>= 1
 
 
@@ -408,27 +409,26 @@ def _unit_stream(blob: bytes):
 
 def _repeats(units: dict[tuple[bytes, int], list[tuple[int, int, int]]]):
     """(row number, start, end) of windows of these units (all of one anchor) that begin in a smaller document too."""
-    if len(units) == 1:
-        ((key, _), places), = units.items()
-        low = min(p[0] for p in places)
-        for d, v, s in places:
-            if d > low:
-                yield v, s, s + len(key)
-        return
     least: dict[bytes, int] = {}
     whole = []
     for (key, back), places in units.items():
         cut = len(key) - back
         full = key[cut:][::-1] + key[:cut]
-        low = min(p[0] for p in places)
+        low = min(places)[0]
         windows = [full[i:i + MIN_BYTES] for i in range(len(full) - MIN_BYTES + 1)]
         whole.append((windows, places))
         for w in windows:
-            if least.get(w, low) >= low:
+            if least.setdefault(w, low) > low:
                 least[w] = low
     for windows, places in whole:
         lows = [least[w] for w in windows]
+        lowest, highest = min(lows), max(lows)
         for d, v, s in places:
+            if d <= lowest:
+                continue
+            if d > highest:
+                yield v, s, s + len(windows) - 1 + MIN_BYTES
+                continue
             start = None
             for i, low in enumerate(lows):
                 if low < d:
@@ -449,7 +449,13 @@ def _merged_units(keys: list[int]):
         units: dict[tuple[bytes, int], list] = {}
 
         def settle():
-            for line, start, end in _repeats(units):
+            if len(units) == 1:  # most anchors: all their windows are equal
+                ((key, _), places), = units.items()
+                low = min(places)[0]
+                found = [(v, s, s + len(key)) for d, v, s in places if d > low]
+            else:
+                found = _repeats(units)
+            for line, start, end in found:
                 lines.append(line)
                 ranges.append(start)
                 ranges.append(end)
