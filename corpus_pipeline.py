@@ -14,13 +14,14 @@ from stratum.llm.bpe import encode_documents
 from stratum.llm.common import table, written
 from stratum.llm.exact_dedup import drop_exact_duplicates
 from stratum.llm.mixing import mixed_documents
+from stratum.llm.near_copies import near_copies
 from stratum.llm.quality import held_out, score, train
-from stratum.llm.simhash import drop_near_duplicates
+from stratum.llm.simhash import drop_grouped
 
 #: documents below this chance of being good go
 MIN_QUALITY = 0.5
-#: SimHash over word shingles: bits that near copies may differ by
-NEAR_SHINGLE, NEAR_DISTANCE = 3, 3
+#: near copies: words of a shingle and the Jaccard similarity from which two texts link
+NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the smallest doc_id."""
-    return drop_near_duplicates(docs, NEAR_SHINGLE, NEAR_DISTANCE)
+    return drop_grouped(docs, near_copies(docs, NEAR_SHINGLE, NEAR_SIMILARITY))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

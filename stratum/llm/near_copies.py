@@ -1,0 +1,240 @@
+"""Near copies by word-shingle similarity: SimHash candidates by deletion variants, then a check of the shingles.
+
+The links of ``simhash.near_duplicates`` are those of a 64-bit fingerprint at 3 bits, which texts
+of 0.8 similarity rarely reach. Here fingerprints are wider, the segments so short that such
+texts mostly agree on one of them but for a bit, and what the fingerprints propose is verified.
+"""
+
+from __future__ import annotations
+
+from itertools import islice, repeat
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stratum.llm.common import written
+from stratum.llm.components import components
+from stratum.llm.simhash import CHUNK, SEED, forest, in_groups
+
+#: a fingerprint of 128 bits is cut into SEGMENTS of WIDTH bits
+SEGMENTS, WIDTH = 8, 16
+#: bits by which two fingerprints may differ and still be checked (0.8 similarity: 19 on average)
+LIMIT = 28
+#: smallest shingle hashes kept of a text; a text of fewer distinct shingles is compared exactly
+SKETCH = 256
+#: members of a bucket compared in one block; larger buckets are cut into pairs of blocks
+BLOCK = 512
+#: rows compared side by side, at least the two blocks of a unit
+SIDE_BY_SIDE = 4 * BLOCK
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Another 64 bits from 64 (the splitmix64 finaliser)."""
+    h = h + np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _majority(h: np.ndarray) -> int:
+    counts = np.zeros(64, np.int64)
+    for start in range(0, len(h), CHUNK):
+        part = h[start:start + CHUNK]
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(h), bitorder="little").view("<i8")[0])
+
+
+def sketch(text: str | None, shingle: int) -> tuple[int, int, np.ndarray]:
+    """Two fingerprint words and the smallest hashes of the distinct word shingles; no words: zeros and none."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return 0, 0, np.zeros(0, np.int32)
+    if len(words) < shingle:
+        grams, total = iter([b" ".join(words)]), 1
+    else:
+        grams = map(b" ".join, zip(*(islice(words, i, None) for i in range(shingle))))
+        total = len(words) - shingle + 1
+    h = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=total))
+    return _majority(h), _majority(_mixed(h)), (h[:SKETCH] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity from two sketches: exact unless one is full, else over the union's smallest SKETCH."""
+    both = np.sort(np.concatenate((a, b)).view(np.uint32))
+    if not len(both):
+        return 1.0
+    first = np.r_[True, both[1:] != both[:-1]]
+    place = np.cumsum(first)  # 1-based place of every value in the union
+    k = min(int(place[-1]), SKETCH) if max(len(a), len(b)) >= SKETCH else int(place[-1])
+    return int((~first & (place <= k)).sum()) / k
+
+
+def spanning(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+    """Indexes of a minimum spanning forest of the links u-v by weight, then by place (Boruvka)."""
+    order = np.argsort(w, kind="stable")
+    u, v = u[order], v[order]
+    live, component, out = np.arange(len(u)), np.arange(n), []
+    while True:
+        a, b = component[u[live]], component[v[live]]
+        cross = a != b
+        if not cross.any():
+            return order[np.unique(np.concatenate(out))] if out else order[:0]
+        live, a, b = live[cross], a[cross], b[cross]
+        best = np.full(n, len(u))
+        np.minimum.at(best, a, live)
+        np.minimum.at(best, b, live)
+        chosen = np.unique(best[best < len(u)])
+        out.append(chosen)
+        component = forest(component[u[chosen]], component[v[chosen]], n)[component]
+
+
+def _trees(group: np.ndarray, side: np.ndarray, f0: np.ndarray, f1: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(u, v, bits): within each group the forest of closest links of at most LIMIT bits; rows sorted by group.
+
+    ``side`` as in ``simhash``: 0 compares with all, 1 and 2 are two blocks compared across.
+    """
+    n = len(f0)
+    ends = np.r_[np.flatnonzero(group[1:] != group[:-1]) + 1, n]
+    starts = np.r_[0, ends[:-1]]
+    left = np.repeat(ends, ends - starts) - np.arange(n) - 1
+    us, vs, ws = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+    rows, step = np.arange(n), 1
+    while len(rows := rows[left[rows] >= step]):
+        other = rows + step
+        bits = np.bitwise_count(f0[rows] ^ f0[other]) + np.bitwise_count(f1[rows] ^ f1[other])
+        near = (bits <= LIMIT) & ((side[rows] == 0) | (side[rows] != side[other]))
+        us.append(rows[near])
+        vs.append(other[near])
+        ws.append(bits[near])
+        step += 1
+    u, v, w = np.concatenate(us), np.concatenate(vs), np.concatenate(ws)
+    kept = spanning(u, v, w, n)
+    return u[kept], v[kept], w[kept]
+
+
+def sketches(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, f0, f1, sketch) of every row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("f0", pa.int64()), ("f1", pa.int64()),
+                        ("sketch", pa.list_(pa.int32()))])
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                part = b.slice(at, 1024)
+                found = [sketch(t.as_py(), shingle) for t in part.column(1)]
+                ends = np.cumsum([0] + [len(x[2]) for x in found])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([x[0] for x in found], pa.int64()),
+                     pa.array([x[1] for x in found], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                              pa.array(np.concatenate([x[2] for x in found]), pa.int32()))],
+                    schema=schema)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, f0 long, f1 long, sketch array<int>")
+
+
+def signatures(nodes: DataFrame) -> DataFrame:
+    """(sig, f0, f1): every segment with each of its bits deleted in turn.
+
+    Two segments that differ by at most one bit share the variant without that bit, so the
+    exact value needs no signature of its own. ``sig`` holds the segment, the place of the bit
+    and the bits left.
+    """
+    rows = nodes.select("f0", "f1", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS * WIDTH - 1))).alias("v"))
+    per_word = 64 // WIDTH
+    return rows.select(F.expr(
+        f"cast(v * {1 << WIDTH} + (shiftrightunsigned(if(v < 64, f0, f1), cast(v div {WIDTH} % {per_word} * {WIDTH} as int))"
+        f" & {(1 << WIDTH) - 1} & ~shiftleft(1L, v % {WIDTH})) as int)").alias("sig"), "f0", "f1")
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(a, b, bits): links between nodes (hashes of fingerprints), closest first within each bucket.
+
+    Buckets of one signature are joined by equality: one shuffle brings their members together.
+    A bucket of more than BLOCK members, known from a count over all signatures, is dealt by a
+    hash of the fingerprint into blocks and every pair of blocks is a unit. A unit gives a
+    minimum spanning forest by bits, so at most one link per member leaves it, and of linked
+    members those most alike.
+    """
+    sigs = signatures(nodes)
+    large = written(sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK),
+                    "large-buckets")
+    rows = sigs.join(large, "sig", "left")
+    parts = F.ceil(F.coalesce(F.col("members"), F.lit(1)) / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("f0", "f1"), parts).cast("int")
+    partners = F.when(parts == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), parts - 1))
+    alone = F.col("other") < 0
+    units = (rows.select("sig", "f0", "f1", mine.alias("mine"), F.explode(partners).alias("other"))
+             .select("sig", F.when(alone, 0).otherwise(F.least("mine", "other")).alias("low"),
+                     F.when(alone, 0).otherwise(F.greatest("mine", "other")).alias("high"),
+                     F.when(alone | (F.col("mine") == F.col("other")), 0)
+                     .when(F.col("mine") < F.col("other"), 1).otherwise(2).cast("byte").alias("side"), "f0", "f1"))
+    key = ["sig", "low", "high"]
+
+    def work(t, group):
+        side, f0, f1 = (t.column(c).to_numpy() for c in ("side", "f0", "f1"))
+        x0, x1 = f0.view(np.uint64), f1.view(np.uint64)
+        found, at = [], 0
+        while at < len(group):  # whole groups, about SIDE_BY_SIDE rows at a time
+            end = int(np.searchsorted(group, group[min(at + SIDE_BY_SIDE, len(group)) - 1], "right"))
+            u, v, w = _trees(group[at:end], side[at:end], x0[at:end], x1[at:end])
+            found.append((u + at, v + at, w))
+            at = end
+        u, v, w = (np.concatenate(x) for x in zip(*found))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (f0[u], f1[u], f0[v], f1[v], w.astype(np.int16))],
+                                          names=["a0", "a1", "b0", "b1", "bits"])
+
+    def run(batches):
+        return in_groups(batches, key, work)
+
+    links = (units.repartition(*key).sortWithinPartitions(*key, "f0", "f1")
+             .mapInArrow(run, "a0 long, a1 long, b0 long, b1 long, bits short"))
+    return links.groupBy(F.xxhash64("a0", "a1").alias("a"), F.xxhash64("b0", "b1").alias("b")).agg(
+        F.min("bits").alias("bits"))
+
+
+def verified(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose sketches say a similarity of at least ``least``."""
+    left = known.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
+    right = known.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    rows = (pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+            .select("a", "b", "x", "y"))
+
+    def run(batches):
+        for t in batches:
+            values = []
+            for column in (t.column(2), t.column(3)):
+                flat, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
+                values.append([flat[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())])
+            good = [similarity(x, y) >= least for x, y in zip(*values)]
+            yield t.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``: doc_id, component_id (the smallest doc_id reachable over links).
+
+    Words are the runs between ASCII white space, A-Z in lower case; texts of fewer words than
+    ``shingle`` have one shingle, null and blank texts none and are alike. Two texts link when
+    their sets of shingles have a Jaccard similarity of ``least`` or more (exact up to SKETCH
+    distinct shingles a text, an estimate from the SKETCH smallest hashes of the union beyond,
+    standard error 0.025) and SimHash proposes them: of a 128-bit fingerprint, one of eight
+    segments must differ by at most one bit. Texts of one fingerprint count as one. A null
+    doc_id takes part and gets its component's smallest id, null where it has none. Other
+    columns are not looked at. An empty table gives no rows.
+    """
+    rows = written(sketches(docs, shingle), "sketches")
+    nodes = written(rows.groupBy("f0", "f1").agg(F.min("doc_id").alias("first"), F.any_value("sketch").alias("sketch"))
+                    .withColumn("node", F.xxhash64("f0", "f1")), "sketch-nodes")
+    links = written(candidates(nodes.select("f0", "f1")), "sketch-links")
+    comp = components(verified(links, nodes, least))
+    roots = nodes.select("f0", "f1", "first", "node").join(comp.hint("merge"), "node", "left").select(
+        "f0", "f1", "first", F.coalesce("root", "node").alias("root"))
+    ids = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+    label = written(roots.join(ids.hint("merge"), "root").select("f0", "f1", "component_id"), "sketch-components")
+    return rows.select("doc_id", "f0", "f1").join(label.hint("merge"), ["f0", "f1"]).select("doc_id", "component_id")

@@ -119,6 +119,32 @@ def _links(group: np.ndarray, side: np.ndarray, fp: np.ndarray, distance: int) -
     return fp[linked], fp[root[linked]]
 
 
+def in_groups(batches, key: list[str], work):
+    """``work(table, group numbers)`` over batches sorted by ``key``, never cutting a group in two."""
+    held: list[pa.RecordBatch] = []
+
+    def numbered(t):
+        change = np.zeros(t.num_rows, dtype=bool)
+        for c in key:
+            x = t.column(c).to_numpy()
+            change[1:] |= x[1:] != x[:-1]
+        return np.cumsum(change)
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        held.append(batch)
+        t = pa.Table.from_batches(held)
+        group = numbered(t)
+        cut = int(np.searchsorted(group, group[-1]))  # where the last, perhaps unfinished, group begins
+        if cut:
+            yield work(t.slice(0, cut), group[:cut])
+            held = t.slice(cut).combine_chunks().to_batches()
+    if held:
+        t = pa.Table.from_batches(held)
+        yield work(t, numbered(t))
+
+
 def near_edges(fps: DataFrame, distance: int) -> DataFrame:
     """Links (a, b) between distinct fingerprints, enough to connect all that lie within ``distance``.
 
@@ -142,38 +168,12 @@ def near_edges(fps: DataFrame, distance: int) -> DataFrame:
                      .when(F.col("mine") < F.col("other"), 1).otherwise(2).cast("byte").alias("side")))
     key = ["place", "left", "low", "high"]
 
+    def work(t, group):
+        a, b = _links(group, t.column("side").to_numpy(), t.column("fp").to_numpy().view(np.uint64), distance)
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+
     def run(batches):
-        held: list[pa.RecordBatch] = []
-
-        def flush(t):
-            cols = [t.column(c).to_numpy() for c in key]
-            change = np.zeros(len(cols[0]), dtype=bool)
-            for c in cols:
-                change[1:] |= c[1:] != c[:-1]
-            a, b = _links(np.cumsum(change), t.column("side").to_numpy(),
-                          t.column("fp").to_numpy().view(np.uint64), distance)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
-                                              names=["a", "b"])
-
-        def tail(t) -> int:
-            """Where the last, perhaps unfinished, group begins."""
-            cols = [t.column(c).to_numpy() for c in key]
-            same = np.ones(len(cols[0]), dtype=bool)
-            for c in cols:
-                same &= c == c[-1]
-            return 0 if same.all() else len(same) - int(np.argmin(same[::-1]))
-
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            held.append(batch)
-            t = pa.Table.from_batches(held)
-            cut = tail(t)
-            if cut:
-                yield flush(t.slice(0, cut))
-                held = t.slice(cut).combine_chunks().to_batches()
-        if held:
-            yield flush(pa.Table.from_batches(held))
+        return in_groups(batches, key, work)
 
     return units.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct()
 
@@ -203,19 +203,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3,
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """Rows of ``docs`` that stay: of every component the document with the smallest doc_id.
 
-    A repeated row of that document stays once; rows without a doc_id stay only where their
-    component has no other document, and then once per fingerprint.
+    A repeated row of that document stays once. Rows without a doc_id all stay: nothing tells
+    them apart.
     """
-    groups = near_duplicates(docs, shingle, distance)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
+    return drop_grouped(docs, near_duplicates(docs, shingle, distance))
+
+
+def drop_grouped(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that stay under ``groups`` (doc_id, component_id for every row), as above."""
+    keep = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("__same"))
     keep = written(keep, "kept").withColumnRenamed("doc_id", "__id")
-    kept = docs.join(keep.hint("merge"), docs["doc_id"].eqNullSafe(keep["__id"])).drop("__id")
+    kept = docs.join(keep.hint("merge"), docs["doc_id"] == keep["__id"]).drop("__id")
     single = kept.where("__same = 1").drop("__same")
     several = kept.where("__same > 1").drop("__same")
     rest = [c for c in docs.columns if c != "doc_id"]
-    return single.unionByName(several.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in rest])
-                              .select(*docs.columns))
+    once = several.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in rest]) if rest else several.distinct()
+    return single.unionByName(once.select(*docs.columns)).unionByName(docs.where("doc_id IS NULL"))
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,9 +9,10 @@ import random
 import numpy as np
 import pytest
 
+from stratum.llm import near_copies as near
 from stratum.llm.components import components
 from stratum.llm.exact_dedup import DigestIndex, drop_exact_duplicates, exact_dedup
-from stratum.llm.simhash import _links, drop_near_duplicates, fingerprint, near_duplicates, segments
+from stratum.llm.simhash import _links, drop_grouped, drop_near_duplicates, fingerprint, near_duplicates, segments
 from stratum.llm.suffix_dedup import front_code, merge_runs, remove_repeats
 
 DOCS = "doc_id long, text string, lang string, kept string"
@@ -137,6 +138,81 @@ def test_near_duplicates_one_stays(spark):
         (False, 3), (False, 9), (True, 0)]
 
 
+# ---------------------------------------------------------------- near copies by similarity
+
+def shingles(text, n=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_sketch_similarity_is_exact_for_short_texts_and_near_for_long():
+    r = random.Random(2)
+    for n, slack in ((1, 0), (4, 0), (40, 0), (250, 0), (5000, 0.1)):
+        a = words(n, n).split()
+        for edits in (0, 1, n // 60):
+            b = list(a)
+            for _ in range(edits):
+                b[r.randrange(n)] = "zz"
+            x, y = " ".join(a), " ".join(b)
+            got = near.similarity(near.sketch(x, 5)[2], near.sketch(y, 5)[2])
+            assert abs(got - jaccard(shingles(x), shingles(y))) <= slack + 1e-12
+    assert near.similarity(near.sketch(None, 5)[2], near.sketch(" ", 5)[2]) == 1.0
+    assert near.similarity(near.sketch("a", 5)[2], near.sketch("", 5)[2]) == 0.0
+
+
+def test_spanning_forest_takes_the_closest():
+    u, v, w = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4]), np.array([9, 2, 3, 28], np.uint8)
+    assert sorted(near.spanning(u, v, w, 6).tolist()) == [1, 2, 3]
+    assert len(near.spanning(u[:0], v[:0], w[:0], 3)) == 0
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_near_copies_against_brute_force(spark, monkeypatch, block):
+    """Groups of near copies, one a third of all rows; blocks of three cut its buckets."""
+    monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "SIDE_BY_SIDE", 4 * block)
+    r, rows = random.Random(7), []
+    for base, copies in ((1, 30), (2, 6), (3, 3), (4, 2)):
+        text = words(base, 230).split()
+        for _ in range(copies):
+            t = list(text)
+            for _ in range(r.randrange(3)):
+                t[r.randrange(len(t))] = "zz" + str(r.randrange(1000))
+            rows.append((len(rows) * 37 % 211, " ".join(t)))
+    rows += [(1000 + i, words(100 + i, 60)) for i in range(40)]
+    far = words(1, 230).split()
+    rows += [(1100, " ".join(far[:115] + words(55, 115).split())), (1101, words(1, 230).upper())]
+    rows += [(1200, None), (1201, ""), (1202, " \t"), (1203, "one"), (1204, "ONE"), (1205, "one two")]
+    sets = {d: shingles(t) for d, t in rows}
+    root = {d: d for d in sets}
+    while True:
+        before = dict(root)
+        for a, b in itertools.combinations(sorted(sets), 2):
+            if jaccard(sets[a], sets[b]) >= 0.8:
+                root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    assert root[1100] == 1100 and root[1101] != 1101
+    table = docs(spark, [(d, t, "x") for d, t in rows], "doc_id long, text string, component_id string")
+    got = {x.doc_id: x.component_id for x in near.near_copies(table).collect()}
+    assert got == root
+
+
+def test_near_copies_odd_rows(spark):
+    assert near.near_copies(docs(spark, [])).count() == 0
+    t = words(1, 200)
+    rows = [(5, t), (3, t + " "), (3, t + " "), (9, words(2, 50)), (None, words(3, 50)), (None, t)]
+    table = docs(spark, rows)
+    groups = near.near_copies(table)
+    assert sorted((x.doc_id or 0, x.component_id or 0) for x in groups.collect()) == [
+        (0, 0), (0, 3), (3, 3), (3, 3), (5, 3), (9, 9)]
+    assert sorted(x.doc_id or 0 for x in drop_grouped(table, groups).collect()) == [0, 0, 3, 9]
+
+
 # ---------------------------------------------------------------- suffixes
 
 def brute_repeats(rows, n=50):
