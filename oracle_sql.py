@@ -493,6 +493,81 @@ def _rejects() -> str:
             f"WHERE {k} % {MISSING_FIELDS_EVERY} = 0")
 
 
+QUOTED_NAMES = """
+  SELECT listing_id,
+         CASE WHEN CAST(listing_id AS BIGINT) % 5 = 0
+              THEN 'Caf' || chr(233) || ' "' || name || '"' || chr(10) || 'first, second'
+              WHEN CAST(listing_id AS BIGINT) % 5 = 1 THEN 'Stra' || chr(223) || 'e ' || name
+              ELSE name END AS name,
+         amenities
+  FROM raw_listings_text"""
+
+
+def _repeated(table: str, key: str, every: int) -> str:
+    return (f"(SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE CAST({key} AS BIGINT) % {every} = 0)")
+
+
+def _found() -> str:
+    """Failures of the tests over the flawed tables, every test and list written out."""
+    rows = _repeated("raw_listings_text", "listing_id", 9)
+    token = lambda c: f"CASE WHEN {c} IN ('NA', 'NULL', 'null', '') THEN NULL ELSE {c} END"
+    price = "TRY_CAST(price AS DOUBLE)"
+    tables = {
+        "b": f"SELECT {token('neighbourhood')} AS listing_id, {price} AS price_raw FROM {rows}",
+        "s": (f"SELECT listing_id, city, {price} AS price_usd, {token('district')} AS price_category, "
+              f"{token('host_response_time')} AS host_type, room_type AS stay_type, "
+              f"substr(city, 1, 3) AS currency FROM {rows}"),
+        "f": (f"SELECT city, room_type, COUNT(*) AS total_listings, AVG({price}) AS avg_price_usd "
+              f"FROM {rows} GROUP BY city, room_type"),
+    }
+    cities = ("'Paris', 'New York', 'Bangkok', 'Rio de Janeiro', 'Sydney', 'Istanbul', 'Rome', "
+              "'Hong Kong', 'Mexico City', 'Cape Town'")
+    lists = {"city": cities, "price_category": "'Budget', 'Mid-range', 'Premium', 'Luxury'",
+             "host_type": "'Superhost', 'Regular Host'", "stay_type": "'Flexible', 'Weekly', 'Monthly', 'Long Stay'",
+             "currency": "'USD', 'EUR', 'AUD', 'THB', 'ZAR', 'MXN', 'TRY', 'HKD', 'BRL'"}
+    tests = [(1, "b", "listing_id", "n"), (2, "b", "listing_id", "u"), (3, "b", "price_raw", "n"),
+             (7, "s", "listing_id", "n"), (8, "s", "listing_id", "u"), (9, "s", "city", "n"), (10, "s", "city", "a"),
+             (11, "s", "price_usd", "n"), (12, "s", "price_category", "n"), (13, "s", "price_category", "a"),
+             (14, "s", "host_type", "n"), (15, "s", "host_type", "a"), (16, "s", "stay_type", "n"),
+             (17, "s", "stay_type", "a"), (18, "s", "currency", "n"), (19, "s", "currency", "a"),
+             (25, "f", "city", "n"), (26, "f", "city", "u"), (27, "f", "total_listings", "n"),
+             (28, "f", "avg_price_usd", "n")]
+    model = {"b": "bronze_listings", "s": "silver_listings", "f": "fct_revenue_by_city"}
+    kind = {"n": "not_null", "u": "unique", "a": "accepted_values"}
+    out = []
+    for i, t, c, k in tests:
+        count = {"n": f"SELECT COUNT(*) FROM ({tables[t]}) WHERE {c} IS NULL",
+                 "u": f"SELECT COUNT(*) FROM (SELECT {c} FROM ({tables[t]}) WHERE {c} IS NOT NULL "
+                      f"GROUP BY {c} HAVING COUNT(*) > 1)",
+                 "a": f"SELECT COUNT(DISTINCT {c}) FROM ({tables[t]}) WHERE {c} NOT IN ({lists.get(c, 'NULL')})"}[k]
+        out.append(f"SELECT CAST({i} AS INTEGER) AS test_id, '{model[t]}' AS model, '{c}' AS column_name, "
+                   f"'{kind[k]}' AS test_name, CAST(({count}) AS BIGINT) AS failures")
+    return "\nUNION ALL\n".join(out)
+
+
+def _order() -> str:
+    def part(name, src, keys, order):
+        key = " || '|' || ".join(f"COALESCE(CAST({k} AS VARCHAR), '?')" for k in keys)
+        return (f"SELECT '{name}' AS table_name, CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS position, "
+                f"{key} AS key FROM ({src})")
+    up = lambda *cols: ", ".join(f"{c} ASC NULLS FIRST" for c in cols)
+    return "\nUNION ALL\n".join((
+        part("fct_revenue_by_city", "SELECT * FROM fct_revenue_by_city", ["city", "total_listings"],
+             f"total_listings DESC NULLS LAST, {up('city')}"),
+        part("fct_superhost_performance", "SELECT * FROM fct_superhost_performance", ["city", "host_type"],
+             f"{up('city')}, host_is_superhost DESC NULLS LAST, {up('host_type')}"),
+        part("fct_seasonal_trends", "SELECT * FROM fct_seasonal_trends",
+             ["city", "year_number", "month_number", "room_type", "price_category"],
+             up("city", "year_number", "month_number", "room_type", "price_category")),
+        part("fct_price_vs_rating", "SELECT * FROM fct_price_vs_rating",
+             ["city", "price_category", "room_type", "property_type"],
+             up("city", "price_category", "room_type", "property_type")),
+        part("null_summary", _null_census(0.0), ["column_name", "nulls"],
+             f"nulls DESC NULLS LAST, {up('column_name')}"),
+        part("value_counts", _value_counts(), ["column_name", "n", "value"],
+             f"{up('column_name')}, n DESC NULLS LAST, value ASC NULLS LAST")))
+
+
 def _finals() -> dict[str, str]:
     return {
         "bronze_listings": _except("bronze_listings", "loaded_at"),
@@ -540,6 +615,12 @@ def _finals() -> dict[str, str]:
         "unique_tests": _data_tests("unique"),
         "accepted_values_tests": _data_tests("accepted_values"),
         "row_count_gates": _row_gates(),
+        "reviews_csv_load": "SELECT *, '2025-01-01 06:00:00' AS loaded_at FROM reviews_tokens",
+        "csv_quoted_breaks": QUOTED_NAMES,
+        "csv_named_latin1": QUOTED_NAMES,
+        "duplicate_rows_found": _duplicates((_repeated("reviews_tokens", "review_id", 7), fixed.RAW_REVIEW_COLUMNS)),
+        "data_tests_found": _found(),
+        "presentation_order": _order(),
     }
 
 

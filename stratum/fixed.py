@@ -73,6 +73,11 @@ PRICE_OTHER = "Luxury"
 SUPERHOST = "Superhost"
 REGULAR_HOST = "Regular Host"
 
+# The review score columns, in loader order.
+SCORE_COLUMNS = ("review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
+                 "review_scores_checkin", "review_scores_communication", "review_scores_location",
+                 "review_scores_value")
+
 # Months of each season (northern hemisphere for every city).
 SEASONS = (((12, 1, 2), "Winter"), ((3, 4, 5), "Spring"), ((6, 7, 8), "Summer"))
 SEASON_OTHER = "Autumn"

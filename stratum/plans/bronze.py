@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum import fixed
 from stratum.functions.parse import flag, percent, strict_int, try_date, try_double, try_number
 from stratum.operators.dedupe import keep_first
 
-LISTING_SCORE_COLUMNS = ("review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
-                         "review_scores_checkin", "review_scores_communication",
-                         "review_scores_location", "review_scores_value")
+LISTING_SCORE_COLUMNS = fixed.SCORE_COLUMNS
 
 
 def bronze_listings(raw: DataFrame) -> DataFrame:

@@ -104,7 +104,7 @@ def _fct_superhost_performance_aggs() -> tuple[Column, ...]:
 def fct_superhost_performance(listings: DataFrame, order: bool = True) -> DataFrame:
     out = (_median_after(with_median(listings, ["city", "host_type", "host_is_superhost"], _fct_superhost_performance_aggs()), "avg_price_usd")
            .withColumn("updated_at", F.current_timestamp()))
-    return out.orderBy("city", F.desc("host_is_superhost")) if order else out
+    return out.orderBy("city", F.desc("host_is_superhost"), "host_type") if order else out
 
 
 def _fct_seasonal_trends_aggs() -> tuple[Column, ...]:
@@ -137,7 +137,7 @@ def fct_seasonal_trends(reviews: DataFrame, listings: DataFrame, order: bool = T
                           month_quarter(month).alias("quarter_number"), season(month).alias("season"),
                           "room_type", "price_category", *counted)
            .withColumn("updated_at", F.current_timestamp()))
-    return out.orderBy("city", "year_number", "month_number") if order else out
+    return out.orderBy("city", "year_number", "month_number", "room_type", "price_category") if order else out
 
 
 def _fct_price_vs_rating_aggs() -> tuple[Column, ...]:
@@ -163,4 +163,4 @@ def fct_price_vs_rating(listings: DataFrame, order: bool = True) -> DataFrame:
     keys = ["city", "room_type", "property_type", "price_category"]
     out = (_median_after(with_median(rated, keys, _fct_price_vs_rating_aggs()), "avg_price_usd")
            .withColumn("updated_at", F.current_timestamp()))
-    return out.orderBy("city", "price_category", "room_type") if order else out
+    return out.orderBy("city", "price_category", "room_type", "property_type") if order else out

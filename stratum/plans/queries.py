@@ -9,8 +9,9 @@ results are comparable across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum import fixed
@@ -28,7 +29,7 @@ from stratum.plans.run import build_models, models_over
 from stratum.plans.silver import silver_listings, silver_reviews
 from stratum.session import shared_dir
 from stratum.sources import binding
-from stratum.sources.csv import read_csv_positional
+from stratum.sources.csv import read_csv_named, read_csv_positional, write_csv
 from stratum.sources.tables import materialize, write_table
 
 AS_OF = "2025-01-01"
@@ -230,6 +231,84 @@ def q_row_count_gates(spark, sf_dir):
     return row_counts(tables)
 
 
+# --- loads and tests with something to find ----------------------------------------
+
+def q_reviews_csv_load(spark, sf_dir):
+    """The 4-column load of the reviews with its batch time, damaged lines set aside."""
+    out = binding.stage_reviews_csv(spark, sf_dir, shared_dir(spark, "stage", "reviews"))
+    good, _ = read_csv_positional(spark, [f"{out}/good", f"{out}/extra", f"{out}/short"],
+                                  fixed.RAW_REVIEW_COLUMNS, stage_to=f"{out}/parsed")
+    stamped = with_load_time(good, BATCH_TS)
+    return stamped.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_csv_quoted_breaks(spark, sf_dir):
+    """Positional load of names that hold line breaks, commas, quotes and accents."""
+    out = shared_dir(spark, "stage", "quoted")
+    rows = binding.quoted_listings(spark, sf_dir)
+    write_csv(rows, f"{out}/csv")
+    return read_csv_positional(spark, f"{out}/csv", rows.columns, stage_to=f"{out}/parsed")[0]
+
+
+def q_csv_named_latin1(spark, sf_dir):
+    """Header-named scan of the same rows written as ISO-8859-1."""
+    out = shared_dir(spark, "stage", "latin1")
+    write_csv(binding.quoted_listings(spark, sf_dir), out, encoding="ISO-8859-1")
+    return read_csv_named(spark, out, encoding="ISO-8859-1")
+
+
+def q_duplicate_rows_found(spark, sf_dir):
+    reviews = null_tokens(binding.raw_reviews(spark, sf_dir))
+    return profile.duplicate_rows(binding.with_repeats(reviews, "review_id", binding.REPEATED_REVIEW_EVERY))
+
+
+def q_data_tests_found(spark, sf_dir):
+    """All tests of three models over tables with missing and repeated keys and values off the lists."""
+    return run_data_tests({name: materialize(df, f"flawed_{name}")
+                           for name, df in binding.flawed_models(spark, sf_dir).items()})
+
+
+def _positions(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """(table_name, position, key): the rows of a sorted result in the order it has.
+
+    The results numbered here have a row per group, so the numbering is over groups.
+    """
+    at = F.row_number().over(Window.orderBy("__at")).cast("bigint")
+    return (df.withColumn("__at", F.monotonically_increasing_id())
+            .select(F.lit(name).alias("table_name"), at.alias("position"),
+                    F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys]).alias("key")))
+
+
+def q_presentation_order(spark, sf_dir):
+    """Row positions of the sorted gold tables and of the sorted profile sections."""
+    silver, profiled = _silver(spark, sf_dir), _profiled(spark, sf_dir)
+    parts = [
+        _positions(fct_revenue_by_city(silver), "fct_revenue_by_city", ["city", "total_listings"]),
+        _positions(fct_superhost_performance(silver), "fct_superhost_performance", ["city", "host_type"]),
+        _positions(fct_seasonal_trends(_silver_reviews(spark, sf_dir), silver), "fct_seasonal_trends",
+                   ["city", "year_number", "month_number", "room_type", "price_category"]),
+        _positions(fct_price_vs_rating(silver), "fct_price_vs_rating",
+                   ["city", "price_category", "room_type", "property_type"]),
+        _positions(profile.ordered_nulls(profile.null_summary(profiled)), "null_summary", ["column_name", "nulls"]),
+        _positions(profile.ordered_values(profile.value_counts(profiled)), "value_counts",
+                   ["column_name", "n", "value"])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _with_folder(query: Query) -> Query:
+    """The query in a session that names no shared folder: it then gets one in the warehouse."""
+    @wraps(query)
+    def q(spark, sf_dir):
+        if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(
+                spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch")
+        return query(spark, sf_dir)
+    return q
+
+
 QUERIES: dict[str, Query] = {
     "bronze_listings": q_bronze_listings,
     "bronze_reviews_dedupe": q_bronze_reviews_dedupe,
@@ -262,4 +341,11 @@ QUERIES: dict[str, Query] = {
     "unique_tests": _tests("unique"),
     "accepted_values_tests": _tests("accepted_values"),
     "row_count_gates": q_row_count_gates,
+    "reviews_csv_load": q_reviews_csv_load,
+    "csv_quoted_breaks": q_csv_quoted_breaks,
+    "csv_named_latin1": q_csv_named_latin1,
+    "duplicate_rows_found": q_duplicate_rows_found,
+    "data_tests_found": q_data_tests_found,
+    "presentation_order": q_presentation_order,
 }
+QUERIES = {name: _with_folder(q) for name, q in QUERIES.items()}

@@ -28,9 +28,11 @@ from stratum.sources.csv import write_csv
 EXTRA_FIELD_EVERY = 199
 MISSING_FIELDS_EVERY = 211
 
-SCORE_COLUMNS = ("review_scores_rating", "review_scores_accuracy", "review_scores_cleanliness",
-                 "review_scores_checkin", "review_scores_communication", "review_scores_location",
-                 "review_scores_value")
+SCORE_COLUMNS = fixed.SCORE_COLUMNS
+
+# In the flawed extracts, keys divisible by these come twice.
+REPEATED_LISTING_EVERY = 9
+REPEATED_REVIEW_EVERY = 7
 
 
 # Declared schemas of the columns read from each driver table: no schema
@@ -150,3 +152,45 @@ def stage_listings_csv(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     write_csv(raw.where(k % MISSING_FIELDS_EVERY == 0).select(*fixed.RAW_LISTING_COLUMNS[:-3]),
               f"{out_dir}/short")
     return out_dir
+
+
+def stage_reviews_csv(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+    """Stage the reviews extract as CSV like the listings: all of it, plus damaged copies of some lines."""
+    raw = raw_reviews(spark, sf_dir)
+    k = F.col("listing_id").cast("bigint")
+    write_csv(raw, f"{out_dir}/good")
+    write_csv(raw.where(k % EXTRA_FIELD_EVERY == 0).withColumn("unexpected", F.lit("x")), f"{out_dir}/extra")
+    write_csv(raw.where(k % MISSING_FIELDS_EVERY == 0).select(*fixed.RAW_REVIEW_COLUMNS[:-1]), f"{out_dir}/short")
+    return out_dir
+
+
+def quoted_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(listing_id, name, amenities) with accents, quotes, commas and line breaks inside the names."""
+    k = F.col("listing_id").cast("bigint")
+    name = (F.when(k % 5 == 0, F.concat(F.lit('Caf\u00e9 "'), F.col("name"), F.lit('"\nfirst, second')))
+            .when(k % 5 == 1, F.concat(F.lit("Stra\u00dfe "), F.col("name"))).otherwise(F.col("name")))
+    return raw_listings(spark, sf_dir).select("listing_id", name.alias("name"), "amenities")
+
+
+def with_repeats(df: DataFrame, key: str, every: int) -> DataFrame:
+    """``df`` with a second, fully equal row wherever ``key`` is divisible by ``every``."""
+    return df.unionByName(df.where(F.col(key).cast("bigint") % every == 0))
+
+
+def flawed_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Tables in the shape of some models with what the data tests look for: missing and
+    repeated keys, and values outside the accepted lists. Nothing has filtered them before."""
+    listings = with_repeats(raw_listings(spark, sf_dir), "listing_id", REPEATED_LISTING_EVERY)
+    known = lambda c: F.when(F.col(c).isin("NA", "NULL", "null", ""), None).otherwise(F.col(c))
+    return {
+        "bronze_listings": listings.select(
+            known("neighbourhood").alias("listing_id"),
+            F.col("price").try_cast("double").alias("price_raw")),
+        "silver_listings": listings.select(
+            "listing_id", "city", F.col("price").try_cast("double").alias("price_usd"),
+            known("district").alias("price_category"), known("host_response_time").alias("host_type"),
+            F.col("room_type").alias("stay_type"), F.substring("city", 1, 3).alias("currency")),
+        "fct_revenue_by_city": listings.groupBy("city", "room_type").agg(
+            F.count(F.lit(1)).alias("total_listings"),
+            F.avg(F.col("price").try_cast("double")).alias("avg_price_usd")),
+    }

@@ -86,9 +86,10 @@ def read_csv_named(spark: SparkSession, path: str | Sequence[str], encoding: str
             .csv(path if isinstance(path, str) else list(path)))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
     """Write text columns in the same dialect the loader reads (header in every part file)."""
     (df.write.mode(mode)
      .option("header", True).option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("encoding", encoding)
      .csv(path))
