@@ -27,6 +27,8 @@ LIMIT = 28
 SKETCH = 256
 #: members of a bucket compared in one block; larger buckets are cut into pairs of blocks
 BLOCK = 512
+#: links across components checked for each member of a bucket before all others are
+CLOSEST = 32
 #: rows compared side by side, at least the two blocks of a unit
 SIDE_BY_SIDE = 4 * BLOCK
 
@@ -91,8 +93,8 @@ def spanning(u: np.ndarray, v: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
         component = forest(component[u[chosen]], component[v[chosen]], n)[component]
 
 
-def _trees(group: np.ndarray, side: np.ndarray, f0: np.ndarray, f1: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(u, v, bits): within each group the forest of closest links of at most LIMIT bits; rows sorted by group.
+def _near(group: np.ndarray, side: np.ndarray, f0: np.ndarray, f1: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(u, v, bits): within each group all links of at most LIMIT bits; rows sorted by group.
 
     ``side`` as in ``simhash``: 0 compares with all, 1 and 2 are two blocks compared across.
     """
@@ -110,9 +112,40 @@ def _trees(group: np.ndarray, side: np.ndarray, f0: np.ndarray, f1: np.ndarray)
         vs.append(other[near])
         ws.append(bits[near])
         step += 1
-    u, v, w = np.concatenate(us), np.concatenate(vs), np.concatenate(ws)
-    kept = spanning(u, v, w, n)
-    return u[kept], v[kept], w[kept]
+    return np.concatenate(us), np.concatenate(vs), np.concatenate(ws)
+
+
+def _trees(sig: np.ndarray, root: np.ndarray, f0: np.ndarray, f1: np.ndarray, u, v, w) -> np.ndarray:
+    """Indexes of the links that a first pass checks: the forest of the closest."""
+    return spanning(u, v, w, len(f0))
+
+
+def first_shared(x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+    """The place of the first signature that two fingerprints share, from their differing bits."""
+    out = np.full(len(x0), -1, np.int64)
+    for segment in reversed(range(SEGMENTS)):
+        word = x0 if segment < SEGMENTS // 2 else x1
+        part = (word >> np.uint64(segment % (SEGMENTS // 2) * WIDTH)) & np.uint64((1 << WIDTH) - 1)
+        bit = np.bitwise_count(np.maximum(part, np.uint64(1)) - np.uint64(1))  # the place of a single bit, 0 for none
+        out = np.where(np.bitwise_count(part) <= 1, segment * WIDTH + bit.astype(np.int64), out)
+    return out
+
+
+def _crossing(most: int | None):
+    """Indexes of the links between components, each in its first shared bucket only: the ``most`` closest a member."""
+    def pick(sig, root, f0, f1, u, v, w):
+        kept = np.flatnonzero(root[u] != root[v])
+        kept = kept[first_shared(f0[u[kept]] ^ f0[v[kept]], f1[u[kept]] ^ f1[v[kept]]) == sig[u[kept]] >> WIDTH]
+        if most is None or not len(kept):
+            return kept
+        member = np.concatenate((u[kept], v[kept]))
+        order = np.lexsort((np.tile(w[kept], 2), member))
+        member = member[order]
+        start = np.flatnonzero(np.r_[True, member[1:] != member[:-1]])
+        rank = np.arange(len(member)) - np.repeat(start, np.diff(np.r_[start, len(member)]))
+        return kept[np.unique(order[rank < most] % len(kept))]
+
+    return pick
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
@@ -138,27 +171,26 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def signatures(nodes: DataFrame) -> DataFrame:
-    """(sig, f0, f1): every segment with each of its bits deleted in turn.
+    """(sig, columns of ``nodes``): every segment with each of its bits deleted in turn.
 
     Two segments that differ by at most one bit share the variant without that bit, so the
     exact value needs no signature of its own. ``sig`` holds the segment, the place of the bit
     and the bits left.
     """
-    rows = nodes.select("f0", "f1", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS * WIDTH - 1))).alias("v"))
+    rows = nodes.select(*nodes.columns, F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS * WIDTH - 1))).alias("v"))
     per_word = 64 // WIDTH
     return rows.select(F.expr(
         f"cast(v * {1 << WIDTH} + (shiftrightunsigned(if(v < 64, f0, f1), cast(v div {WIDTH} % {per_word} * {WIDTH} as int))"
-        f" & {(1 << WIDTH) - 1} & ~shiftleft(1L, v % {WIDTH})) as int)").alias("sig"), "f0", "f1")
+        f" & {(1 << WIDTH) - 1} & ~shiftleft(1L, v % {WIDTH})) as int)").alias("sig"), *nodes.columns)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b, bits): links between nodes (hashes of fingerprints), closest first within each bucket.
+def candidates(nodes: DataFrame, pick) -> DataFrame:
+    """(a, b): links between nodes (hashes of fingerprints; ``nodes`` has f0, f1, root) that ``pick`` takes.
 
     Buckets of one signature are joined by equality: one shuffle brings their members together.
     A bucket of more than BLOCK members, known from a count over all signatures, is dealt by a
-    hash of the fingerprint into blocks and every pair of blocks is a unit. A unit gives a
-    minimum spanning forest by bits, so at most one link per member leaves it, and of linked
-    members those most alike.
+    hash of the fingerprint into blocks and every pair of blocks is a unit. In a unit all
+    members are compared by their bits.
     """
     sigs = signatures(nodes)
     large = written(sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK),
@@ -168,33 +200,35 @@ def candidates(nodes: DataFrame) -> DataFrame:
     mine = F.pmod(F.xxhash64("f0", "f1"), parts).cast("int")
     partners = F.when(parts == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), parts - 1))
     alone = F.col("other") < 0
-    units = (rows.select("sig", "f0", "f1", mine.alias("mine"), F.explode(partners).alias("other"))
+    rest = [c for c in ("f0", "f1", "root") if c in nodes.columns]
+    units = (rows.select("sig", *rest, mine.alias("mine"), F.explode(partners).alias("other"))
              .select("sig", F.when(alone, 0).otherwise(F.least("mine", "other")).alias("low"),
                      F.when(alone, 0).otherwise(F.greatest("mine", "other")).alias("high"),
                      F.when(alone | (F.col("mine") == F.col("other")), 0)
-                     .when(F.col("mine") < F.col("other"), 1).otherwise(2).cast("byte").alias("side"), "f0", "f1"))
+                     .when(F.col("mine") < F.col("other"), 1).otherwise(2).cast("byte").alias("side"), *rest))
     key = ["sig", "low", "high"]
 
     def work(t, group):
-        side, f0, f1 = (t.column(c).to_numpy() for c in ("side", "f0", "f1"))
+        sig, side, f0, f1 = (t.column(c).to_numpy() for c in ("sig", "side", "f0", "f1"))
+        root = t.column("root").to_numpy() if "root" in rest else f0
         x0, x1 = f0.view(np.uint64), f1.view(np.uint64)
         found, at = [], 0
         while at < len(group):  # whole groups, about SIDE_BY_SIDE rows at a time
             end = int(np.searchsorted(group, group[min(at + SIDE_BY_SIDE, len(group)) - 1], "right"))
-            u, v, w = _trees(group[at:end], side[at:end], x0[at:end], x1[at:end])
-            found.append((u + at, v + at, w))
+            u, v, w = _near(group[at:end], side[at:end], x0[at:end], x1[at:end])
+            kept = pick(sig[at:end], root[at:end], x0[at:end], x1[at:end], u, v, w)
+            found.append((u[kept] + at, v[kept] + at))
             at = end
-        u, v, w = (np.concatenate(x) for x in zip(*found))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (f0[u], f1[u], f0[v], f1[v], w.astype(np.int16))],
-                                          names=["a0", "a1", "b0", "b1", "bits"])
+        u, v = (np.concatenate(x) for x in zip(*found))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (f0[u], f1[u], f0[v], f1[v])],
+                                          names=["a0", "a1", "b0", "b1"])
 
     def run(batches):
         return in_groups(batches, key, work)
 
     links = (units.repartition(*key).sortWithinPartitions(*key, "f0", "f1")
-             .mapInArrow(run, "a0 long, a1 long, b0 long, b1 long, bits short"))
-    return links.groupBy(F.xxhash64("a0", "a1").alias("a"), F.xxhash64("b0", "b1").alias("b")).agg(
-        F.min("bits").alias("bits"))
+             .mapInArrow(run, "a0 long, a1 long, b0 long, b1 long"))
+    return links.select(F.xxhash64("a0", "a1").alias("a"), F.xxhash64("b0", "b1").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
@@ -216,6 +250,43 @@ def verified(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) for every node, its own root where it has no link."""
+    comp = components(links)
+    return written(nodes.select("node").join(comp.hint("merge"), "node", "left")
+                   .select("node", F.coalesce("root", "node").alias("root")), "sketch-roots")
+
+
+def linked(nodes: DataFrame, check) -> DataFrame:
+    """(node, root): components over all proposed links that ``check`` lets stand.
+
+    First only the forest of each unit is checked. A link it displaced can join two components
+    only if links on the way between its ends failed, so both its components have a failed link
+    that leaves them. The members of such components come again, and now all their links across
+    components are checked: the closest few of each member first, then whatever still crosses.
+    """
+    pairs = written(candidates(nodes.select("f0", "f1"), _trees), "sketch-links")
+    good = written(check(pairs), "sketch-good")
+    bad = written(pairs.join(good.hint("merge"), ["a", "b"], "left_anti"), "sketch-bad")
+    found = roots(nodes, good)
+    for most in (CLOSEST, None):
+        ends = bad.join(found.select(F.col("node").alias("a"), F.col("root").alias("x")).hint("merge"), "a").join(
+            found.select(F.col("node").alias("b"), F.col("root").alias("y")).hint("merge"), "b").where("x != y")
+        open_ = written(ends.select(F.explode(F.array("x", "y")).alias("root")).distinct(), "sketch-open")
+        if not open_.limit(1).count():
+            break
+        some = written(nodes.select("f0", "f1", "node").join(found.hint("merge"), "node")
+                       .join(open_.hint("merge"), "root", "left_semi").select("f0", "f1", "root"), "sketch-again")
+        pairs = written(candidates(some, _crossing(most)).join(bad.hint("merge"), ["a", "b"], "left_anti"),
+                        "sketch-links")
+        more = written(check(pairs), "sketch-good")
+        bad = written(bad.unionByName(pairs.join(more.hint("merge"), ["a", "b"], "left_anti")), "sketch-bad")
+        if more.limit(1).count():
+            good = good.unionByName(more)
+            found = roots(nodes, good)
+    return found
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, component_id (the smallest doc_id reachable over links).
 
@@ -231,10 +302,8 @@ def near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFr
     rows = written(sketches(docs, shingle), "sketches")
     nodes = written(rows.groupBy("f0", "f1").agg(F.min("doc_id").alias("first"), F.any_value("sketch").alias("sketch"))
                     .withColumn("node", F.xxhash64("f0", "f1")), "sketch-nodes")
-    links = written(candidates(nodes.select("f0", "f1")), "sketch-links")
-    comp = components(verified(links, nodes, least))
-    roots = nodes.select("f0", "f1", "first", "node").join(comp.hint("merge"), "node", "left").select(
-        "f0", "f1", "first", F.coalesce("root", "node").alias("root"))
-    ids = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    label = written(roots.join(ids.hint("merge"), "root").select("f0", "f1", "component_id"), "sketch-components")
+    found = linked(nodes, lambda pairs: verified(pairs, nodes, least))
+    rooted = nodes.select("f0", "f1", "first", "node").join(found.hint("merge"), "node")
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    label = written(rooted.join(ids.hint("merge"), "root").select("f0", "f1", "component_id"), "sketch-components")
     return rows.select("doc_id", "f0", "f1").join(label.hint("merge"), ["f0", "f1"]).select("doc_id", "component_id")

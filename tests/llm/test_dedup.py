@@ -202,6 +202,43 @@ def test_near_copies_against_brute_force(spark, monkeypatch, block):
     assert got == root
 
 
+def proposed(x, y):
+    """Whether fingerprints propose the pair: near in all bits, and in one segment but for a bit."""
+    bits = bin((x[0] ^ y[0]) & (1 << 64) - 1)[2:].zfill(64) + bin((x[1] ^ y[1]) & (1 << 64) - 1)[2:].zfill(64)
+    return bits.count("1") <= near.LIMIT and any(bits[i:i + 16].count("1") <= 1 for i in range(0, 128, 16))
+
+
+def grouped(pairs, names):
+    root = {d: d for d in names}
+    while True:
+        before = dict(root)
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+
+
+@pytest.mark.parametrize("block", [512, 20])
+def test_no_proposed_pair_is_displaced_by_one_that_fails(spark, monkeypatch, block):
+    """Many copies with few edits, pairs on both sides of 0.8: the closest by bits are not those that hold."""
+    monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "SIDE_BY_SIDE", 4 * block)
+    monkeypatch.setattr(near, "CLOSEST", 2, raising=False)
+    r, rows = random.Random(5), []
+    for base in (1, 2):
+        text = words(base, 200).split()
+        for _ in range(110):
+            t = list(text)
+            for _ in range(r.randint(3, 4)):
+                t[r.randrange(len(t))] = "zz" + str(r.randrange(10 ** 6))
+            rows.append((len(rows), " ".join(t)))
+    sets = {d: shingles(t) for d, t in rows}
+    prints = {d: near.sketch(t, 5)[:2] for d, t in rows}
+    good = [(a, b) for a, b in itertools.combinations(sorted(sets), 2)
+            if jaccard(sets[a], sets[b]) >= 0.8 and proposed(prints[a], prints[b])]
+    assert {x.doc_id: x.component_id for x in near.near_copies(docs(spark, rows)).collect()} == grouped(good, sets)
+
+
 def test_near_copies_odd_rows(spark):
     assert near.near_copies(docs(spark, [])).count() == 0
     t = words(1, 200)
