@@ -19,12 +19,18 @@ from stratum.llm.common import written
 from stratum.llm.components import components
 from stratum.llm.simhash import CHUNK, SEED, forest, in_groups
 
+#: column that numbers the rows
+ROW = "__row"
 #: a fingerprint of 128 bits is cut into SEGMENTS of WIDTH bits
 SEGMENTS, WIDTH = 8, 16
 #: bits by which two fingerprints may differ and still be checked (0.8 similarity: 19 on average)
 LIMIT = 28
-#: smallest shingle hashes kept of a text; a text of fewer distinct shingles is compared exactly
+#: smallest shingle hashes kept of a text; a text of fewer distinct shingles is compared by them alone
 SKETCH = 256
+#: pairs of longer texts go when their sketches say so much less than asked for (six standard errors)
+MARGIN = 0.15
+#: shingle hashes of a text compared at a time, about
+PIECE = 1 << 14
 #: members of a bucket compared in one block; larger buckets are cut into pairs of blocks
 BLOCK = 512
 #: links across components checked for each member of a bucket before all others are
@@ -49,22 +55,29 @@ def _majority(h: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(h), bitorder="little").view("<i8")[0])
 
 
-def sketch(text: str | None, shingle: int) -> tuple[int, int, np.ndarray]:
-    """Two fingerprint words and the smallest hashes of the distinct word shingles; no words: zeros and none."""
+def hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The sorted hashes of the distinct word shingles."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0, 0, np.zeros(0, np.int32)
+        return np.zeros(0, "<u8")
     if len(words) < shingle:
         grams, total = iter([b" ".join(words)]), 1
     else:
         grams = map(b" ".join, zip(*(islice(words, i, None) for i in range(shingle))))
         total = len(words) - shingle + 1
-    h = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=total))
-    return _majority(h), _majority(_mixed(h)), (h[:SKETCH] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=total))
+
+
+def sketch(text: str | None, shingle: int) -> tuple[int, int, np.ndarray, int]:
+    """Two fingerprint words, the smallest hashes of the distinct word shingles and their number; no words: zeros and none."""
+    h = hashes(text, shingle)
+    if not len(h):
+        return 0, 0, np.zeros(0, np.int32), 0
+    return _majority(h), _majority(_mixed(h)), (h[:SKETCH] >> np.uint64(32)).astype(np.uint32).view(np.int32), len(h)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity from two sketches: exact unless one is full, else over the union's smallest SKETCH."""
+    """Jaccard similarity from two sketches: exact unless one is full, else an estimate over the union's smallest SKETCH."""
     both = np.sort(np.concatenate((a, b)).view(np.uint32))
     if not len(both):
         return 1.0
@@ -149,25 +162,26 @@ def _crossing(most: int | None):
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, f0, f1, sketch) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("f0", pa.int64()), ("f1", pa.int64()),
-                        ("sketch", pa.list_(pa.int32()))])
+    """(row, doc_id, f0, f1, sketch, n) of every row of ``docs`` (ROW, doc_id, text)."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("f0", pa.int64()), ("f1", pa.int64()),
+                        ("sketch", pa.list_(pa.int32())), ("n", pa.int64())])
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                found = [sketch(t.as_py(), shingle) for t in part.column(1)]
+                found = [sketch(t.as_py(), shingle) for t in part.column(2)]
                 ends = np.cumsum([0] + [len(x[2]) for x in found])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([x[0] for x in found], pa.int64()),
+                    [part.column(0), part.column(1), pa.array([x[0] for x in found], pa.int64()),
                      pa.array([x[1] for x in found], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                              pa.array(np.concatenate([x[2] for x in found]), pa.int32()))],
+                                              pa.array(np.concatenate([x[2] for x in found]), pa.int32())),
+                     pa.array([x[3] for x in found], pa.int64())],
                     schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, f0 long, f1 long, sketch array<int>")
+    return docs.select(ROW, F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "row long, doc_id long, f0 long, f1 long, sketch array<int>, n long")
 
 
 def signatures(nodes: DataFrame) -> DataFrame:
@@ -231,12 +245,49 @@ def candidates(nodes: DataFrame, pick) -> DataFrame:
     return links.select(F.xxhash64("a0", "a1").alias("a"), F.xxhash64("b0", "b1").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose sketches say a similarity of at least ``least``."""
-    left = known.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    right = known.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+def level(n: int) -> int:
+    """A text of n hashes is cut into 2 ** level pieces by the first bits of the hashes."""
+    return (max(n - 1, 0) // PIECE).bit_length()
+
+
+def pieces(texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(node, level, piece, hashes) of ``texts`` (node, text), at each level that a pair of ``least`` may need."""
+    schema = pa.schema([("node", pa.int64()), ("level", pa.int32()), ("piece", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for b in batches:
+            for node, text in zip(b.column(0).to_pylist(), b.column(1)):
+                h = hashes(text.as_py(), shingle)
+                out = []
+                for k in range(level(len(h)), level(int(len(h) / least) + 1) + 1):
+                    cuts = np.searchsorted(h, np.arange(1, 1 << k, dtype=np.uint64) << np.uint64(64 - k)) if k else []
+                    out += [(node, k, i, x.view("<i8")) for i, x in enumerate(np.split(h, cuts)) if len(x)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out), schema)], schema=schema)
+
+    return texts.mapInArrow(run, "node long, level int, piece long, hashes array<long>")
+
+
+def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs (a, b) of a similarity of at least ``least``.
+
+    ``known`` has node, row, sketch and n, ``texts`` ROW and text. Sizes and sketches reject what is
+    far below and settle pairs of texts whose sketches are whole; for the rest the hashes that
+    both texts have are counted, piece by piece.
+    """
+    left = known.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("na"))
+    right = known.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("nb"))
     rows = (pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-            .select("a", "b", "x", "y"))
+            .select("a", "b", "x", "y", "na", "nb"))
+
+    def judge(x, y, m, n) -> int:
+        """The level to compare at, or -1 for a pair that stands and -2 for one that falls."""
+        if min(m, n) < max(m, n) and min(m, n) / max(m, n) < least:
+            return -2
+        found = similarity(x, y)
+        if max(m, n) < SKETCH:
+            return -1 if found >= least else -2
+        return level(max(m, n)) if found >= least - MARGIN else -2
 
     def run(batches):
         for t in batches:
@@ -244,10 +295,23 @@ def verified(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
             for column in (t.column(2), t.column(3)):
                 flat, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
                 values.append([flat[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())])
-            good = [similarity(x, y) >= least for x, y in zip(*values)]
-            yield t.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return rows.mapInArrow(run, "a long, b long")
+            said = np.array([judge(*x) for x in zip(*values, t.column(4).to_pylist(), t.column(5).to_pylist())], np.int32)
+            yield pa.RecordBatch.from_arrays([t.column(i) for i in (0, 1, 4, 5)] + [pa.array(said)],
+                                             names=["a", "b", "na", "nb", "level"]).filter(pa.array(said > -2))
+
+    judged = written(rows.mapInArrow(run, "a long, b long, na long, nb long, level int"), "sketch-judged")
+    open_ = judged.where("level >= 0")
+    need = open_.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(
+        known.select("node", "row").hint("merge"), "node")
+    cut = written(pieces(texts.join(need.hint("merge"), F.col(ROW) == F.col("row")).select("node", "text"),
+                         shingle, least), "shingles")
+    x = cut.select(F.col("node").alias("a"), "level", "piece", F.col("hashes").alias("x"))
+    y = cut.select(F.col("node").alias("b"), "level", "piece", F.col("hashes").alias("y"))
+    common = (open_.join(x.hint("merge"), ["a", "level"]).join(y.hint("merge"), ["b", "level", "piece"])
+              .select("a", "b", "na", "nb", F.size(F.array_intersect("x", "y")).cast("long").alias("both"))
+              .groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both")))
+    exact = common.where(F.col("both") / (F.col("na") + F.col("nb") - F.col("both")) >= least)
+    return judged.where("level = -1").select("a", "b").unionByName(exact.select("a", "b"))
 
 
 def roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -287,23 +351,34 @@ def linked(nodes: DataFrame, check) -> DataFrame:
     return found
 
 
+def labelled(texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(row, doc_id, first, root) for every row of ``texts`` (ROW, doc_id, text; read again later, so not computed
+    anew): its component and the smallest doc_id in it."""
+    rows = written(sketches(texts, shingle), "sketches")
+    # of texts with one fingerprint the first row's stands for all
+    nodes = written(rows.groupBy("f0", "f1").agg(F.min("doc_id").alias("first"), F.min("row").alias("row"),
+                                                 F.min_by("sketch", "row").alias("sketch"), F.min_by("n", "row").alias("n"))
+                    .withColumn("node", F.xxhash64("f0", "f1")), "sketch-nodes")
+    found = linked(nodes, lambda pairs: verified(pairs, nodes, texts, shingle, least))
+    rooted = nodes.select("f0", "f1", "first", "node").join(found.hint("merge"), "node")
+    ids = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    label = written(rooted.drop("first").join(ids.hint("merge"), "root").select("f0", "f1", "first", "root"),
+                    "sketch-components")
+    return rows.select("row", "doc_id", "f0", "f1").join(label.hint("merge"), ["f0", "f1"]).select(
+        "row", "doc_id", "first", "root")
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, component_id (the smallest doc_id reachable over links).
 
     Words are the runs between ASCII white space, A-Z in lower case; texts of fewer words than
     ``shingle`` have one shingle, null and blank texts none and are alike. Two texts link when
-    their sets of shingles have a Jaccard similarity of ``least`` or more (exact up to SKETCH
-    distinct shingles a text, an estimate from the SKETCH smallest hashes of the union beyond,
-    standard error 0.025) and SimHash proposes them: of a 128-bit fingerprint, one of eight
-    segments must differ by at most one bit. Texts of one fingerprint count as one. A null
-    doc_id takes part and gets its component's smallest id, null where it has none. Other
-    columns are not looked at. An empty table gives no rows.
+    their sets of shingles have a Jaccard similarity of ``least`` or more, counted over the whole
+    sets, and SimHash proposes them: of a 128-bit fingerprint at most LIMIT bits differ, and one
+    of eight segments by at most one bit. Pairs whose sketches are MARGIN below ``least`` are not
+    counted. Texts of one fingerprint count as one. A null doc_id takes part and gets its
+    component's smallest id, null where it has none. Other columns are not looked at. An empty
+    table gives no rows.
     """
-    rows = written(sketches(docs, shingle), "sketches")
-    nodes = written(rows.groupBy("f0", "f1").agg(F.min("doc_id").alias("first"), F.any_value("sketch").alias("sketch"))
-                    .withColumn("node", F.xxhash64("f0", "f1")), "sketch-nodes")
-    found = linked(nodes, lambda pairs: verified(pairs, nodes, least))
-    rooted = nodes.select("f0", "f1", "first", "node").join(found.hint("merge"), "node")
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    label = written(rooted.join(ids.hint("merge"), "root").select("f0", "f1", "component_id"), "sketch-components")
-    return rows.select("doc_id", "f0", "f1").join(label.hint("merge"), ["f0", "f1"]).select("doc_id", "component_id")
+    texts = written(docs.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "text"), "near-texts")
+    return labelled(texts, shingle, least).select("doc_id", F.col("first").alias("component_id"))

@@ -239,6 +239,25 @@ def test_no_proposed_pair_is_displaced_by_one_that_fails(spark, monkeypatch, blo
     assert {x.doc_id: x.component_id for x in near.near_copies(docs(spark, rows)).collect()} == grouped(good, sets)
 
 
+@pytest.mark.parametrize("piece", [1 << 14, 100])
+def test_long_near_copies_are_counted_over_the_whole_text(spark, monkeypatch, piece):
+    """Pairs of long texts a little above and a little below 0.8, which a sample takes for the other now and then."""
+    monkeypatch.setattr(near, "PIECE", piece, raising=False)
+    r, rows = random.Random(3), []
+    for base in range(40):
+        text = words(base, 1500).split()
+        t = list(text)
+        for place in r.sample(range(0, 1500, 10), 33 + base % 5 - 2):
+            t[place] = "zz" + str(place)
+        rows += [(2 * base, " ".join(text)), (2 * base + 1, " ".join(t))]
+    sets = {d: shingles(t) for d, t in rows}
+    prints = {d: near.sketch(t, 5)[:2] for d, t in rows}
+    near_by = [(2 * i, 2 * i + 1) for i in range(40) if proposed(prints[2 * i], prints[2 * i + 1])]
+    good = [(a, b) for a, b in near_by if jaccard(sets[a], sets[b]) >= 0.8]
+    assert 5 < len(good) < len(near_by) - 5
+    assert {x.doc_id: x.component_id for x in near.near_copies(docs(spark, rows)).collect()} == grouped(good, sets)
+
+
 def test_near_copies_odd_rows(spark):
     assert near.near_copies(docs(spark, [])).count() == 0
     t = words(1, 200)
