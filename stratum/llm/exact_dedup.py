@@ -97,12 +97,12 @@ def drop_exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) ->
     rows = docs.withColumn("__d", F.unhex(F.sha2(without_white(body), 256)))
     kept = rows.join(marks.select(*key).hint("merge"), (rows["__d"] == F.col("__digest"))
                      & rows["doc_id"].eqNullSafe(F.col("__id"))
-                     & (F.char_length(body) == F.col("__n"))).drop("__id", "__n", "__digest", "__d")
-    single = kept.where("__same = 1").drop("__same")
-    several = kept.where("__same > 1").drop("__same")
-    return single.unionByName(several.groupBy("doc_id").agg(
-        *[F.first(c).alias(c) for c in docs.columns if c != "doc_id"]).select(*docs.columns)
-        if set(docs.columns) != {"doc_id"} else several.distinct())
+                     & (F.char_length(body) == F.col("__n"))).drop("__id", "__d")
+    single = kept.where("__same = 1")
+    # unlike texts may share a doc_id, or have none: they are told apart by the digest
+    several = kept.where("__same > 1").groupBy("doc_id", "__n", "__digest").agg(
+        *[F.first(c).alias(c) for c in docs.columns if c != "doc_id"])
+    return single.select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,13 @@ def test_exact_empty_repeated_rows_and_clashing_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_exact_unlike_texts_of_one_doc_id_stay(spark):
+    rows = [(i, t) for i in (None, 5) for t in ("a", "a", "b", "b", "c")]
+    rows = [(i, f"{t} {i}") for i, t in rows]
+    got = [(r.doc_id, r.text) for r in drop_exact_duplicates(docs(spark, rows)).collect()]
+    assert sorted(got, key=repr) == sorted(set(rows), key=repr)
+
+
 def test_index_keeps_what_an_earlier_batch_brought(spark, scratch):
     first = DigestIndex(spark, f"{scratch}/index", buckets=4)
     assert drop_exact_duplicates(docs(spark, [(1, "a"), (2, "b")]), first).count() == 2
