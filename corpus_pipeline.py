@@ -14,9 +14,8 @@ from stratum.llm.bpe import encode_documents
 from stratum.llm.common import table, written
 from stratum.llm.exact_dedup import drop_exact_duplicates
 from stratum.llm.mixing import mixed_documents
-from stratum.llm.near_copies import near_copies
+from stratum.llm.near_copies import drop_near_copies
 from stratum.llm.quality import held_out, score, train
-from stratum.llm.simhash import drop_grouped
 
 #: documents below this chance of being good go
 MIN_QUALITY = 0.5
@@ -37,8 +36,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest doc_id."""
-    return drop_grouped(docs, near_copies(docs, NEAR_SHINGLE, NEAR_SIMILARITY))
+    """Of every group of near copies the document with the smallest doc_id, one without only where none has one."""
+    return drop_near_copies(docs, NEAR_SHINGLE, NEAR_SIMILARITY)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

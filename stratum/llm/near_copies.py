@@ -382,3 +382,17 @@ def near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFr
     """
     texts = written(docs.select(F.monotonically_increasing_id().alias(ROW), "doc_id", "text"), "near-texts")
     return labelled(texts, shingle, least).select("doc_id", F.col("first").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """Rows of ``docs`` that stay: of every component of ``near_copies`` the row with the smallest doc_id.
+
+    Rows are told apart by a number of their own, so unlike texts under one doc_id (or none)
+    are judged each by its component. A row without a doc_id stays only where its component
+    has none with one.
+    """
+    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "near-texts")
+    keep = labelled(rows, shingle, least).groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
+    keep = written(keep.select(F.col("best.row").alias(ROW)), "kept")
+    return rows.join(keep.hint("merge"), ROW, "left_semi").select(*docs.columns)

@@ -276,6 +276,16 @@ def test_near_copies_odd_rows(spark):
     assert sorted(x.doc_id or 0 for x in drop_grouped(table, groups).collect()) == [0, 0, 3, 9]
 
 
+def test_near_copies_are_dropped_row_by_row(spark):
+    """Unlike texts under one doc_id stay, a near copy under it goes, and of copies without a doc_id one stays."""
+    a, b, c, d, e = (words(i, 200) for i in range(5))
+    rows = [(3, a), (5, a + " x"), (5, b), (7, c), (7, d), (None, e), (None, e + " x"), (None, e), (None, b + " x")]
+    kept = [(r.doc_id, r.text) for r in near.drop_near_copies(docs(spark, rows)).collect()]
+    assert sorted(x for x in kept if x[0] is not None) == sorted([(3, a), (5, b), (7, c), (7, d)])
+    assert len([t for i, t in kept if i is None]) == 1 and kept[[i for i, _ in kept].index(None)][1] in (e, e + " x")
+    assert near.drop_near_copies(docs(spark, [])).count() == 0
+
+
 # ---------------------------------------------------------------- suffixes
 
 def brute_repeats(rows, n=50):
