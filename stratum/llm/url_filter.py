@@ -36,7 +36,8 @@ def host_rule(verdict: str, site: str) -> Rule:
     """Rule for a host with its subdomains and a path prefix, written ``host/path``."""
     host, _, path = site.partition("/")
     path = "/" + path
-    pattern = rf"^.*?://(?:[^/?#]*\.)?{re.escape(host)}{re.escape(path)}"
+    # the host is that after the first separator, not of an address further on in the url
+    pattern = rf"^(?:(?!://).)*://(?:[^/?#]*\.)?{re.escape(host)}{re.escape(path)}"
     # a token that ends where the prefix ends may go on in the url, and then is no whole token
     whole = re.findall(TOKEN, host) + re.findall(rf"(?<![a-z0-9]){TOKEN}(?=[^a-z0-9])", path.translate(_FOLD))
     return Rule(verdict, pattern, tuple(dict.fromkeys(whole)), site)

@@ -89,6 +89,14 @@ def test_urls_match_the_rules_tried_one_by_one(spark):
     assert url_filter.judge_urls(df.limit(0), rules).count() == 0
 
 
+def test_an_embedded_address_is_not_the_host(spark):
+    urls = ["http://evil.com/?u=http://example.org/es/x", "https://web.site.com/cache/http://x.org/a",
+            "http://h.net/de#x://a.com/fr/", "a:://x.org/", "http://x.org/http://h.com/de/"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r.url: (r.rule, r.verdict) for r in url_filter.judge_urls(df, url_filter.HOST_RULES).collect()}
+    assert [got[u] for u in urls] == [(None, "allow")] * 3 + [("org/", "allow")] * 2
+
+
 def test_rules_are_filed_under_their_rarest_token():
     rules = (url_filter.token_rule("block", "aa", "bbb"), url_filter.Rule("block", "x", ()))
     assert url_filter.build_index(rules, {"aa": 1, "bbb": 9}) == ({"aa": [0]}, [1])
