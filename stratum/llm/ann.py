@@ -169,14 +169,16 @@ def _vectors(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
-    """(rep, ids, vec, dim): each vector once, with its ``k`` + 1 smallest ids; rep is the smallest.
+    """(rep, ids, vec, dim): each vector once, with its ``k`` + 1 smallest ids and the rows of each; rep is the smallest.
 
-    More ids of one vector can't be among a query's ``k`` nearest, since ties go to the smaller id.
+    More ids of one vector can't be among a query's ``k`` nearest, since ties go to the smaller id
+    and only one of the ids is the query's own.
     """
     w = Window.partitionBy("vec").orderBy("id")
-    first = rows.withColumn("k", F.row_number().over(w)).where(F.col("k") <= k + 1)
-    return (first.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-            .select(F.col("ids")[0].alias("rep"), "ids", "vec", F.size("vec").alias("dim")))
+    first = (rows.groupBy("vec", "id").agg(F.count(F.lit(1)).alias("same"))
+             .withColumn("k", F.row_number().over(w)).where(F.col("k") <= k + 1))
+    return (first.groupBy("vec").agg(F.array_sort(F.collect_list(F.struct("id", "same"))).alias("ids"))
+            .select(F.col("ids")[0]["id"].alias("rep"), "ids", "vec", F.size("vec").alias("dim")))
 
 
 def usable(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -264,7 +266,8 @@ def nearest(rows: DataFrame, asked, k: int = 10, id_column: str = "vec_id", vect
     ties go to the smaller id. Rows without an id, and vectors null, empty, zero or with null
     or non-finite components take no part; vectors only meet vectors of their length. Equal
     vectors are one node with their smallest ids, so a vector that a third of all rows have
-    costs one node. Rows that repeat an id count each; with too few rows there are fewer ranks.
+    costs one node. Rows that repeat an id count each as neighbours, and a repeated row that is asked for
+    is answered once, without any of its own; with too few rows there are fewer ranks.
     """
     fine = written(usable(rows, id_column, vector), "vectors")
     vectors = written(distinct_vectors(fine, k), "distinct-vectors")
@@ -272,13 +275,16 @@ def nearest(rows: DataFrame, asked, k: int = 10, id_column: str = "vec_id", vect
     asking = written(fine.where(asked).join(vectors.select("vec", "rep"), "vec").select("id", "rep"), "queries")
     queries = vectors.join(asking.select("rep").distinct(), "rep", "left_semi").select("rep", "vec", "dim")
     hits = search(index, queries, k + 1, beam)
-    named = hits.join(vectors.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id"))
-    # of one query vector only its k + 1 first can be in the answer of any row that has it
-    w = Window.partitionBy("query").orderBy("score", "vec_id")
-    named = named.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k + 1).drop("n")
+    named = hits.join(vectors.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("x")).select(
+        "query", "score", F.col("x.id").alias("vec_id"), F.least("x.same", F.lit(k)).cast("int").alias("same"))
+    # of one query vector only its k + 1 first ids can be in the answer of any row that has it
+    named = named.withColumn("first", F.min("score").over(Window.partitionBy("query", "vec_id")))
+    w = Window.partitionBy("query").orderBy("first", "vec_id")
+    named = named.withColumn("n", F.dense_rank().over(w)).where(F.col("n") <= k + 1).drop("n", "first")
     rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (asking.select(F.col("id").alias("query_id"), F.col("rep").alias("query")).distinct()
             .join(named, "query").where("vec_id != query_id")
+            .withColumn("same", F.explode(F.array_repeat(F.lit(1), F.col("same"))))
             .withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 

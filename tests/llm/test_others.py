@@ -52,6 +52,17 @@ def test_nearest_against_brute_force(spark):
     assert nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_with_repeated_rows(spark):
+    """The queried row once, twice and twelve times; a neighbour that comes three times counts three times."""
+    place = {i: [1.0 + i, 2.0] for i in range(40)}
+    rows = [(i, v) for i, v in place.items()] + [(100, [5.0, 2.0])] * 2 + [(200, [9.0, 2.0])] * 12 + [(3, place[3])] * 2
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 100 == 0, k=10).collect()
+    for q, v in ((0, place[0]), (100, [5.0, 2.0]), (200, [9.0, 2.0])):
+        want = sorted((abs(w[0] - v[0]), i) for i, w in rows if i != q)[:10]
+        assert sorted((g["rank"], g.score, g.vec_id) for g in got if g.query_id == q) == [
+            (n + 1, s, i) for n, (s, i) in enumerate(want)]
+
+
 def test_graph_reaches_its_nodes():
     x = np.random.default_rng(2).normal(size=(500, 8)).astype(np.float32)
     edges, middle = build_graph(x)
