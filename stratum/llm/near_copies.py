@@ -33,8 +33,6 @@ MARGIN = 0.15
 PIECE = 1 << 14
 #: members of a bucket compared in one block; larger buckets are cut into pairs of blocks
 BLOCK = 512
-#: links across components checked for each member of a bucket before all others are
-CLOSEST = 32
 #: rows compared side by side, at least the two blocks of a unit
 SIDE_BY_SIDE = 4 * BLOCK
 
@@ -128,37 +126,23 @@ def _near(group: np.ndarray, side: np.ndarray, f0: np.ndarray, f1: np.ndarray) -
     return np.concatenate(us), np.concatenate(vs), np.concatenate(ws)
 
 
-def _trees(sig: np.ndarray, root: np.ndarray, f0: np.ndarray, f1: np.ndarray, u, v, w) -> np.ndarray:
-    """Indexes of the links that a first pass checks: the forest of the closest."""
-    return spanning(u, v, w, len(f0))
-
-
-def first_shared(x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
-    """The place of the first signature that two fingerprints share, from their differing bits."""
-    out = np.full(len(x0), -1, np.int64)
-    for segment in reversed(range(SEGMENTS)):
-        word = x0 if segment < SEGMENTS // 2 else x1
-        part = (word >> np.uint64(segment % (SEGMENTS // 2) * WIDTH)) & np.uint64((1 << WIDTH) - 1)
-        bit = np.bitwise_count(np.maximum(part, np.uint64(1)) - np.uint64(1))  # the place of a single bit, 0 for none
-        out = np.where(np.bitwise_count(part) <= 1, segment * WIDTH + bit.astype(np.int64), out)
+def proposed(x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+    """Whether two fingerprints share a signature, from their differing bits."""
+    out = np.zeros(len(x0), bool)
+    for word in (x0, x1):
+        for at in range(0, 64, WIDTH):
+            out |= np.bitwise_count((word >> np.uint64(at)) & np.uint64((1 << WIDTH) - 1)) <= 1
     return out
 
 
-def _crossing(most: int | None):
-    """Indexes of the links between components, each in its first shared bucket only: the ``most`` closest a member."""
-    def pick(sig, root, f0, f1, u, v, w):
-        kept = np.flatnonzero(root[u] != root[v])
-        kept = kept[first_shared(f0[u[kept]] ^ f0[v[kept]], f1[u[kept]] ^ f1[v[kept]]) == sig[u[kept]] >> WIDTH]
-        if most is None or not len(kept):
-            return kept
-        member = np.concatenate((u[kept], v[kept]))
-        order = np.lexsort((np.tile(w[kept], 2), member))
-        member = member[order]
-        start = np.flatnonzero(np.r_[True, member[1:] != member[:-1]])
-        rank = np.arange(len(member)) - np.repeat(start, np.diff(np.r_[start, len(member)]))
-        return kept[np.unique(order[rank < most] % len(kept))]
-
-    return pick
+def judge(x: np.ndarray, y: np.ndarray, m: int, n: int, least: float) -> int:
+    """The level to compare two texts of m and n hashes at, or -1 for a pair that stands and -2 for one that falls."""
+    if min(m, n) < max(m, n) and min(m, n) / max(m, n) < least:
+        return -2
+    found = similarity(x, y)
+    if max(m, n) < SKETCH:
+        return -1 if found >= least else -2
+    return level(max(m, n)) if found >= least - MARGIN else -2
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
@@ -198,53 +182,102 @@ def signatures(nodes: DataFrame) -> DataFrame:
         f" & {(1 << WIDTH) - 1} & ~shiftleft(1L, v % {WIDTH})) as int)").alias("sig"), *nodes.columns)
 
 
-def candidates(nodes: DataFrame, pick) -> DataFrame:
-    """(a, b): links between nodes (hashes of fingerprints; ``nodes`` has f0, f1, root) that ``pick`` takes.
+def dealt(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """``rows`` (with their group's ``members``) once for each unit (group, low, high) they belong to, with their side."""
+    parts = F.ceil(F.coalesce(F.col("members"), F.lit(1)) / block).cast("int")
+    mine = F.pmod(F.xxhash64("f0", "f1"), parts).cast("int")
+    partners = F.when(parts == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), parts - 1))
+    alone = F.col("other") < 0
+    rest = [c for c in rows.columns if c not in (group, "members")]
+    return (rows.select(group, *rest, mine.alias("mine"), F.explode(partners).alias("other"))
+            .select(group, F.when(alone, 0).otherwise(F.least("mine", "other")).alias("low"),
+                    F.when(alone, 0).otherwise(F.greatest("mine", "other")).alias("high"),
+                    F.when(alone | (F.col("mine") == F.col("other")), 0)
+                    .when(F.col("mine") < F.col("other"), 1).otherwise(2).cast("byte").alias("side"), *rest)
+            .repartition(group, "low", "high").sortWithinPartitions(group, "low", "high", "f0", "f1"))
+
+
+def side_by_side(group: np.ndarray, side: np.ndarray, f0: np.ndarray, f1: np.ndarray):
+    """(start, end, links as of ``_near``) for whole groups, about SIDE_BY_SIDE rows at a time."""
+    at = 0
+    while at < len(group):
+        end = int(np.searchsorted(group, group[min(at + SIDE_BY_SIDE, len(group)) - 1], "right"))
+        yield at, end, _near(group[at:end], side[at:end], f0[at:end], f1[at:end])
+        at = end
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(a, b): links between nodes (hashes of fingerprints), the closest of each bucket.
 
     Buckets of one signature are joined by equality: one shuffle brings their members together.
     A bucket of more than BLOCK members, known from a count over all signatures, is dealt by a
-    hash of the fingerprint into blocks and every pair of blocks is a unit. In a unit all
-    members are compared by their bits.
+    hash of the fingerprint into blocks and every pair of blocks is a unit. A unit gives a
+    minimum spanning forest by bits, so at most one link per member leaves it, and of linked
+    members those most alike.
     """
     sigs = signatures(nodes)
     large = written(sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK),
                     "large-buckets")
-    rows = sigs.join(large, "sig", "left")
-    parts = F.ceil(F.coalesce(F.col("members"), F.lit(1)) / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("f0", "f1"), parts).cast("int")
-    partners = F.when(parts == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), parts - 1))
-    alone = F.col("other") < 0
-    rest = [c for c in ("f0", "f1", "root") if c in nodes.columns]
-    units = (rows.select("sig", *rest, mine.alias("mine"), F.explode(partners).alias("other"))
-             .select("sig", F.when(alone, 0).otherwise(F.least("mine", "other")).alias("low"),
-                     F.when(alone, 0).otherwise(F.greatest("mine", "other")).alias("high"),
-                     F.when(alone | (F.col("mine") == F.col("other")), 0)
-                     .when(F.col("mine") < F.col("other"), 1).otherwise(2).cast("byte").alias("side"), *rest))
-    key = ["sig", "low", "high"]
 
     def work(t, group):
-        sig, side, f0, f1 = (t.column(c).to_numpy() for c in ("sig", "side", "f0", "f1"))
-        root = t.column("root").to_numpy() if "root" in rest else f0
-        x0, x1 = f0.view(np.uint64), f1.view(np.uint64)
-        found, at = [], 0
-        while at < len(group):  # whole groups, about SIDE_BY_SIDE rows at a time
-            end = int(np.searchsorted(group, group[min(at + SIDE_BY_SIDE, len(group)) - 1], "right"))
-            u, v, w = _near(group[at:end], side[at:end], x0[at:end], x1[at:end])
-            kept = pick(sig[at:end], root[at:end], x0[at:end], x1[at:end], u, v, w)
+        side, f0, f1 = (t.column(c).to_numpy() for c in ("side", "f0", "f1"))
+        found = []
+        for at, end, (u, v, w) in side_by_side(group, side, f0.view(np.uint64), f1.view(np.uint64)):
+            kept = spanning(u, v, w, end - at)
             found.append((u[kept] + at, v[kept] + at))
-            at = end
         u, v = (np.concatenate(x) for x in zip(*found))
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (f0[u], f1[u], f0[v], f1[v])],
                                           names=["a0", "a1", "b0", "b1"])
 
     def run(batches):
-        return in_groups(batches, key, work)
+        return in_groups(batches, ["sig", "low", "high"], work)
 
-    links = (units.repartition(*key).sortWithinPartitions(*key, "f0", "f1")
-             .mapInArrow(run, "a0 long, a1 long, b0 long, b1 long"))
+    links = dealt(sigs.join(large, "sig", "left"), "sig", BLOCK).mapInArrow(run, "a0 long, a1 long, b0 long, b1 long")
     return links.select(F.xxhash64("a0", "a1").alias("a"), F.xxhash64("b0", "b1").alias("b")).distinct()
 
 
+def displaced(members: DataFrame, least: float) -> DataFrame:
+    """(a, b): of ``members`` (cluster, members, node, root, f0, f1, sketch, n) what may join two roots of a cluster.
+
+    Every proposed pair of two roots is compared inside the task, by sketches. Pairs that stand leave it
+    unless closer ones join their roots already, pairs that whole texts must decide leave it too.
+    """
+    def work(t, group):
+        side, f0, f1, node, root, n = (t.column(c).to_numpy() for c in ("side", "f0", "f1", "node", "root", "n"))
+        x0, x1 = f0.view(np.uint64), f1.view(np.uint64)
+        column = t.column("sketch").combine_chunks()
+        flat, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
+        us, vs = [], []
+        for at, end, (u, v, w) in side_by_side(group, side, x0, x1):
+            u, v = u + at, v + at
+            kept = np.flatnonzero(root[u] != root[v])
+            kept = kept[proposed(x0[u[kept]] ^ x0[v[kept]], x1[u[kept]] ^ x1[v[kept]])]
+            kept = kept[np.argsort(w[kept], kind="stable")]
+            up: dict[int, int] = {}
+
+            def top(r):
+                while r in up:
+                    r = up[r]
+                return r
+
+            for i, j in zip(u[kept].tolist(), v[kept].tolist()):
+                a, b = top(int(root[i])), top(int(root[j]))
+                if a == b:
+                    continue
+                said = judge(flat[ends[i]:ends[i + 1]], flat[ends[j]:ends[j + 1]], int(n[i]), int(n[j]), least)
+                if said == -1:
+                    up[a] = b
+                if said > -2:
+                    us.append(node[i])
+                    vs.append(node[j])
+        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        return in_groups(batches, ["cluster", "low", "high"], work)
+
+    return dealt(members, "cluster", 2 * BLOCK).mapInArrow(run, "a long, b long")
+
+
 def level(n: int) -> int:
     """A text of n hashes is cut into 2 ** level pieces by the first bits of the hashes."""
     return (max(n - 1, 0) // PIECE).bit_length()
@@ -280,22 +313,13 @@ def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, shingle: int,
     rows = (pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
             .select("a", "b", "x", "y", "na", "nb"))
 
-    def judge(x, y, m, n) -> int:
-        """The level to compare at, or -1 for a pair that stands and -2 for one that falls."""
-        if min(m, n) < max(m, n) and min(m, n) / max(m, n) < least:
-            return -2
-        found = similarity(x, y)
-        if max(m, n) < SKETCH:
-            return -1 if found >= least else -2
-        return level(max(m, n)) if found >= least - MARGIN else -2
-
     def run(batches):
         for t in batches:
             values = []
             for column in (t.column(2), t.column(3)):
                 flat, ends = column.flatten().to_numpy(), np.r_[0, np.cumsum(column.value_lengths().to_numpy())]
                 values.append([flat[s:e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())])
-            said = np.array([judge(*x) for x in zip(*values, t.column(4).to_pylist(), t.column(5).to_pylist())], np.int32)
+            said = np.array([judge(*x, least) for x in zip(*values, t.column(4).to_pylist(), t.column(5).to_pylist())], np.int32)
             yield pa.RecordBatch.from_arrays([t.column(i) for i in (0, 1, 4, 5)] + [pa.array(said)],
                                              names=["a", "b", "na", "nb", "level"]).filter(pa.array(said > -2))
 
@@ -321,34 +345,26 @@ def roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
                    .select("node", F.coalesce("root", "node").alias("root")), "sketch-roots")
 
 
-def linked(nodes: DataFrame, check) -> DataFrame:
+def linked(nodes: DataFrame, check, least: float) -> DataFrame:
     """(node, root): components over all proposed links that ``check`` lets stand.
 
-    First only the forest of each unit is checked. A link it displaced can join two components
-    only if links on the way between its ends failed, so both its components have a failed link
-    that leaves them. The members of such components come again, and now all their links across
-    components are checked: the closest few of each member first, then whatever still crosses.
+    First only the forest of each unit is checked. The ends of a link it displaced are connected
+    by the forest, so they lie in one cluster of checked links, whether these stand or fall.
+    Clusters that the standing links leave in several parts come again whole.
     """
-    pairs = written(candidates(nodes.select("f0", "f1"), _trees), "sketch-links")
+    pairs = written(candidates(nodes.select("f0", "f1")), "sketch-links")
     good = written(check(pairs), "sketch-good")
-    bad = written(pairs.join(good.hint("merge"), ["a", "b"], "left_anti"), "sketch-bad")
     found = roots(nodes, good)
-    for most in (CLOSEST, None):
-        ends = bad.join(found.select(F.col("node").alias("a"), F.col("root").alias("x")).hint("merge"), "a").join(
-            found.select(F.col("node").alias("b"), F.col("root").alias("y")).hint("merge"), "b").where("x != y")
-        open_ = written(ends.select(F.explode(F.array("x", "y")).alias("root")).distinct(), "sketch-open")
-        if not open_.limit(1).count():
-            break
-        some = written(nodes.select("f0", "f1", "node").join(found.hint("merge"), "node")
-                       .join(open_.hint("merge"), "root", "left_semi").select("f0", "f1", "root"), "sketch-again")
-        pairs = written(candidates(some, _crossing(most)).join(bad.hint("merge"), ["a", "b"], "left_anti"),
-                        "sketch-links")
-        more = written(check(pairs), "sketch-good")
-        bad = written(bad.unionByName(pairs.join(more.hint("merge"), ["a", "b"], "left_anti")), "sketch-bad")
-        if more.limit(1).count():
-            good = good.unionByName(more)
-            found = roots(nodes, good)
-    return found
+    cluster = roots(nodes, pairs).withColumnRenamed("root", "cluster")
+    both = written(found.join(cluster.hint("merge"), "node"), "sketch-clusters")
+    # two members: their only link was checked
+    open_ = written(both.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("low"),
+                                                F.max("root").alias("high"))
+                    .where("members > 2 and low != high").select("cluster", "members"), "sketch-open")
+    members = both.join(open_.hint("merge"), "cluster").join(
+        nodes.select("node", "f0", "f1", "sketch", "n").hint("merge"), "node")
+    more = written(check(written(displaced(members, least), "sketch-links")), "sketch-good")
+    return roots(nodes, good.unionByName(more)) if more.limit(1).count() else found
 
 
 def labelled(texts: DataFrame, shingle: int, least: float) -> DataFrame:
@@ -359,7 +375,7 @@ def labelled(texts: DataFrame, shingle: int, least: float) -> DataFrame:
     nodes = written(rows.groupBy("f0", "f1").agg(F.min("doc_id").alias("first"), F.min("row").alias("row"),
                                                  F.min_by("sketch", "row").alias("sketch"), F.min_by("n", "row").alias("n"))
                     .withColumn("node", F.xxhash64("f0", "f1")), "sketch-nodes")
-    found = linked(nodes, lambda pairs: verified(pairs, nodes, texts, shingle, least))
+    found = linked(nodes, lambda pairs: verified(pairs, nodes, texts, shingle, least), least)
     rooted = nodes.select("f0", "f1", "first", "node").join(found.hint("merge"), "node")
     ids = rooted.groupBy("root").agg(F.min("first").alias("first"))
     label = written(rooted.drop("first").join(ids.hint("merge"), "root").select("f0", "f1", "first", "root"),

@@ -230,7 +230,6 @@ def test_no_proposed_pair_is_displaced_by_one_that_fails(spark, monkeypatch, blo
     """Many copies with few edits, pairs on both sides of 0.8: the closest by bits are not those that hold."""
     monkeypatch.setattr(near, "BLOCK", block)
     monkeypatch.setattr(near, "SIDE_BY_SIDE", 4 * block)
-    monkeypatch.setattr(near, "CLOSEST", 2, raising=False)
     r, rows = random.Random(5), []
     for base in (1, 2):
         text = words(base, 200).split()
