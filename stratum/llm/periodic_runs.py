@@ -133,6 +133,13 @@ DOC = "key binary, n long, text string, plain string"
 TILE = "p long, lo long, at_start boolean, at_end boolean, starts array<int>, periods array<int>, words array<int>"
 
 
+def few_rows(batches, rows: int = 256):
+    """The same rows in small batches, so that texts and word lists of few documents are held at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").split()
 
@@ -148,7 +155,7 @@ def explode_tiles(place_id: int, place_text: int):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     def run(batches):
-        for b in batches:
+        for b in few_rows(batches):
             out, weight = [], 0
             for doc_id, text in zip(b.column(place_id).to_pylist(), b.column(place_text)):
                 text = text.as_py()
@@ -164,7 +171,7 @@ def explode_tiles(place_id: int, place_text: int):
                     out.append((None, key, None, None, None, p, lo, at_start, at_end,
                                 starts.astype(np.int32), periods.astype(np.int32), part.astype(np.int32)))
                     weight += 4 * len(part) + 8 * len(starts)
-                    if weight > 1 << 22:
+                    if weight > 1 << 20:
                         yield emit(out)
                         out, weight = [], 0
                 if not found:
@@ -177,7 +184,7 @@ def explode_tiles(place_id: int, place_text: int):
 
 def solve_tiles(batches):
     """(key, period, first, stop) of every stretch of every tile, counted in the document's words."""
-    for b in batches:
+    for b in few_rows(batches):
         keys, qs, firsts, stops = [], [], [], []
         for i in range(b.num_rows):
             row = {f: b.column(j)[i].as_py() for j, f in enumerate(b.schema.names)}
@@ -216,7 +223,7 @@ def collapse(batches):
     """(doc_id, n, text, runs) -> doc_id and RESULT."""
     names = ["doc_id", *[f.split()[0] for f in RESULT.split(", ")]]
     types = [pa.int64()] * 6 + [pa.string()] * 2
-    for b in batches:
+    for b in few_rows(batches):
         out = []
         for i in range(b.num_rows):
             doc_id, text, runs = (b.column(b.schema.get_field_index(f))[i].as_py() for f in ("doc_id", "text", "runs"))
@@ -275,7 +282,7 @@ def planted(docs: DataFrame) -> DataFrame:
     are made periodic, as the query's contract says; the other texts are as they were."""
 
     def run(batches):
-        for b in batches:
+        for b in few_rows(batches):
             ids, texts = b.column(0).to_pylist(), []
             for doc_id, text in zip(ids, b.column(1).to_pylist()):
                 h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
