@@ -17,8 +17,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 from stratum import fixed
 from stratum.operators.cleanse import null_tokens
 from stratum.session import shared_dir
+from stratum.sources.records import csv_records
 
 CORRUPT = "_corrupt_record"
+#: quoting of the landing files: double quotes, doubled inside
+DIALECT = {"quote": '"', "escape": '"'}
 
 
 def text_schema(columns: Sequence[str], corrupt: bool = True) -> StructType:
@@ -28,6 +31,10 @@ def text_schema(columns: Sequence[str], corrupt: bool = True) -> StructType:
     return StructType(fields)
 
 
+def ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
                         encoding: str = "UTF-8", multiline: bool = True,
                         tokens: Sequence[str] = fixed.NULL_TOKENS,
@@ -49,24 +56,23 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
     both outputs read that table, whatever later stages select. The write
     also cuts the lineage back to the text files.
 
-    With ``multiline`` (the default) a quoted field may hold line breaks;
-    each file is then one split, so parallelism comes from landing many
-    files. Turn it off only for files known to hold no quoted line break:
-    there such a record would be cut in two and quarantined.
+    With ``multiline`` (the default) a quoted field may hold line breaks (read as newlines);
+    the records are found by a prefix scan over the lines (:mod:`stratum.sources.records`), so
+    one large file is parsed by all tasks. Without it, for files known to hold no quoted line
+    break, lines are records and no scan is needed; a record with one would be cut in two and
+    quarantined.
     """
-    raw = (spark.read.schema(text_schema(columns))
-           .option("header", header)
-           .option("quote", '"').option("escape", '"')
-           .option("multiLine", multiline)
-           .option("encoding", encoding)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("enforceSchema", True)
-           .csv(path if isinstance(path, str) else list(path)))
+    schema = text_schema(columns)
+    options = {**DIALECT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if stage_to is None:
         stage_to = shared_dir(spark, "csv-stage")
-    raw.write.mode("overwrite").parquet(stage_to)
-    raw = spark.read.parquet(stage_to)
+    if multiline:
+        raw = csv_records(spark, path, lambda record: F.from_csv(record, ddl(schema), options), stage_to, encoding, header)
+    else:
+        (spark.read.schema(schema).options(**options)
+         .option("header", header).option("encoding", encoding).option("enforceSchema", True)
+         .csv(path if isinstance(path, str) else list(path)).write.mode("overwrite").parquet(stage_to))
+        raw = spark.read.parquet(stage_to)
     good = null_tokens(raw.where(F.col(CORRUPT).isNull()).select(*columns), tokens)
     rejects = (raw.where(F.col(CORRUPT).isNotNull())
                .select(*columns, F.col(CORRUPT).alias("line")))
@@ -78,12 +84,17 @@ def read_csv_named(spark: SparkSession, path: str | Sequence[str], encoding: str
     """Header-named scan for profiling: every column as text, names from the header.
 
     No type inference (it would cost a full extra pass over the files);
-    profiling classifies the text itself.
+    profiling classifies the text itself. Records are found as in
+    :func:`read_csv_positional` and staged as Parquet; only the header is read on its own.
     """
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("quote", '"').option("escape", '"')
-            .option("multiLine", multiline).option("encoding", encoding)
-            .csv(path if isinstance(path, str) else list(path)))
+    paths = path if isinstance(path, str) else list(path)
+    scan = (spark.read.option("header", True).option("inferSchema", False).options(**DIALECT)
+            .option("multiLine", multiline).option("encoding", encoding).csv(paths))
+    if not multiline:
+        return scan
+    names = StructType([StructField(f"c{i}", StringType()) for i in range(len(scan.columns))])
+    return csv_records(spark, paths, lambda record: F.from_csv(record, ddl(names), dict(DIALECT)),
+                       shared_dir(spark, "csv-named"), encoding).toDF(*scan.columns)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
