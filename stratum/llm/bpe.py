@@ -15,12 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm.common import per_worker, table
 
-#: merged words and runs kept by one worker; the cache starts anew beyond that
-CACHE = 200_000
+#: bytes of merged words, and of runs of several words, that one worker keeps in each of two generations
+WORDS_ROOM, RUNS_ROOM = 40 << 20, 8 << 20
 #: up to this code point text is its own NFC form and character classes are settled in every Unicode version
 PLAIN_END = 0x24F
 
 
+#: children of a node of the segment tree: a minimum over a short slice costs little more than one
+#: over two values, so a wide node saves levels
+WIDTH = 16
+
+
 def merge(symbols: list[int], ranks: dict[int, tuple[int, int]], n_ranks: int) -> list[int]:
     """Merge adjacent symbols, always the leftmost pair of lowest rank, until no pair has a rank.
 
@@ -35,62 +40,93 @@ def merge(symbols: list[int], ranks: dict[int, tuple[int, int]], n_ranks: int) -
         return symbols
     get = ranks.get
     none = n_ranks * m
-    size = 1 << (m - 1).bit_length()
-    tree = [none] * (2 * size)
-    place = size
+    leaves = [none] * m
     found = False
     first = symbols[0]
-    for second in symbols[1:]:
+    for i in range(1, m):
+        second = symbols[i]
         r = get(first << 32 | second)
         if r is not None:
-            tree[place] = r[0] * m + place - size
+            leaves[i - 1] = r[0] * m + i - 1
             found = True
-        place += 1
         first = second
     if not found:
         return symbols
-    for i in range(size - 1, 0, -1):
-        x, y = tree[2 * i], tree[2 * i + 1]
-        tree[i] = x if x < y else y
+    tree = [leaves]
+    top = leaves
+    while len(top) > WIDTH:
+        top = [min(top[i:i + WIDTH]) for i in range(0, len(top), WIDTH)]
+        tree.append(top)
     after = list(range(1, m + 1))
     before = list(range(-1, m - 1))
-    while (low := tree[1]) < none:
+    deep = len(tree) > 1
+    while (low := min(top)) < none:
         i = low % m
         j = after[i]
         k = after[j]
         new = symbols[i] = get(symbols[i] << 32 | symbols[j])[1]
         symbols[j] = -1
         after[i] = k
-        key = none
+        leaves[i] = leaves[j] = none
         if k < m:
             before[k] = i
             r = get(new << 32 | symbols[k])
             if r is not None:
-                key = r[0] * m + i
-        changes = [(i, key)]
-        if tree[j + size] != none:
-            changes.append((j, none))
+                leaves[i] = r[0] * m + i
         h = before[i]
         if h >= 0:
             r = get(symbols[h] << 32 | new)
-            key = none if r is None else r[0] * m + h
-            if tree[h + size] != key:
-                changes.append((h, key))
-        for place, key in changes:
-            at = place + size
-            tree[at] = key
-            at >>= 1
-            while at:
-                x, y = tree[2 * at], tree[2 * at + 1]
-                if y < x:
-                    x = y
-                if tree[at] == x:
+            leaves[h] = none if r is None else r[0] * m + h
+        if deep:
+            # the places changed lie in up to three nodes of a level; each node is taken once
+            nodes = {i // WIDTH, j // WIDTH, h // WIDTH} if h >= 0 else {i // WIDTH, j // WIDTH}
+            for level in range(1, len(tree)):
+                below, here = tree[level - 1], tree[level]
+                changed = set()
+                for node in nodes:
+                    least = min(below[node * WIDTH:node * WIDTH + WIDTH])
+                    if here[node] != least:
+                        here[node] = least
+                        changed.add(node // WIDTH)
+                if not changed:
                     break
-                tree[at] = x
-                at >>= 1
+                nodes = changed
     return [s for s in symbols if s >= 0]
 
 
+class Recent:
+    """A cache of two generations, each bounded by the bytes of its entries.
+
+    When the young one is full it becomes the old one and the old one is dropped; what is
+    found in the old one moves on to the young one. So what comes often stays, at most two
+    generations are held, and nothing is ever emptied at once.
+    """
+
+    #: beyond keys and values: two objects and a place in a table
+    ENTRY = 170
+
+    def __init__(self, room: int):
+        self.room, self.used = room, 0
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def get(self, key: bytes) -> bytes | None:
+        ids = self.young.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is not None:
+                self.put(key, ids)
+        return ids
+
+    def put(self, key: bytes, ids: bytes) -> None:
+        size = len(key) + len(ids) + self.ENTRY
+        if self.used + size > self.room:
+            self.old, self.young, self.used = self.young, {}, 0
+        if size <= self.room:
+            self.young[key] = ids
+            self.used += size
+
+
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
@@ -146,7 +182,7 @@ class WordBpe:
         self.words = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{letters}]+|[{numbers}]|[^{white}{letters}{numbers}]+").findall
         self.foreign = re.compile(rf"[^\x00-{chr(PLAIN_END)}]").search
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
-        self.cache: dict[str, bytes] = {}
+        self.kept, self.runs = Recent(WORDS_ROOM), Recent(RUNS_ROOM)
 
     def symbols(self, raw: bytes) -> bytes:
         """The ids of one word, given by its bytes."""
@@ -154,29 +190,33 @@ class WordBpe:
         ids = merge(symbols, self.ranks, self.n_ranks)
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def word(self, raw: bytes) -> bytes:
+        ids = self.kept.get(raw)
+        if ids is None:
+            ids = self.symbols(raw)
+            self.kept.put(raw, ids)
+        return ids
+
     def _run(self, run: bytes) -> bytes:
-        """The ids of a run of lower-case text without ASCII white space; both levels are cached."""
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        out = []
-        for w in self.words(run.decode("utf-8")):
-            raw = w.encode("utf-8")
-            ids = cache.get(raw)
-            if ids is None:
-                ids = cache[raw] = self.symbols(raw)
-            out.append(ids)
-        # a run that is one word has its own entry by now
-        ids = cache[run] = b"".join(out)
+        """The ids of a run of lower-case text without ASCII white space. A run of one word is kept
+        as that word; runs of several, of which most come once, have a smaller cache of their own."""
+        ids = self.kept.get(run) or self.runs.get(run)
+        if ids is None:
+            words = self.words(run.decode("utf-8"))
+            ids = b"".join([self.word(w.encode("utf-8")) for w in words])
+            if len(words) > 1:
+                self.runs.put(run, ids)
         return ids
 
     def _part(self, text: str) -> list[bytes]:
         if not self.foreign(text):
-            get, make = self.cache.get, self._run
-            return [get(run) or make(run) for run in text.lower().encode("utf-8").split()]
+            make, kept, runs = self._run, self.kept, self.runs
+            # the young ones first, without a call; the dictionaries may change with every miss
+            return [kept.young.get(run) or runs.young.get(run) or make(run)
+                    for run in text.lower().encode("utf-8").split()]
         normal = self.file.normalizer.normalize_str(text)
-        return [self.symbols(bytes(map(self.byte.__getitem__, w)))
-                for w, _ in self.file.pre_tokenizer.pre_tokenize_str(normal)]
+        byte = self.byte.__getitem__
+        return [self.word(bytes(map(byte, w))) for w, _ in self.file.pre_tokenizer.pre_tokenize_str(normal)]
 
     def encode(self, text: str | None) -> bytes:
         """The ids of the whole text as little-endian unsigned 32-bit integers (null: none)."""
