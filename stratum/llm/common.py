@@ -36,6 +36,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Each wanted name, lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 

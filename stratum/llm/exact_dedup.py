@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import shared_folder, table, text_or_empty, without_white, written
+from stratum.llm.common import free_names, shared_folder, table, text_or_empty, without_white, written
 
 
 def digests(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -21,6 +22,9 @@ class DigestIndex:
     """Digests seen so far with the document that stays, bucketed and sorted by digest.
 
     The files lie at ``path``; opening the same path in a later session finds the same index.
+    The number of buckets is fixed when the index is made (``buckets``, or the session's shuffle
+    partitions) and kept beside it, at ``path``.buckets; a later session uses that number whatever
+    its own is, and naming another one is an error.
     ``merge`` adds a batch: one row per digest of the batch, anti-joined (sort-merge, without
     a shuffle of the index) against the digests already there, then appended.
     """
@@ -29,11 +33,27 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        kept = self._kept_buckets()
+        if kept is not None and buckets not in (None, kept):
+            raise ValueError(f"the index at {path} has {kept} buckets, not {buckets}")
+        self.buckets = kept or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if kept is None:
+            spark.range(1).select(F.lit(self.buckets).alias("buckets")).coalesce(1).write.parquet(self._note())
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {self.name} ({self.COLUMNS}) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'")
 
+    def _note(self) -> str:
+        return self.path.rstrip("/") + ".buckets"
+
+    def _kept_buckets(self) -> int | None:
+        try:
+            return self.spark.read.parquet(self._note()).first()["buckets"]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def merge(self, batch_digests: DataFrame) -> str:
         """Append the digests of the batch that are new; returns the batch's own mark."""
         batch = uuid.uuid4().hex
@@ -54,6 +74,11 @@ class DigestIndex:
         """The index as a plain scan, so that a join may split a hot digest at run time."""
         return self.spark.read.schema(self.COLUMNS).parquet(self.path)
 
+    def verdicts(self, batch_digests: DataFrame) -> DataFrame:
+        """The index rows of the batch's digests, by a join that leaves the index where it lies."""
+        wanted = batch_digests.select("digest").distinct()
+        return wanted.join(self.spark.table(self.name).hint("merge"), "digest")
+
     def close(self) -> None:
         """Forget the table's name in this session; the files stay."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -75,7 +100,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None,
     index = index or DigestIndex(spark, shared_folder(spark, "digest-index"))
     rows = written(digests(docs, text, doc_id), "digests")
     batch = index.merge(rows)
-    out = (rows.join(index.rows(), "digest")
+    # an index of this batch alone holds nothing else; a longer one is asked for the batch's digests only
+    out = (rows.join(index.rows() if own else index.verdicts(rows), "digest")
            .select("doc_id", "keep_id", "group_size",
                    (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))
                     & (F.col("batch") == batch)).alias("kept"),
@@ -91,16 +117,17 @@ def drop_exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) ->
         F.count(F.lit(1)).alias("same"))
     marks = written(marks, "kept")
     # one plan at every size: the marks grow with the documents and are never broadcast
-    key = [F.col("doc_id").alias("__id"), F.col("n_chars").alias("__n"),
-           F.unhex("text_sha256").alias("__digest"), F.col("same").alias("__same")]
+    d, i, n, digest, same = free_names(docs, "d", "id", "n", "digest", "same")
+    key = [F.col("doc_id").alias(i), F.col("n_chars").alias(n),
+           F.unhex("text_sha256").alias(digest), F.col("same").alias(same)]
     body = text_or_empty("text")
-    rows = docs.withColumn("__d", F.unhex(F.sha2(without_white(body), 256)))
-    kept = rows.join(marks.select(*key).hint("merge"), (rows["__d"] == F.col("__digest"))
-                     & rows["doc_id"].eqNullSafe(F.col("__id"))
-                     & (F.char_length(body) == F.col("__n"))).drop("__id", "__d")
-    single = kept.where("__same = 1")
+    rows = docs.withColumn(d, F.unhex(F.sha2(without_white(body), 256)))
+    kept = rows.join(marks.select(*key).hint("merge"), (rows[d] == F.col(digest))
+                     & rows["doc_id"].eqNullSafe(F.col(i))
+                     & (F.char_length(body) == F.col(n))).drop(i, d)
+    single = kept.where(F.col(same) == 1)
     # unlike texts may share a doc_id, or have none: they are told apart by the digest
-    several = kept.where("__same > 1").groupBy("doc_id", "__n", "__digest").agg(
+    several = kept.where(F.col(same) > 1).groupBy("doc_id", n, digest).agg(
         *[F.first(c).alias(c) for c in docs.columns if c != "doc_id"])
     return single.select(*docs.columns).unionByName(several.select(*docs.columns))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from stratum.llm.common import table, written
+from stratum.llm.common import free_names, table, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -143,6 +143,24 @@ def route(capacity: list[tuple[tuple, float]], targets: dict, repeats: int = MAX
     return [{s: room[a ^ 1] for s, a in arcs.items()} for arcs in flow_arcs]
 
 
+def membership(sources: str, kind: str):
+    """(the sources of a document, sorted and distinct; the same as text)."""
+    nowhere = F.array(F.lit(None).cast("string"))
+    members = F.array(F.col(sources))
+    if kind.startswith("array"):
+        listed = F.array_sort(F.array_distinct(F.col(sources)))
+        members = F.when(F.size(listed) > 0, listed).otherwise(nowhere)
+    members = F.coalesce(members, nowhere)
+    # one text key per pattern: json keeps null apart from the string "null"
+    return members, F.to_json(F.transform(members, lambda x: F.struct(x.alias("s"))))
+
+
+def identity(doc_id: str, text: str):
+    """What a document is known by: its id, or the digest of its text where it has none."""
+    return F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")),
+                      F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text), F.lit("")))))
+
+
 def mix(docs: DataFrame, targets=None, sources: str = "source", text: str = "text", doc_id: str = "doc_id",
         repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken.
@@ -158,19 +176,22 @@ def mix(docs: DataFrame, targets=None, sources: str = "source", text: str = "tex
 
     ``targets``: words by source, or None for ``source_targets``. Size is the words of the
     text (null: 0); documents of no words are never taken. A null source is a source of its
-    own. Rows that repeat a doc_id share a hash and stand in for one another. ``source_size``
-    and ``target`` are those of the pattern's sources together. An empty table gives no rows.
+    own, as is a null or empty array of them. Documents are told apart by ``who``: the doc_id,
+    or the digest of the text where there is none; rows that share it share a hash, and each
+    is taken or left by itself. ``source_size`` and ``target`` are those of the pattern's
+    sources together. Whole texts of any length are counted, other columns are ignored
+    whatever their names, and an empty table gives no rows.
     """
     kind = dict(docs.dtypes)[sources]
-    members = (F.array_sort(F.array_distinct(F.col(sources))) if kind.startswith("array")
-               else F.array(F.col(sources)))
-    members = F.coalesce(members, F.array(F.lit(None).cast("string")))
-    # one text key per pattern: json keeps null apart from the string "null"
-    pattern = F.to_json(F.transform(members, lambda x: F.struct(x.alias("s"))))
-    dealt = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
-    sized = with_size(docs.select(F.col(doc_id).alias("doc_id"), members.alias("members"), pattern.alias("pattern"),
-                                  dealt.alias("hash"), F.col(text).alias("text")), "text", "size").drop("text")
-    sized = written(sized.withColumn("bin", F.conv(F.substring("hash", 1, 4), 16, 10).cast("int")), "sizes")
+    members, pattern = membership(sources, kind)
+    who = identity(doc_id, text)
+    dealt = F.md5(F.concat_ws(":", F.lit(str(seed)), who))
+    sized = with_size(docs.select(F.col(doc_id).alias("doc_id"), who.alias("who"), members.alias("members"),
+                                  pattern.alias("pattern"), dealt.alias("hash"), F.col(text).alias("text")),
+                      "text", "size").drop("text")
+    # the number of a row is written with it, so that one row alone can be meant later on
+    sized = written(sized.withColumn("bin", F.conv(F.substring("hash", 1, 4), 16, 10).cast("int"))
+                    .withColumn("row", F.monotonically_increasing_id()), "sizes")
     found = (sized.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("tokens"))
              .limit(MAX_PATTERNS + 1).collect())
     if len(found) > MAX_PATTERNS:
@@ -199,40 +220,58 @@ def mix(docs: DataFrame, targets=None, sources: str = "source", text: str = "tex
                        (F.col("words") <= open_words).alias("all_in"), (open_words > 0).alias("some"))
     rows = sized.join(bins, ["pattern", "bin"])
     sure = rows.where("all_in or not some").withColumn("plus", F.when(F.col("all_in"), 1).otherwise(0))
-    walk = F.sum("size").over(Window.partitionBy("pattern", "bin").orderBy("hash", "doc_id", "size")
+    walk = F.sum("size").over(Window.partitionBy("pattern", "bin").orderBy("hash", "who", "size", "row")
                               .rowsBetween(Window.unboundedPreceding, -1))
     edge = (rows.where("not all_in and some").withColumn("ahead", F.coalesce(walk, F.lit(0)))
             .withColumn("plus", F.when(F.col("ahead") + F.col("size") <= F.col("left"), 1).otherwise(0)).drop("ahead"))
-    chosen = written(sure.unionByName(edge).select("doc_id", "pattern", "size", "hash", "plus"), "chosen")
+    chosen = written(sure.unionByName(edge).select("doc_id", "who", "row", "pattern", "size", "hash", "plus"), "chosen")
     # what is left of the yield goes to the one document, not yet chosen, that fits it best
     gaps = (chosen.groupBy("pattern").agg(F.sum(F.col("size") * F.col("plus")).alias("got"))
             .join(yields, "pattern").select("pattern", "source_size", "target", "base", (F.col("extra") - F.col("got")).alias("gap")))
     rows = chosen.join(gaps, "pattern")
     miss = F.abs(F.col("size") - F.col("gap"))
     last = (rows.where((F.col("plus") == 0) & (F.col("size") > 0) & (F.col("base") < repeats) & (miss < F.col("gap")))
-            .groupBy("pattern").agg(F.min(F.struct(miss.alias("miss"), "hash", "doc_id", "size")).alias("best"))
-            .select("pattern", F.col("best.hash").alias("last_hash"), F.col("best.size").alias("last_size")))
+            .groupBy("pattern").agg(F.min(F.struct(miss.alias("miss"), "hash", "who", "size", "row")).alias("best"))
+            .select("pattern", F.col("best.row").alias("last_row")))
     rows = rows.join(last, "pattern", "left")
-    plus = F.when((F.col("hash") == F.col("last_hash")) & (F.col("size") == F.col("last_size")), 1).otherwise(F.col("plus"))
+    plus = F.when(F.col("row") == F.col("last_row"), 1).otherwise(F.col("plus"))
     copies = F.when(F.col("size") > 0, F.least(F.col("base") + plus, F.lit(repeats))).otherwise(0).cast("int")
     return (rows.withColumn("copies", copies)
-            .select("doc_id", "pattern", "size", "source_size", "target", "copies",
+            .select("doc_id", "who", "pattern", "size", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).cast("long").alias("taken")))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix: every document as often as it is taken, with the columns of ``docs``.
 
-    Rows that repeat a doc_id are told apart by their size; where that is equal too, all get
-    the smallest number of copies found for one of them.
+    Rows of one pattern that share ``who`` and size can stand in for one another: together they
+    come as often as ``mix`` takes them, dealt evenly, so that the words of the rows handed on
+    are those that the mix counts, of every pattern.
     """
-    marks = (mix(docs, **options).groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__words"))
-             .agg(F.min("copies").alias("__copies")).where("__copies > 0"))
+    source, text, doc_id = options.get("sources", "source"), options.get("text", "text"), options.get("doc_id", "doc_id")
+    size, who, pattern, taken, rows_, copy = free_names(docs, "size", "who", "pattern", "taken", "rows", "copy")
+    marks = (mix(docs, **options).groupBy(F.col("pattern").alias("p"), F.col("who").alias("w"), F.col("size").alias("s"))
+             .agg(F.sum("copies").alias(taken), F.count(F.lit(1)).alias(rows_)).where(F.col(taken) > 0))
     marks = written(marks, "mix")
-    rows = with_size(docs, options.get("text", "text"), "__size")
-    out = rows.join(marks.hint("merge"), rows[options.get("doc_id", "doc_id")].eqNullSafe(marks["__id"])
-                    & (rows["__size"] == marks["__words"]))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
+    rows = with_size(docs, text, size).withColumn(who, identity(doc_id, text)).withColumn(
+        pattern, membership(source, dict(docs.dtypes)[source])[1])
+    rest = F.col(taken) % F.col(rows_)
+
+    def joined(marks):
+        p, w, s = free_names(rows, "p", "w", "s")
+        marks = marks.withColumnsRenamed({"p": p, "w": w, "s": s})
+        return rows.join(marks.hint("merge"), (rows[pattern] == F.col(p)) & (rows[who] == F.col(w))
+                         & (rows[size] == F.col(s)))
+
+    def repeated(df, times):
+        return df.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*docs.columns)
+
+    each = F.floor(F.col(taken) / F.col(rows_)).cast("long")
+    even = repeated(joined(marks.where(rest == 0)), each)
+    # one more for the first of the rows that stand in for one another
+    number = F.row_number().over(Window.partitionBy(pattern, who, size).orderBy(who))
+    odd = joined(marks.where(rest > 0)).withColumn(copy, F.when(number <= rest, each + 1).otherwise(each))
+    return even.unionByName(repeated(odd.where(F.col(copy) > 0), F.col(copy)))
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import written
+from stratum.llm.common import free_names, written
 from stratum.llm.components import components
 from stratum.llm.simhash import CHUNK, SEED, forest, in_groups
 
@@ -407,8 +407,11 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> D
     are judged each by its component. A row without a doc_id stays only where its component
     has none with one.
     """
-    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()), "near-texts")
+    # a user's column of the name that numbers the rows goes by another one meanwhile
+    mine = {c: free_names(docs, "kept_column")[0] for c in docs.columns if c.lower() == ROW}
+    rows = written(docs.withColumnsRenamed(mine).withColumn(ROW, F.monotonically_increasing_id()), "near-texts")
     keep = labelled(rows, shingle, least).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
     keep = written(keep.select(F.col("best.row").alias(ROW)), "kept")
-    return rows.join(keep.hint("merge"), ROW, "left_semi").select(*docs.columns)
+    return (rows.join(keep.hint("merge"), ROW, "left_semi").drop(ROW)
+            .withColumnsRenamed({v: k for k, v in mine.items()}).select(*docs.columns))

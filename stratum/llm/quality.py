@@ -118,29 +118,30 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_sample
     return weights
 
 
-def score(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``: the chance of label 1, a sparse dot product per whole text.
+def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with ``out``: the chance of label 1, a sparse dot product per whole text.
 
     Null and blank texts have no n-grams and get the score of the constant alone. A column
-    named score is replaced. The weights, of a fixed size, are broadcast.
+    named ``out`` is replaced. Equal texts get equal scores, an empty table gives no rows. The
+    weights, of a fixed size, are broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    columns = [c for c in docs.columns if c != "score"]
+    columns = [c for c in docs.columns if c != out]
     place = docs.columns.index(text)
 
     def run(batches):
         w = shared.value
         for b in batches:
-            out = []
+            chances = []
             for t in b.column(place):
                 slots, x = features(t.as_py())
-                out.append(_sigmoid(float(w[slots] @ x) + w[SLOTS]))
-            yield pa.RecordBatch.from_arrays([b.column(docs_at) for docs_at in keep] + [pa.array(out, pa.float64())],
-                                             names=columns + ["score"])
+                chances.append(_sigmoid(float(w[slots] @ x) + w[SLOTS]))
+            yield pa.RecordBatch.from_arrays([b.column(docs_at) for docs_at in keep] + [pa.array(chances, pa.float64())],
+                                             names=columns + [out])
 
-    keep = [i for i, c in enumerate(docs.columns) if c != "score"]
+    keep = [i for i, c in enumerate(docs.columns) if c != out]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields) if i in keep)
-    return docs.mapInArrow(run, schema + ", score double")
+    return docs.mapInArrow(run, schema + f", `{out}` double")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -8,6 +8,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.llm import near_copies as near
 from stratum.llm.components import components
@@ -343,3 +344,35 @@ def test_loser_tree_sorts_and_knows_common_prefixes(runs):
         while n < min(len(x), len(y)) and x[n] == y[n]:
             n += 1
         assert common == n
+
+
+@pytest.mark.parametrize("partitions", ["4", "16"])
+def test_index_opened_with_other_shuffle_partitions_keeps_its_buckets(spark, scratch, partitions):
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    first = DigestIndex(spark, f"{scratch}/index", buckets=8)
+    assert exact_dedup(docs, first).where("kept").count() == 2000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        again = DigestIndex(spark, f"{scratch}/index")
+        assert again.buckets == 8
+        assert exact_dedup(docs, again).where("kept").count() == 0
+        more = docs.unionByName(spark.range(5000, 5010).selectExpr("id as doc_id", "concat('more ', id) as text"))
+        assert exact_dedup(more, again).where("kept").count() == 10
+        assert again.rows().count() == 2010
+        with pytest.raises(ValueError, match="8 buckets"):
+            DigestIndex(spark, f"{scratch}/index", buckets=16)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    rows = [(1, "the same text"), (1, "the same text"), (2, "the  same text"), (3, "another one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("d", "n", "same", "__d", "digest", "id"):
+        df = df.withColumn(name, F.lit(name))
+    out = drop_exact_duplicates(df)
+    assert out.columns == df.columns and out.select("doc_id", "same", "__d").orderBy("doc_id").collect() == [
+        (2, "same", "__d"), (3, "same", "__d")]
+    left = near.drop_near_copies(df.withColumn("__row", F.lit("mine")), 5, 0.8)
+    assert {r["__row"] for r in left.collect()} == {"mine"} and left.columns == [*df.columns, "__row"]

@@ -227,6 +227,61 @@ def test_mix_of_overlapping_sources(spark):
     assert sum(r.taken for r in got) == pytest.approx(3000, abs=30) and max(r.taken for r in got) == 10
 
 
+def test_mix_hands_on_the_words_it_takes(spark):
+    """Rows without a doc_id, rows that share one, and repeated rows: words out equal words taken."""
+    rows = [(None, f"{i} " * 10, "a") for i in range(150)] + [(None, "w " * 10, "b")] * 40
+    rows += [(7, "z " * 10, "b")] * 90 + [(7, "z " * 10, "a")] * 15 + [(i, f"{i} " * 10, "b") for i in range(100, 220)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("copies", F.lit("clash"))
+    df = df.withColumn("taken", F.lit(1)).withColumn("who", F.lit(2)).withColumn("w", F.lit(3))
+    for targets in (None, {"a": 1230, "b": 417}, {"a": 3300, "b": 2505}):
+        got = mix(df, targets=targets).collect()
+        out = mixed_documents(df, targets=targets)
+        assert out.columns == df.columns
+        handed = {s: n for s, n in out.groupBy("source").agg(F.sum(F.lit(10))).collect()}
+        for source in ("a", "b"):
+            mine = [r for r in got if r.pattern == f'[{{"s":"{source}"}}]']
+            assert sum(r.taken for r in mine) == handed.get(source, 0)
+            assert abs(handed.get(source, 0) - mine[0].target) <= 10
+            assert all(r.taken <= 20 for r in mine)
+
+
+def test_mix_of_empty_and_null_memberships(spark):
+    rows = [(1, "a b", None), (2, "a b", []), (3, "a b", ["x", None]), (4, "a b", ["x"]), (5, None, ["x"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
+    got = {r.doc_id: r for r in mix(df).collect()}
+    assert got[1].pattern == got[2].pattern == '[{}]' and got[5].taken == 0
+    assert mixed_documents(df).where("doc_id is null").count() == 0
+
+
+def cheapest_flow(capacity, targets, repeats):
+    """The most tokens that can be sent, and the least cost of doing so, by trying all whole amounts."""
+    import itertools
+    names = list(targets)
+    arcs = [(p, s) for p, (sources, _) in enumerate(capacity) for s in sources]
+    best = None
+    for amounts in itertools.product(*[range(int(min(repeats * capacity[p][1], targets[s])) + 1) for p, s in arcs]):
+        of = [sum(a for a, (q, _) in zip(amounts, arcs) if q == p) for p in range(len(capacity))]
+        into = {s: sum(a for a, (_, t) in zip(amounts, arcs) if t == s) for s in names}
+        if any(o > repeats * c for o, (_, c) in zip(of, capacity)) or any(into[s] > targets[s] for s in names):
+            continue
+        cost = sum(copy * min(max(o - copy * c, 0), c) for o, (_, c) in zip(of, capacity) for copy in range(repeats))
+        key = (-sum(of), cost)
+        best = key if best is None or key < best else best
+    return best
+
+
+def test_route_costs_no_more_than_the_cheapest_flow():
+    r = np.random.default_rng(4)
+    for _ in range(25):
+        capacity = [(tuple(sorted(r.choice(["a", "b"], size=r.integers(1, 3), replace=False))), int(r.integers(1, 4)))
+                    for _ in range(int(r.integers(1, 4)))]
+        targets = {"a": float(r.integers(0, 6)), "b": float(r.integers(0, 6))}
+        flows = route(capacity, targets, 2)
+        sent = [sum(f.values()) for f in flows]
+        cost = sum(copy * min(max(o - copy * c, 0), c) for o, (_, c) in zip(sent, capacity) for copy in range(2))
+        assert (-sum(sent), cost) == pytest.approx(cheapest_flow(capacity, targets, 2))
+
+
 # ---------------------------------------------------------------- queries and pipeline
 
 SQL = [k for k in __spark_entry__.oracle_sql() if re.match("op[0-9]+_", k)]
