@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.bpe import encode_documents
-from stratum.llm.common import table, written
+from stratum.llm.common import free_names, table, written
 from stratum.llm.exact_dedup import drop_exact_duplicates
 from stratum.llm.mixing import mixed_documents
 from stratum.llm.near_copies import drop_near_copies
@@ -26,8 +26,9 @@ NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels that are not held out, finds good."""
     labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "quality")
-    scored = score(docs, train(docs, labels))
-    return scored.where(F.col("score") >= MIN_QUALITY).select(*docs.columns)
+    chance, = free_names(docs, "score")
+    scored = score(docs, train(docs, labels), out=chance)
+    return scored.where(F.col(chance) >= MIN_QUALITY).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
