@@ -32,11 +32,11 @@ def try_number(c: str | Column) -> Column:
     Going through DECIMAL(38,0) is what makes '3.7' -> 4 and '2.0' -> 2;
     a direct cast to BIGINT would return NULL for both. A whole number that
     has a value but not in 64 bits stops the job: it is never lost as a NULL.
+    The check is reached only by rows without a 64-bit value.
     """
     wide = numeric_text(c).try_cast("decimal(38,0)")
-    value = wide.try_cast("bigint")
-    return F.when(wide.isNotNull() & value.isNull(),
-                  F.raise_error(F.concat(F.lit("number beyond 64 bits: "), wide.cast("string")))).otherwise(value)
+    return F.coalesce(wide.try_cast("bigint"), F.when(
+        wide.isNotNull(), F.raise_error(F.concat(F.lit("number beyond 64 bits: "), wide.cast("string"))).cast("bigint")))
 
 
 def try_double(c: str | Column) -> Column:

@@ -1,8 +1,8 @@
 """Gold models: the four fact tables.
 
-Each is one ``groupBy().agg()``: Spark plans the distinct counts with an
-Expand + two-level hash aggregate (partial aggregation before every
-shuffle). The exact median is a join beside it (see :func:`with_median`).
+The three over listings are one pass of mergeable states each (see
+:mod:`stratum.operators.states`): medians, distinct counts, averages and
+extremes come out of the same two-level aggregate, and silver is read once.
 ``updated_at`` is the build time; ordering is the presentation order.
 """
 
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from stratum import fixed
 from stratum.functions.dates import month_name, month_quarter, season
-from stratum.functions.measures import avg_nonzero, count_when, distinct_if, ratio, round_dec
+from stratum.functions.measures import ratio, round_dec
+from stratum.operators.states import grouped_states
 
 c = F.col
 
@@ -35,75 +36,65 @@ def with_median(df: DataFrame, keys: list[str], aggs, value: str = "price_usd")
     return base.join(middle, same).drop(*[f"__{k}" for k in keys])
 
 
-def _median_after(df: DataFrame, column: str) -> DataFrame:
-    """The median as ``median_price_usd``, placed after ``column``."""
-    names = [x for x in df.columns if x != "median"]
-    at = names.index(column) + 1
-    return df.withColumnRenamed("median", "median_price_usd").select(*names[:at], "median_price_usd", *names[at:])
+def nonzero(column: str) -> Column:
+    """Values that an average takes: neither missing nor the sentinel 0."""
+    return F.nullif(c(column), F.lit(0))
 
 
-def _price_stats() -> list:
-    p = c("price_usd")
-    return [round_dec(F.avg(p), 2).alias("avg_price_usd"),
-            round_dec(F.min(p), 2).alias("min_price_usd"),
-            round_dec(F.max(p), 2).alias("max_price_usd")]
-
-
-def _tier_counts(suffix: str) -> list:
+def _tiers(suffix: str) -> dict[str, Column]:
     names = ("budget", "midrange", "premium", "luxury")
-    return [count_when(c("price_category") == F.lit(cat)).alias(f"{n}_{suffix}")
-            for n, cat in zip(names, fixed.PRICE_CATEGORIES)]
+    return {f"{n}_{suffix}": c("price_category") == F.lit(cat) for n, cat in zip(names, fixed.PRICE_CATEGORIES)}
 
 
-def _fct_revenue_by_city_aggs() -> tuple[Column, ...]:
-    superhost, instant = c("host_is_superhost"), c("instant_bookable")
-    return (
-        F.count_distinct("listing_id").alias("total_listings"),
-        F.count_distinct("host_id").alias("total_hosts"),
-        distinct_if(superhost, c("host_id")).alias("superhost_count"),
-        ratio(distinct_if(superhost, c("host_id")), F.count_distinct("host_id")).alias("superhost_pct"),
-        round_dec(F.avg("price_usd"), 2).alias("avg_price_usd"),
-        round_dec(F.min("price_usd"), 2).alias("min_price_usd"),
-        round_dec(F.max("price_usd"), 2).alias("max_price_usd"),
-        round_dec(avg_nonzero(c("review_scores_rating")), 2).alias("avg_rating"),
-        round_dec(avg_nonzero(c("review_scores_cleanliness")), 2).alias("avg_cleanliness_score"),
-        round_dec(avg_nonzero(c("review_scores_location")), 2).alias("avg_location_score"),
-        round_dec(F.avg("minimum_nights"), 1).alias("avg_minimum_nights"),
-        distinct_if(instant, c("listing_id")).alias("instant_bookable_count"),
-        ratio(distinct_if(instant, c("listing_id")), F.count_distinct("listing_id")).alias("instant_bookable_pct"),
-        *_tier_counts("listings"),
-    )
+def _rounded(name: str, places: int = 2) -> Column:
+    return round_dec(c(name), places).alias(name)
 
 
 def fct_revenue_by_city(listings: DataFrame, order: bool = True) -> DataFrame:
-    out = (_median_after(with_median(listings, ["city", "currency"], _fct_revenue_by_city_aggs()), "max_price_usd")
-           .withColumn("updated_at", F.current_timestamp()))
+    superhost, instant = c("host_is_superhost"), c("instant_bookable")
+    tiers = _tiers("listings")
+    g = grouped_states(
+        listings, ["city", "currency"], "price_usd",
+        averages={"avg_price_usd": c("price_usd"), "avg_rating": nonzero("review_scores_rating"),
+                  "avg_cleanliness_score": nonzero("review_scores_cleanliness"),
+                  "avg_location_score": nonzero("review_scores_location"), "avg_minimum_nights": c("minimum_nights")},
+        counts=tiers,
+        distinct={"listing_id": {"total_listings": None, "instant_bookable_count": instant},
+                  "host_id": {"total_hosts": None, "superhost_count": superhost}})
+    out = g.select(
+        "city", "currency", "total_listings", "total_hosts", "superhost_count",
+        ratio(c("superhost_count"), c("total_hosts")).alias("superhost_pct"),
+        _rounded("avg_price_usd"), round_dec(c("low"), 2).alias("min_price_usd"), round_dec(c("high"), 2).alias("max_price_usd"),
+        round_dec(c("median"), 2).alias("median_price_usd"),
+        _rounded("avg_rating"), _rounded("avg_cleanliness_score"), _rounded("avg_location_score"),
+        _rounded("avg_minimum_nights", 1), "instant_bookable_count",
+        ratio(c("instant_bookable_count"), c("total_listings")).alias("instant_bookable_pct"),
+        *tiers).withColumn("updated_at", F.current_timestamp())
     return out.orderBy(F.desc("total_listings"), "city") if order else out
 
 
-def _fct_superhost_performance_aggs() -> tuple[Column, ...]:
-    return (
-        F.count_distinct("host_id").alias("total_hosts"),
-        F.count_distinct("listing_id").alias("total_listings"),
-        *_price_stats(),
-        round_dec(avg_nonzero(c("review_scores_rating")), 2).alias("avg_rating"),
-        round_dec(avg_nonzero(c("review_scores_cleanliness")), 2).alias("avg_cleanliness"),
-        round_dec(avg_nonzero(c("review_scores_value")), 2).alias("avg_value_score"),
-        round_dec(avg_nonzero(c("review_scores_location")), 2).alias("avg_location_score"),
-        round_dec(avg_nonzero(c("review_scores_communication")), 2).alias("avg_communication_score"),
-        round_dec(F.avg("host_response_rate_pct"), 2).alias("avg_response_rate_pct"),
-        round_dec(F.avg("host_acceptance_rate_pct"), 2).alias("avg_acceptance_rate_pct"),
-        round_dec(F.avg("host_years_active"), 1).alias("avg_host_years_active"),
-        round_dec(F.avg("host_listings_count"), 1).alias("avg_listings_per_host"),
-        round_dec(F.avg("minimum_nights"), 1).alias("avg_minimum_nights"),
-        ratio(count_when(c("instant_bookable")), F.count(F.lit(1))).alias("instant_bookable_pct"),
-        *_tier_counts("count"),
-    )
-
-
 def fct_superhost_performance(listings: DataFrame, order: bool = True) -> DataFrame:
-    out = (_median_after(with_median(listings, ["city", "host_type", "host_is_superhost"], _fct_superhost_performance_aggs()), "avg_price_usd")
-           .withColumn("updated_at", F.current_timestamp()))
+    tiers = _tiers("count")
+    g = grouped_states(
+        listings, ["city", "host_type", "host_is_superhost"], "price_usd",
+        averages={"avg_price_usd": c("price_usd"), "avg_rating": nonzero("review_scores_rating"),
+                  "avg_cleanliness": nonzero("review_scores_cleanliness"), "avg_value_score": nonzero("review_scores_value"),
+                  "avg_location_score": nonzero("review_scores_location"),
+                  "avg_communication_score": nonzero("review_scores_communication"),
+                  "avg_response_rate_pct": c("host_response_rate_pct"),
+                  "avg_acceptance_rate_pct": c("host_acceptance_rate_pct"),
+                  "avg_host_years_active": c("host_years_active"), "avg_listings_per_host": c("host_listings_count"),
+                  "avg_minimum_nights": c("minimum_nights")},
+        counts={"instant": c("instant_bookable"), **tiers},
+        distinct={"host_id": {"total_hosts": None}, "listing_id": {"total_listings": None}})
+    out = g.select(
+        "city", "host_type", "host_is_superhost", "total_hosts", "total_listings", _rounded("avg_price_usd"),
+        round_dec(c("median"), 2).alias("median_price_usd"),
+        round_dec(c("low"), 2).alias("min_price_usd"), round_dec(c("high"), 2).alias("max_price_usd"),
+        _rounded("avg_rating"), _rounded("avg_cleanliness"), _rounded("avg_value_score"), _rounded("avg_location_score"),
+        _rounded("avg_communication_score"), _rounded("avg_response_rate_pct"), _rounded("avg_acceptance_rate_pct"),
+        _rounded("avg_host_years_active", 1), _rounded("avg_listings_per_host", 1), _rounded("avg_minimum_nights", 1),
+        ratio(c("instant"), c("rows")).alias("instant_bookable_pct"), *tiers).withColumn("updated_at", F.current_timestamp())
     return out.orderBy("city", F.desc("host_is_superhost"), "host_type") if order else out
 
 
@@ -140,27 +131,23 @@ def fct_seasonal_trends(reviews: DataFrame, listings: DataFrame, order: bool = T
     return out.orderBy("city", "year_number", "month_number", "room_type", "price_category") if order else out
 
 
-def _fct_price_vs_rating_aggs() -> tuple[Column, ...]:
-    return (
-        F.count_distinct("listing_id").alias("total_listings"),
-        F.count_distinct("host_id").alias("total_hosts"),
-        *_price_stats(),
-        round_dec(avg_nonzero(c("review_scores_rating")), 2).alias("avg_rating"),
-        round_dec(avg_nonzero(c("review_scores_cleanliness")), 2).alias("avg_cleanliness"),
-        round_dec(avg_nonzero(c("review_scores_value")), 2).alias("avg_value_score"),
-        round_dec(avg_nonzero(c("review_scores_location")), 2).alias("avg_location_score"),
-        round_dec(F.avg("accommodates"), 1).alias("avg_accommodates"),
-        round_dec(F.avg("bedrooms"), 1).alias("avg_bedrooms"),
-        round_dec(F.avg("minimum_nights"), 1).alias("avg_minimum_nights"),
-        ratio(count_when(c("host_is_superhost")), F.count(F.lit(1))).alias("superhost_pct"),
-        round_dec(F.avg("host_response_rate_pct"), 2).alias("avg_response_rate"),
-        ratio(count_when(c("instant_bookable")), F.count(F.lit(1))).alias("instant_bookable_pct"),
-    )
-
-
 def fct_price_vs_rating(listings: DataFrame, order: bool = True) -> DataFrame:
     rated = listings.where((c("price_usd") > 0) & (c("review_scores_rating") > 0))
     keys = ["city", "room_type", "property_type", "price_category"]
-    out = (_median_after(with_median(rated, keys, _fct_price_vs_rating_aggs()), "avg_price_usd")
-           .withColumn("updated_at", F.current_timestamp()))
+    g = grouped_states(
+        rated, keys, "price_usd",
+        averages={"avg_price_usd": c("price_usd"), "avg_rating": nonzero("review_scores_rating"),
+                  "avg_cleanliness": nonzero("review_scores_cleanliness"), "avg_value_score": nonzero("review_scores_value"),
+                  "avg_location_score": nonzero("review_scores_location"), "avg_accommodates": c("accommodates"),
+                  "avg_bedrooms": c("bedrooms"), "avg_minimum_nights": c("minimum_nights"),
+                  "avg_response_rate": c("host_response_rate_pct")},
+        counts={"superhosts": c("host_is_superhost"), "instant": c("instant_bookable")},
+        distinct={"listing_id": {"total_listings": None}, "host_id": {"total_hosts": None}})
+    out = g.select(
+        *keys, "total_listings", "total_hosts", _rounded("avg_price_usd"), round_dec(c("median"), 2).alias("median_price_usd"),
+        round_dec(c("low"), 2).alias("min_price_usd"), round_dec(c("high"), 2).alias("max_price_usd"),
+        _rounded("avg_rating"), _rounded("avg_cleanliness"), _rounded("avg_value_score"), _rounded("avg_location_score"),
+        _rounded("avg_accommodates", 1), _rounded("avg_bedrooms", 1), _rounded("avg_minimum_nights", 1),
+        ratio(c("superhosts"), c("rows")).alias("superhost_pct"), _rounded("avg_response_rate"),
+        ratio(c("instant"), c("rows")).alias("instant_bookable_pct")).withColumn("updated_at", F.current_timestamp())
     return out.orderBy("city", "price_category", "room_type", "property_type") if order else out
