@@ -584,6 +584,20 @@ def _finals() -> dict[str, str]:
         "null_tokens": "SELECT * FROM listings_tokens",
         "csv_load_good": "SELECT * FROM listings_tokens",
         "csv_load_rejects": _rejects(),
+        "table_versions": (
+            "SELECT v.version, v.room_type, v.listings, n.room_type IS NOT NULL AS newest FROM ("
+            "SELECT 1 AS version, room_type, COUNT(*) AS listings FROM bronze_listings GROUP BY room_type UNION ALL "
+            "SELECT 2, room_type, COUNT(*) FROM silver_listings GROUP BY room_type) v LEFT JOIN ("
+            "SELECT room_type, COUNT(*) AS listings FROM silver_listings GROUP BY room_type) n "
+            "ON n.room_type = v.room_type AND n.listings = v.listings"),
+        "write_metrics": (
+            "SELECT 'bronze_listings' AS table_name, COUNT(*) AS rows, 'price_raw' AS column_name, "
+            "COUNT(*) FILTER (WHERE price_raw IS NULL) AS nulls FROM bronze_listings UNION ALL "
+            "SELECT 'bronze_reviews', COUNT(*), 'review_date', COUNT(*) FILTER (WHERE review_date IS NULL) FROM bronze_reviews"),
+        "build_stamps": (
+            "SELECT 'fct_revenue_by_city' AS table_name, COUNT(*) AS rows, true AS stamped FROM fct_revenue_by_city UNION ALL "
+            "SELECT 'fct_price_vs_rating', COUNT(*), true FROM fct_price_vs_rating UNION ALL "
+            "SELECT 'fct_superhost_performance', COUNT(*), true FROM fct_superhost_performance"),
         "uncovered_keys": ("SELECT t.city, COUNT(*) AS rows FROM listings_tokens t "
                            "WHERE t.city IS NOT NULL AND t.city NOT IN (SELECT city FROM city_dim) "
                            "GROUP BY t.city"),

@@ -141,6 +141,15 @@ def gate_min_rows(tables: Mapping[str, tuple[DataFrame, int]]) -> dict[str, int]
     return {t: n for t, (n, _) in counts.items()}
 
 
+def gate_counts(counts: Mapping[str, int], min_rows: Iterable[tuple[str, int]]) -> dict[str, int]:
+    """:func:`gate_min_rows` over counts that are known already, such as those a write has seen."""
+    least = dict(min_rows)
+    short = [f"{t} has only {counts[t]} rows, expected at least {m}" for t, m in least.items() if counts[t] < m]
+    if short:
+        raise GateError("; ".join(short))
+    return {t: counts[t] for t in least}
+
+
 def gate_non_empty(tables: Mapping[str, DataFrame]) -> None:
     """Raise when any table is empty (reads at most one row per table)."""
     empty = [name for name, df in tables.items() if df.isEmpty()]

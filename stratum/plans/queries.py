@@ -8,6 +8,7 @@ results are comparable across engines.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import wraps
 
@@ -31,6 +32,7 @@ from stratum.plans.silver import silver_listings, silver_reviews
 from stratum.session import shared_dir
 from stratum.sources import binding
 from stratum.sources.csv import read_csv_named, read_csv_positional, write_csv
+from stratum.sources.snapshots import Snapshots
 from stratum.sources.tables import materialize, write_table
 
 AS_OF = "2025-01-01"
@@ -276,6 +278,50 @@ def q_data_tests_found(spark, sf_dir):
                            for name, df in binding.flawed_models(spark, sf_dir).items()})
 
 
+# --- publishing -----------------------------------------------------------------------
+
+def q_table_versions(spark, sf_dir):
+    """One table in two published versions, read by number; the newest is what a plain read gives."""
+    store = Snapshots(spark, shared_dir(spark, "versions"))
+
+    def published(df):
+        counts = df.groupBy("room_type").agg(F.count(F.lit(1)).alias("listings"))
+        return store.publish({("gold", "listings_by_room"): store.write(counts, "gold", "listings_by_room")})
+
+    first = published(bronze_listings(raw_listings(spark, sf_dir)))
+    second = published(_silver(spark, sf_dir))
+    newest = store.read("gold", "listings_by_room").select(F.col("room_type").alias("r"), F.col("listings").alias("n"))
+    parts = [store.read("gold", "listings_by_room", v).select(F.lit(v).alias("version"), "room_type", "listings")
+             for v in (first, second)]
+    both = parts[0].unionByName(parts[1])
+    return both.join(newest, both.room_type.eqNullSafe(F.col("r")) & (both.listings == F.col("n")), "left").select(
+        "version", "room_type", "listings", F.col("n").isNotNull().alias("newest"))
+
+
+def q_write_metrics(spark, sf_dir):
+    """Rows and nulls of the bronze tables as their writes have seen them."""
+    store = Snapshots(spark, shared_dir(spark, "metrics"))
+    seen = []
+    for name, df, column in (("bronze_listings", bronze_listings(raw_listings(spark, sf_dir)), "price_raw"),
+                             ("bronze_reviews", bronze_reviews(raw_reviews(spark, sf_dir)), "review_date")):
+        table = store.write(df, "bronze", name, metrics={"nulls": F.count_if(F.col(column).isNull())})
+        seen.append((name, table.metrics["rows"], column, table.metrics["nulls"]))
+    return spark.createDataFrame(seen, "table_name string, rows long, column_name string, nulls long")
+
+
+def q_build_stamps(spark, sf_dir):
+    """Whether every gold row is stamped with a time of this build, per model."""
+    begun = F.timestamp_micros(F.lit(time.time_ns() // 1000))
+    silver = _silver(spark, sf_dir)
+    out = None
+    for name, df in (("fct_revenue_by_city", fct_revenue_by_city(silver)), ("fct_price_vs_rating", fct_price_vs_rating(silver)),
+                     ("fct_superhost_performance", fct_superhost_performance(silver))):
+        part = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+                      F.every(F.col("updated_at") >= begun).alias("stamped"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _positions(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """(table_name, position, key): the rows of a sorted result in the order it has.
 
@@ -355,5 +401,8 @@ QUERIES: dict[str, Query] = {
     "duplicate_rows_found": q_duplicate_rows_found,
     "data_tests_found": q_data_tests_found,
     "presentation_order": q_presentation_order,
+    "table_versions": q_table_versions,
+    "write_metrics": q_write_metrics,
+    "build_stamps": q_build_stamps,
 }
 QUERIES = {name: _with_folder(q) for name, q in QUERIES.items()}

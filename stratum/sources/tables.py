@@ -31,7 +31,13 @@ def write_table(df: DataFrame, root: str, layer: str | None, name: str,
     return df.sparkSession.read.parquet(path)
 
 
-def read_table(spark: SparkSession, root: str, layer: str | None, name: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, layer: str | None, name: str, version: int | None = None) -> DataFrame:
+    """A table of the published snapshot under ``root`` (the newest, or ``version``); where nothing
+    was ever published, the plain table of the layer."""
+    from stratum.sources.snapshots import Snapshots
+    store = Snapshots(spark, root)
+    if store.versions():
+        return store.read(layer, name, version)
     return spark.read.parquet(layer_path(root, layer, name))
 
 
