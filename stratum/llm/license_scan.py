@@ -9,7 +9,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import table, text_or_empty
+from stratum.llm.common import free_names, table, text_or_empty
 
 #: notices as licences ask for them, by SPDX identifier; a parameter of the scan
 TEMPLATES = (
@@ -76,24 +76,36 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
                   text: str = "text") -> DataFrame:
     """``docs`` with license (the best match's name, else null), dice, line (from 0) and n_matches.
 
-    Every line of the text, and the whole text where it has several lines (line -1), is a
-    candidate. It is normalised (lower case, everything but a-z and 0-9 a gap between words)
-    and compared as a bag of word bigrams: twice the bigrams in common over all bigrams. Bags
-    of a and b bigrams reach a coefficient t only if b lies between a*t/(2-t) and a*(2-t)/t;
-    a text of w words has w-1 bigrams, so candidates and templates are pruned by word counts
-    before any bigram is formed. The same bound says how many of a template's bigrams a match
-    must hold, and so a few words of which it has at least one; other lines are passed over. ``n_matches`` counts the candidates that reach ``threshold``
-    with some template. The best is the highest coefficient, then the smaller line, then the
-    earlier template. Null and empty texts match nothing (dice 0.0, no line). All of it happens
+    Candidates are every line of the text, the whole text where it has several lines (line
+    -1), and for each template of b bigrams the windows of b successive bigrams of the whole
+    text, across line breaks, that begin where one of its bigrams stands (fewer bigrams where the text ends
+    before); a window's line is that of its first word. So a notice is found wrapped over
+    lines, or inside a longer line. A candidate is normalised (lower case, everything but a-z
+    and 0-9 a gap between words) and compared as a bag of word bigrams: twice the bigrams in
+    common over all bigrams. Bags of a and b bigrams reach a coefficient t only if b lies
+    between a*t/(2-t) and a*(2-t)/t; a text of w words has w-1 bigrams, so lines and templates
+    are pruned by word counts before any bigram is formed. The same bound says how many of a
+    template's bigrams a match must hold, and so a few words of which it has at least one:
+    other texts and lines are passed over, and of the windows only those are compared that
+    hold so many places with bigrams of the template.
+
+    ``n_matches`` counts the lines, and the whole text, that reach ``threshold`` with some
+    template (0 where only a window does). The best is the highest coefficient of all
+    candidates, then the smaller line, then the earlier template. Null and empty texts match
+    nothing (dice 0.0, no line); an empty table gives an empty one; very long texts are
+    compared whole, with work in their length and in the notices they hold. All of it happens
     inside each row: nothing is shuffled and repeated rows get equal answers. Columns of
-    ``docs`` named license, dice, line or n_matches are replaced.
+    ``docs`` named license, dice, line or n_matches are replaced, all others kept.
     """
     bags = [(name, template_bigrams(t)) for name, t in templates]
     shrink = threshold / (2 - threshold)
     lits = F.array(*[F.struct(F.lit(-i).alias("back"), F.array(*[F.lit(x) for x in sorted(b)]).alias("grams"),
                               F.array(*[F.lit(b[x]) for x in sorted(b)]).alias("counts"),
-                              F.lit(sum(b.values())).alias("n")) for i, (_, b) in enumerate(bags)])
+                              F.lit(sum(b.values())).alias("n"),
+                              F.lit(math.ceil(sum(b.values()) * shrink - 1e-9)).alias("need"))
+                     for i, (_, b) in enumerate(bags)])
     names = F.array(*[F.lit(name) for name, _ in bags])
+    every = sorted(set().union(*(b for _, b in bags)))
     words = sorted(telling_words([b for _, b in bags], threshold))
     telling = F.array(*[F.lit(x) for x in words])
     sizes = sorted({sum(b.values()) for _, b in bags})
@@ -129,16 +141,49 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
                                (-s["line"]).alias("up"), t["back"].alias("back"))))
 
     hits = F.filter(F.transform(grams, best), lambda h: h["dice"] >= threshold)
+    # bigrams of the whole text that stand in some template, with place and line
+    spread = F.flatten(F.transform(lines, lambda x, i: F.transform(
+        _words(x), lambda w: F.struct(w.alias("w"), i.alias("line")))))
+    shared = _let(spread, lambda v: F.filter(
+        F.transform(
+            F.zip_with(F.slice(v, F.lit(1), F.greatest(F.size(v) - 1, F.lit(0))), F.slice(v, 2, F.size(v)),
+                       lambda a, b: F.struct(F.concat(a["w"], F.lit(" "), b["w"]).alias("gram"), a["line"].alias("line"))),
+            lambda g, at: F.struct(g["gram"].alias("gram"), g["line"].alias("line"), at.alias("at"),
+                                   (F.size(v) - 1 - at).alias("left"))),
+        lambda g: g["gram"].isin(every)))
+
+    def windows(found, t):
+        own = F.filter(found, lambda g: F.array_contains(t["grams"], g["gram"]))
+        return _let(own, lambda o: F.transform(
+            # the place of the last bigram that the least overlap needs lies inside the window
+            F.filter(F.transform(o, lambda g, k: F.struct(g["at"].alias("at"), g["line"].alias("line"), g["left"].alias("left"),
+                                                          k.alias("k"))),
+                     lambda g: F.get(o, g["k"] + t["need"] - 1)["at"] - g["at"] < t["n"]),
+            lambda g: F.struct(
+                (F.lit(2.0) * overlap(F.transform(F.filter(F.slice(o, g["k"] + 1, t["n"]), lambda y: y["at"] - g["at"] < t["n"]),
+                                                  lambda y: y["gram"]), t)
+                 / (F.least(t["n"], g["left"]) + t["n"])).alias("dice"),
+                (-g["line"]).alias("up"), t["back"].alias("back"))))
+
     # texts without any of the telling words are done
     gate = F.arrays_overlap(F.split(low, "[^a-z0-9]+"), telling)
-    hits = F.when(gate, hits).otherwise(F.array().cast("array<struct<dice:double,up:int,back:int>>"))
-    top = F.col("__top")
-    return (docs.withColumn("__hits", hits).withColumn("__top", F.array_max("__hits"))
+    none = F.array().cast("array<struct<dice:double,up:int,back:int>>")
+    hits = F.when(gate, hits).otherwise(none)
+    near = F.when(gate, _let(shared, lambda found: F.filter(
+        F.flatten(F.transform(lits, lambda t: windows(found, t))), lambda h: h["dice"] >= threshold))).otherwise(none)
+    h, n, b = free_names(docs, "__hits", "__near", "__top")
+    top = F.col(b)
+    return (docs.withColumns({h: hits, n: near}).withColumn(b, F.array_max(F.concat(h, n)))
             .withColumn("license", F.when(top.isNotNull(), F.element_at(names, 1 - top["back"])))
             .withColumn("dice", F.coalesce(top["dice"], F.lit(0.0)))
             .withColumn("line", -top["up"])
-            .withColumn("n_matches", F.size("__hits").cast("long"))
-            .drop("__hits", "__top"))
+            .withColumn("n_matches", F.size(h).cast("long"))
+            .drop(h, n, b))
+
+
+def _let(value, body):
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _words(text):
@@ -180,12 +225,26 @@ pc AS (SELECT doc_id, line, n, gram, count(*) AS c FROM pb GROUP BY ALL),
 score AS (
   SELECT doc_id, line, no, name, 2.0::DOUBLE * sum(least(pc.c, tc.c)) / (pc.n + tc.n) AS dice
   FROM pc JOIN tc USING (gram) GROUP BY doc_id, line, no, name, pc.n, tc.n),
+wl AS (
+  SELECT doc_id, line, unnest(w) AS word, unnest(range(len(w))) AS k FROM pw WHERE line >= 0),
+seq AS (
+  SELECT doc_id, line, word || ' ' || lead(word) OVER in_text AS gram,
+         row_number() OVER in_text - 1 AS place, count(*) OVER (PARTITION BY doc_id) - 1 AS total
+  FROM wl WINDOW in_text AS (PARTITION BY doc_id ORDER BY line, k)),
+shared AS (SELECT doc_id, line, place, total, gram, no, name, n, c FROM seq JOIN tc USING (gram)),
+win AS (
+  SELECT a.doc_id, a.line, a.place, a.total, a.no, a.name, a.n, b.gram, least(count(*), any_value(b.c)) AS o
+  FROM shared a JOIN shared b ON a.doc_id = b.doc_id AND a.no = b.no AND b.place >= a.place AND b.place < a.place + a.n
+  GROUP BY ALL),
+wscore AS (
+  SELECT doc_id, line, place, no, name, 2.0::DOUBLE * sum(o) / (least(n, total - place) + n) AS dice
+  FROM win GROUP BY doc_id, line, place, no, name, n, total),
 best AS (
-  SELECT doc_id, line, name, dice,
-         row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, line, no) AS k,
-         row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, no) AS kl
-  FROM score WHERE dice >= {threshold})
+  SELECT doc_id, line, name, dice, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, line, no) AS k
+  FROM (SELECT doc_id, line, no, name, dice FROM score UNION ALL SELECT doc_id, line, no, name, dice FROM wscore)
+  WHERE dice >= {threshold}),
+whole AS (SELECT doc_id, count(DISTINCT line) AS n FROM score WHERE dice >= {threshold} GROUP BY doc_id)
 SELECT d.doc_id, b.name AS license, coalesce(b.dice, 0.0)::DOUBLE AS dice, b.line::INTEGER AS line, coalesce(m.n, 0)::BIGINT AS n_matches
 FROM documents d LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON b.doc_id = d.doc_id
-LEFT JOIN (SELECT doc_id, count(*) AS n FROM best WHERE kl = 1 GROUP BY doc_id) m ON m.doc_id = d.doc_id
+LEFT JOIN whole m ON m.doc_id = d.doc_id
 """

@@ -156,9 +156,54 @@ def brute_license(text, threshold=0.8):
         if scores:
             n += 1
             best = min([*scores, *([best] if best else [])])
+    words = [(w, no) for no, line in enumerate(lines) for w in re.findall("[a-z0-9]+", line)]
+    grams = [(f"{a} {b}", no) for (a, no), (b, _) in zip(words, words[1:])]
+    for k, (name, t) in enumerate(TEMPLATES):
+        tb = template_bigrams(t)
+        size = sum(tb.values())
+        for at, (gram, no) in enumerate(grams):
+            if gram in tb:
+                bag = Counter(g for g, _ in grams[at:at + size])
+                d = 2.0 * sum((bag & tb).values()) / (sum(bag.values()) + size)
+                if d >= threshold:
+                    best = min([(-d, no, k, name), *([best] if best else [])])
     return (best[3], -best[0], best[1], n) if best else (None, 0.0, None, 0)
 
 
+def wrapped(text, width, lead=""):
+    import textwrap
+    return "\n".join(lead + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_notices_inside_longer_texts(spark):
+    """Headers as files carry them, and a notice inside a longer line."""
+    from stratum.llm.license_scan import op9_sql
+    prose = "\n".join(f"def part_{i}(x): return the value of the software that {i} holds" for i in range(40))
+    cases = [(name, f"#!/bin/sh\n{wrapped(t, width, lead)}\n\n{prose}") for name, t in TEMPLATES
+             for width, lead in ((30, "# "), (72, " * "))]
+    cases += [(name, f"{prose} {t} {prose}") for name, t in TEMPLATES]
+    cases += [("MIT", prose + "\n" + wrapped(TEMPLATES[1][1].replace("charge", "cost").replace("deal in", "use"), 60)),
+              (None, prose), (None, wrapped("The software is free of charge to any person, in the public domain.", 20))]
+    rows = [(i, t) for i, (_, t) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.dice, r.line, r.n_matches) for r in scan_licenses(df).collect()}
+    for i, (name, t) in enumerate(cases):
+        assert got[i] == pytest.approx(brute_license(t)), (i, t)
+        assert got[i][0] == name, (i, t)
+    import duckdb
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    sql = {r[0]: r[1:] for r in db.execute(op9_sql()).fetchall()}
+    assert sql == got
+
+
+def test_licences_keep_clashing_columns(spark):
+    df = spark.createDataFrame([(1, TEMPLATES[0][1], "a", "b", 7)], "doc_id long, text string, __hits string, __top string, __near int")
+    r = scan_licenses(df).first()
+    assert (r["__hits"], r["__top"], r["__near"], r.license, r.n_matches) == ("a", "b", 7, "MIT", 1)
+
+
 def test_licences_match_brute_force(spark):
     notes = [t for _, t in TEMPLATES]
     texts = [None, "", "released", "under the", *notes, *[n.upper() + "\nwords" for n in notes], "prose\n" + notes[0] + "\n" + notes[2],
