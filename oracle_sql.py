@@ -575,6 +575,8 @@ def _finals() -> dict[str, str]:
         "bronze_reviews_table": _except("bronze_reviews", "loaded_at"),
         "silver_listings": _except("silver_listings", "loaded_at"),
         "silver_reviews": _except("silver_reviews", "loaded_at"),
+        "silver_listings_view": _except("silver_listings", "loaded_at"),
+        "silver_reviews_view": _except("silver_reviews", "loaded_at"),
         "fct_revenue_by_city": "SELECT * FROM fct_revenue_by_city",
         "fct_superhost_performance": "SELECT * FROM fct_superhost_performance",
         "fct_seasonal_trends": "SELECT * FROM fct_seasonal_trends",

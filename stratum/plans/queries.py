@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum import fixed
@@ -22,6 +22,7 @@ from stratum.operators.cleanse import null_tokens, with_load_time
 from stratum.operators.coverage import uncovered
 from stratum.operators.lookup import city_dimension
 from stratum.operators import profile
+from stratum.operators.numbering import with_positions
 from stratum.operators.quality import row_counts, run_data_tests
 from stratum.operators.states import grouped_states
 from stratum.plans.bronze import bronze_listings, bronze_reviews
@@ -29,11 +30,12 @@ from stratum.plans.gold import (fct_price_vs_rating, fct_revenue_by_city, fct_se
                                 fct_superhost_performance)
 from stratum.plans.run import build_models, models_over
 from stratum.plans.silver import silver_listings, silver_reviews
+from stratum.plans.views import silver_views
 from stratum.session import shared_dir
 from stratum.sources import binding
 from stratum.sources.csv import read_csv_named, read_csv_positional, write_csv
 from stratum.sources.snapshots import Snapshots
-from stratum.sources.tables import materialize, write_table
+from stratum.sources.tables import materialize, read_table, write_table
 
 AS_OF = "2025-01-01"
 BATCH_TS = "2025-01-01 06:00:00"
@@ -298,6 +300,23 @@ def q_table_versions(spark, sf_dir):
         "version", "room_type", "listings", F.col("n").isNotNull().alias("newest"))
 
 
+def _silver_view(spark: SparkSession, name: str, source: str, bronze: DataFrame) -> DataFrame:
+    """A bronze table published with the silver view over it, and that view read by its name."""
+    root = shared_dir(spark, "layers")
+    store = Snapshots(spark, root)
+    store.publish({("bronze", source): store.write(bronze, "bronze", source)},
+                  {("silver", name): silver_views(AS_OF)["silver", name]})
+    return read_table(spark, root, "silver", name).drop("loaded_at")
+
+
+def q_silver_listings_view(spark, sf_dir):
+    return _silver_view(spark, "silver_listings", "bronze_listings", bronze_listings(raw_listings(spark, sf_dir)))
+
+
+def q_silver_reviews_view(spark, sf_dir):
+    return _silver_view(spark, "silver_reviews", "bronze_reviews", bronze_reviews(raw_reviews(spark, sf_dir)))
+
+
 def q_write_metrics(spark, sf_dir):
     """Rows and nulls of the bronze tables as their writes have seen them."""
     store = Snapshots(spark, shared_dir(spark, "metrics"))
@@ -322,34 +341,29 @@ def q_build_stamps(spark, sf_dir):
     return out
 
 
-def _positions(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """(table_name, position, key): the rows of a sorted result in the order it has.
-
-    The results numbered here have a row per group, so the numbering is over groups.
-    """
-    at = F.row_number().over(Window.orderBy("__at")).cast("bigint")
-    return (df.withColumn("__at", F.monotonically_increasing_id())
-            .select(F.lit(name).alias("table_name"), at.alias("position"),
-                    F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys]).alias("key")))
+def _named_rows(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """(table_name, key): the rows of a sorted result in the order it has."""
+    return df.select(F.lit(name).alias("table_name"),
+                     F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys]).alias("key"))
 
 
 def q_presentation_order(spark, sf_dir):
     """Row positions of the sorted gold tables and of the sorted profile sections."""
     silver, profiled = _silver(spark, sf_dir), _profiled(spark, sf_dir)
     parts = [
-        _positions(fct_revenue_by_city(silver), "fct_revenue_by_city", ["city", "total_listings"]),
-        _positions(fct_superhost_performance(silver), "fct_superhost_performance", ["city", "host_type"]),
-        _positions(fct_seasonal_trends(_silver_reviews(spark, sf_dir), silver), "fct_seasonal_trends",
+        _named_rows(fct_revenue_by_city(silver), "fct_revenue_by_city", ["city", "total_listings"]),
+        _named_rows(fct_superhost_performance(silver), "fct_superhost_performance", ["city", "host_type"]),
+        _named_rows(fct_seasonal_trends(_silver_reviews(spark, sf_dir), silver), "fct_seasonal_trends",
                    ["city", "year_number", "month_number", "room_type", "price_category"]),
-        _positions(fct_price_vs_rating(silver), "fct_price_vs_rating",
+        _named_rows(fct_price_vs_rating(silver), "fct_price_vs_rating",
                    ["city", "price_category", "room_type", "property_type"]),
-        _positions(profile.ordered_nulls(profile.null_summary(profiled)), "null_summary", ["column_name", "nulls"]),
-        _positions(profile.ordered_values(profile.value_counts(profiled)), "value_counts",
+        _named_rows(profile.ordered_nulls(profile.null_summary(profiled)), "null_summary", ["column_name", "nulls"]),
+        _named_rows(profile.ordered_values(profile.value_counts(profiled)), "value_counts",
                    ["column_name", "n", "value"])]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return with_positions(out, groups=("table_name",)).select("table_name", "position", "key")
 
 
 def _with_folder(query: Query) -> Query:
@@ -402,6 +416,8 @@ QUERIES: dict[str, Query] = {
     "data_tests_found": q_data_tests_found,
     "presentation_order": q_presentation_order,
     "table_versions": q_table_versions,
+    "silver_listings_view": q_silver_listings_view,
+    "silver_reviews_view": q_silver_reviews_view,
     "write_metrics": q_write_metrics,
     "build_stamps": q_build_stamps,
 }

@@ -2,7 +2,8 @@
 
 Stages stay lazy until a gate or a table write. Raw, bronze and gold are written as Parquet
 tables and read back, so every later stage starts from files (lineage is cut, a lost executor
-re-reads instead of recomputing); silver stays a lazy view, as in the original layering.
+re-reads instead of recomputing); silver stays a lazy view, as in the original layering, and is
+published as SQL text, so that later sessions read it by name.
 
 Write, audit, publish: each table goes to a folder of its own, the tests and gates look at
 those folders, and only a run that passes them all makes its tables the newest version, in one
@@ -27,6 +28,7 @@ from stratum.plans.bronze import bronze_listings, bronze_reviews
 from stratum.plans.gold import (fct_price_vs_rating, fct_revenue_by_city, fct_seasonal_trends,
                                 fct_superhost_performance)
 from stratum.plans.silver import silver_listings, silver_reviews
+from stratum.plans.views import silver_views
 from stratum.sources.csv import read_csv_positional
 from stratum.sources.presence import require_sources
 from stratum.sources.snapshots import Snapshots, Table, digest_of, files_digest
@@ -108,7 +110,7 @@ def run_daily(spark: SparkSession, raw_listings: DataFrame, raw_reviews: DataFra
     counts = gate_counts({name: t.metrics["rows"] for name, t in {**raw, **gold}.items()}, min_rows)
     log(f"gold row counts: {counts}")
     version = store.publish({("bronze", name): t for name, t in (*raw.items(), ("bronze_listings", bl), ("bronze_reviews", br))}
-                            | {("gold", name): t for name, t in gold.items()})
+                            | {("gold", name): t for name, t in gold.items()}, silver_views(as_of))
     log(f"published version {version}")
     return models
 

@@ -7,6 +7,9 @@ see all tables of one version or all of another, never a mixture or a half-writt
 run that dies leaves the earlier version as it was. Numbered files are created, never replaced:
 of two runs that publish at once the later one gets the next number.
 
+A version holds views too, as SQL text over its tables: they need no session and no metastore
+to be read, and always see the tables of their own version.
+
 The ledger holds, per key, the folder and the metrics of a finished write. The key is a digest
 of all that the write depends on; a rerun with the same key takes the folder and skips the work.
 """
@@ -17,6 +20,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +53,18 @@ class Table:
         return self.spark.read.parquet(self.path)
 
 
+@dataclass(frozen=True)
+class View:
+    """SQL text in which ``{alias}`` stands for the table or view (layer, name) that ``inputs`` gives."""
+
+    sql: str
+    inputs: Mapping[str, tuple[str, str]]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 class Snapshots:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -103,19 +119,60 @@ class Snapshots:
             return []
         return sorted(int(f.getPath().getName()) for f in self._fs.listStatus(folder))
 
-    def publish(self, tables: Mapping[tuple[str, str], Table]) -> int:
-        """Make (layer, name) -> table the newest version; its number."""
+    def publish(self, tables: Mapping[tuple[str, str], Table],
+                views: Mapping[tuple[str, str], View] | None = None) -> int:
+        """Make (layer, name) -> table, and the views over them, the newest version; its number."""
         content = {f"{layer_name(layer)}/{name}": t.path for (layer, name), t in tables.items()}
+        kept = {f"{layer_name(layer)}/{name}": {
+            "sql": v.sql, "inputs": {alias: f"{layer_name(of)}/{table}" for alias, (of, table) in v.inputs.items()}}
+            for (layer, name), v in (views or {}).items()}
+        for name, view in kept.items():
+            if missing := set(view["inputs"].values()) - set(content):
+                raise LookupError(f"view {name} reads what its version lacks: {', '.join(sorted(missing))}")
         while True:
             version = max(self.versions(), default=0) + 1
-            if self._put(self._manifest(version), {"tables": content}):
+            if self._put(self._manifest(version), {"tables": content, "views": kept}):
                 return version
 
     def read(self, layer: str | None, name: str, version: int | None = None) -> DataFrame:
-        """A table of the newest version, or of the one named."""
+        """A table or view of the newest version, or of the one named."""
         version = version or max(self.versions(), default=0)
         manifest = self._get(self._manifest(version)) or {"tables": {}}
-        path = manifest["tables"].get(f"{layer_name(layer)}/{name}")
+        wanted = f"{layer_name(layer)}/{name}"
+        if wanted in (views := manifest.get("views", {})):
+            return self.spark.sql(views[wanted]["sql"], **{
+                alias: self.spark.read.parquet(manifest["tables"][at]) for alias, at in views[wanted]["inputs"].items()})
+        path = manifest["tables"].get(wanted)
         if path is None:
-            raise LookupError(f"version {version} of {self.root} has no table {layer_name(layer)}/{name}")
+            raise LookupError(f"version {version} of {self.root} has no table {wanted}")
         return self.spark.read.parquet(path)
+
+    def attach(self, version: int | None = None, prefix: str = "") -> list[str]:
+        """Name the tables and views of a version in the session's catalog; the names.
+
+        Every layer is a schema (``prefix`` and the layer in lower case). Tables are external
+        and carry the version in their name; under the plain name stands a view, replaced by
+        one statement, so that readers of the catalog see the earlier version or this one.
+        With a lasting metastore the names outlive the session.
+        """
+        version = version or max(self.versions(), default=0)
+        manifest = self._get(self._manifest(version))
+        if manifest is None:
+            raise LookupError(f"{self.root} has no version {version}")
+
+        def name_of(entry: str, suffix: str = "") -> str:
+            layer, name = entry.split("/", 1)
+            return f"{_quoted(prefix + layer.lower())}.{_quoted(name + suffix)}"
+
+        for layer in sorted({entry.split("/", 1)[0] for entry in (*manifest["tables"], *manifest.get("views", {}))}):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(prefix + layer.lower())}")
+        texts = {}
+        for entry, path in manifest["tables"].items():
+            stored = name_of(entry, f"_v{version}")
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {stored} USING parquet LOCATION '{path}'")
+            texts[entry] = f"SELECT * FROM {stored}"
+        for entry, view in manifest.get("views", {}).items():
+            texts[entry] = view["sql"].format(**{alias: name_of(at, f"_v{version}") for alias, at in view["inputs"].items()})
+        for entry, text in texts.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name_of(entry)} AS {text}")
+        return sorted(name_of(entry).replace("`", "") for entry in texts)
