@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import table, written
+from stratum.llm.common import free_names, table, written
 from stratum.llm.components import components
 
 SEED = 42
@@ -40,17 +40,19 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id",
+                 row: str | None = None) -> DataFrame:
+    """(doc_id, fp), with a ``row`` between them where a column of row numbers is named; fp is a signed long."""
+    ids = {"doc_id": F.col(doc_id).cast("long")} | ({"row": F.col(row)} if row else {})
+    schema = pa.schema([(c, pa.int64()) for c in (*ids, "fp")])
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], schema=schema)
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.columns[-1]], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps.view(np.int64))], schema=schema)
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(*[c.alias(n) for n, c in ids.items()], F.col(text).alias("text")).mapInArrow(
+        run, ", ".join(f"{n} long" for n in schema.names))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -178,22 +180,30 @@ def near_edges(fps: DataFrame, distance: int) -> DataFrame:
     return units.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct()
 
 
+def component_roots(rows: DataFrame, distance: int, first) -> DataFrame:
+    """(fp, first, root) for every distinct fingerprint of ``rows``: the least ``first`` of its rows,
+    and the fingerprint that names its component. Copies share one fingerprint and are combined
+    before the shuffle, so only distinct fingerprints are compared."""
+    prints = written(rows.groupBy("fp").agg(F.min(first).alias("first")), "fingerprint-ids")
+    comp = components(near_edges(prints.select("fp"), distance))
+    return prints.join(comp, prints["fp"] == comp["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3,
                     text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
     Words are the runs between ASCII white space, A-Z in lower case; fewer words than
     ``shingle`` make one shingle, none (a null or blank text) the fingerprint zero, which links
-    like any other. Two fingerprints link at ``distance`` or fewer differing bits;
-    ``component_id`` is the smallest doc_id reachable over links. Rows with a null doc_id take
-    part and get their component's smallest id (null where it has none). Copies share one
-    fingerprint, so only distinct fingerprints are compared. An empty table gives no rows.
+    like any other. Very long texts are read whole, CHUNK shingles at a time. Two fingerprints
+    link at ``distance`` or fewer differing bits; ``component_id`` is the smallest doc_id
+    reachable over links. Rows with a null doc_id take part and get their component's smallest
+    id (null where it has none). Repeated rows each have a row of the result. Other columns are
+    not looked at. An empty table gives no rows.
     """
     rows = written(fingerprints(docs, shingle, text, doc_id), "fingerprints")
-    first = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprint-ids")
-    comp = components(near_edges(first.select("fp"), distance))
-    roots = first.join(comp, first["fp"] == comp["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    roots = component_roots(rows, distance, F.col("doc_id"))
     ids = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     label = written(roots.join(ids, "root").select("fp", "component_id"), "fingerprint-components")
     return rows.join(label, "fp").select(
@@ -201,25 +211,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3,
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """Rows of ``docs`` that stay: of every component the document with the smallest doc_id.
+    """Rows of ``docs`` that stay: one of every component of ``near_duplicates``, all columns as they were.
 
-    A repeated row of that document stays once. Rows without a doc_id all stay: nothing tells
-    them apart.
+    It is the row with the smallest doc_id; one without a doc_id stays only where its component
+    has none with one. Rows are told apart by a number of their own: unlike texts under one
+    doc_id (or none) are judged each by its component, and of repeated rows one stays. A user's
+    columns may have any names. An empty table gives no rows.
     """
-    return drop_grouped(docs, near_duplicates(docs, shingle, distance))
-
-
-def drop_grouped(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that stay under ``groups`` (doc_id, component_id for every row), as above."""
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("__same"))
-    keep = written(keep, "kept").withColumnRenamed("doc_id", "__id")
-    kept = docs.join(keep.hint("merge"), docs["doc_id"] == keep["__id"]).drop("__id")
-    single = kept.where("__same = 1").drop("__same")
-    several = kept.where("__same > 1").drop("__same")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    once = several.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in rest]) if rest else several.distinct()
-    return single.unionByName(once.select(*docs.columns)).unionByName(docs.where("doc_id IS NULL"))
+    key, = free_names(docs, "row_number")
+    rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "near-rows")
+    prints = written(fingerprints(rows, shingle, row=key), "fingerprints")
+    roots = component_roots(prints, distance, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    best = roots.groupBy("root").agg(F.min("first").alias("first"))
+    keep = written(best.select(F.col("first.row").alias(key)), "near-kept")
+    return rows.join(keep.hint("merge"), key, "left_semi").select(*docs.columns)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

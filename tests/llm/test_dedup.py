@@ -5,15 +5,16 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from stratum.llm import near_copies as near
 from stratum.llm.components import components
 from stratum.llm.exact_dedup import DigestIndex, drop_exact_duplicates, exact_dedup
-from stratum.llm.simhash import _links, drop_grouped, drop_near_duplicates, fingerprint, near_duplicates, segments
+from stratum.llm.simhash import _links, drop_near_duplicates, fingerprint, near_duplicates, segments
 from stratum.llm.suffix_dedup import front_code, merge_runs, remove_repeats
 
 DOCS = "doc_id long, text string, lang string, kept string"
@@ -146,144 +147,62 @@ def test_near_duplicates_one_stays(spark):
         (False, 3), (False, 9), (True, 0)]
 
 
-# ---------------------------------------------------------------- near copies by similarity
+def plain_fingerprint(text, n=3):
+    """The contract word by word: a bit is one when over half of the shingles' hashes have it."""
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    grams = [" ".join(w[i:i + n]) for i in range(len(w) - n + 1)] if len(w) >= n else [" ".join(w)] if w else []
+    hashes = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
 
-def shingles(text, n=5):
-    w = (text or "").lower().split()
-    return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
-
-def jaccard(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
+def test_fingerprints_match_a_plain_count_of_bits(monkeypatch):
+    from stratum.llm import simhash
+    texts = [words(i, n) for i, n in enumerate((1, 2, 3, 4, 60, 700))]
+    texts += [None, "", " \n\x0b", "A b\tÀ É", "a\xa0b c\u2003d e", "same same same same", words(9, 4).upper()]
+    for chunk in (1 << 16, 7):  # long texts are counted in pieces
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        assert [fingerprint(t, 3) for t in texts] == [plain_fingerprint(t) for t in texts]
 
 
-def test_sketch_similarity_is_exact_for_short_texts_and_near_for_long():
-    r = random.Random(2)
-    for n, slack in ((1, 0), (4, 0), (40, 0), (250, 0), (5000, 0.1)):
-        a = words(n, n).split()
-        for edits in (0, 1, n // 60):
-            b = list(a)
-            for _ in range(edits):
-                b[r.randrange(n)] = "zz"
-            x, y = " ".join(a), " ".join(b)
-            got = near.similarity(near.sketch(x, 5)[2], near.sketch(y, 5)[2])
-            assert abs(got - jaccard(shingles(x), shingles(y))) <= slack + 1e-12
-    assert near.similarity(near.sketch(None, 5)[2], near.sketch(" ", 5)[2]) == 1.0
-    assert near.similarity(near.sketch("a", 5)[2], near.sketch("", 5)[2]) == 0.0
+def test_near_duplicates_of_empty_long_and_clashing_input(spark):
+    schema = "doc_id long, text string, fp string, row string, root string, component_id string"
+    assert near_duplicates(docs(spark, [], schema)).count() == 0
+    long = words(1, 30_000)
+    rows = [(i, t, "a", "b", "c", "d") for i, t in ((4, long), (2, long + " x"), (9, words(2, 60)), (9, words(2, 60)))]
+    got = near_duplicates(docs(spark, rows, schema))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted((x.doc_id, x.fingerprint, x.component_id) for x in got.collect()) == sorted(
+        (i, f"{plain_fingerprint(t):016x}", 2 if i < 9 else 9) for i, t, *_ in rows)
 
 
-def test_spanning_forest_takes_the_closest():
-    u, v, w = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4]), np.array([9, 2, 3, 28], np.uint8)
-    assert sorted(near.spanning(u, v, w, 6).tolist()) == [1, 2, 3]
-    assert len(near.spanning(u[:0], v[:0], w[:0], 3)) == 0
+def test_near_duplicates_are_dropped_row_by_row(spark):
+    """Unlike texts under one doc_id stay, a near copy under it goes, and of copies without a doc_id one stays."""
+    a, b, c, d, e = (words(i, 200) for i in range(5))
+    rows = [(3, a), (5, a + " "), (5, b), (7, c), (7, d), (None, e), (None, e.upper()), (None, e), (None, b.upper())]
+    kept = [(r.doc_id, r.text) for r in drop_near_duplicates(docs(spark, rows)).collect()]
+    assert sorted(x for x in kept if x[0] is not None) == sorted([(3, a), (5, b), (7, c), (7, d)])
+    assert [t.lower() for i, t in kept if i is None] == [e]
+    named = docs(spark, [(*r, "mine", "too") for r in rows], "doc_id long, text string, row_number string, ROW string")
+    left = drop_near_duplicates(named)
+    assert left.columns == named.columns and {(x[2], x[3]) for x in left.collect()} == {("mine", "too")}
+    assert left.count() == len(kept)
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_near_copies_against_brute_force(spark, monkeypatch, block):
-    """Groups of near copies, one a third of all rows; blocks of three cut its buckets."""
-    monkeypatch.setattr(near, "BLOCK", block)
-    monkeypatch.setattr(near, "SIDE_BY_SIDE", 4 * block)
+def test_one_row_of_every_component_stays(spark):
+    """Groups of near copies, one of them a third of all rows, against components by brute force."""
     r, rows = random.Random(7), []
-    for base, copies in ((1, 30), (2, 6), (3, 3), (4, 2)):
-        text = words(base, 230).split()
+    for base, copies in ((1, 40), (2, 6), (3, 3)):
+        text = words(base, 900).split()
         for _ in range(copies):
             t = list(text)
             for _ in range(r.randrange(3)):
                 t[r.randrange(len(t))] = "zz" + str(r.randrange(1000))
             rows.append((len(rows) * 37 % 211, " ".join(t)))
-    rows += [(1000 + i, words(100 + i, 60)) for i in range(40)]
-    far = words(1, 230).split()
-    rows += [(1100, " ".join(far[:115] + words(55, 115).split())), (1101, words(1, 230).upper())]
-    rows += [(1200, None), (1201, ""), (1202, " \t"), (1203, "one"), (1204, "ONE"), (1205, "one two")]
-    sets = {d: shingles(t) for d, t in rows}
-    root = {d: d for d in sets}
-    while True:
-        before = dict(root)
-        for a, b in itertools.combinations(sorted(sets), 2):
-            if jaccard(sets[a], sets[b]) >= 0.8:
-                root[a] = root[b] = min(root[a], root[b])
-        if root == before:
-            break
-    assert root[1100] == 1100 and root[1101] != 1101
-    table = docs(spark, [(d, t, "x") for d, t in rows], "doc_id long, text string, component_id string")
-    got = {x.doc_id: x.component_id for x in near.near_copies(table).collect()}
-    assert got == root
-
-
-def proposed(x, y):
-    """Whether fingerprints propose the pair: near in all bits, and in one segment but for a bit."""
-    bits = bin((x[0] ^ y[0]) & (1 << 64) - 1)[2:].zfill(64) + bin((x[1] ^ y[1]) & (1 << 64) - 1)[2:].zfill(64)
-    return bits.count("1") <= near.LIMIT and any(bits[i:i + 16].count("1") <= 1 for i in range(0, 128, 16))
-
-
-def grouped(pairs, names):
-    root = {d: d for d in names}
-    while True:
-        before = dict(root)
-        for a, b in pairs:
-            root[a] = root[b] = min(root[a], root[b])
-        if root == before:
-            return root
-
-
-@pytest.mark.parametrize("block", [512, 20])
-def test_no_proposed_pair_is_displaced_by_one_that_fails(spark, monkeypatch, block):
-    """Many copies with few edits, pairs on both sides of 0.8: the closest by bits are not those that hold."""
-    monkeypatch.setattr(near, "BLOCK", block)
-    monkeypatch.setattr(near, "SIDE_BY_SIDE", 4 * block)
-    r, rows = random.Random(5), []
-    for base in (1, 2):
-        text = words(base, 200).split()
-        for _ in range(110):
-            t = list(text)
-            for _ in range(r.randint(3, 4)):
-                t[r.randrange(len(t))] = "zz" + str(r.randrange(10 ** 6))
-            rows.append((len(rows), " ".join(t)))
-    sets = {d: shingles(t) for d, t in rows}
-    prints = {d: near.sketch(t, 5)[:2] for d, t in rows}
-    good = [(a, b) for a, b in itertools.combinations(sorted(sets), 2)
-            if jaccard(sets[a], sets[b]) >= 0.8 and proposed(prints[a], prints[b])]
-    assert {x.doc_id: x.component_id for x in near.near_copies(docs(spark, rows)).collect()} == grouped(good, sets)
-
-
-@pytest.mark.parametrize("piece", [1 << 14, 100])
-def test_long_near_copies_are_counted_over_the_whole_text(spark, monkeypatch, piece):
-    """Pairs of long texts a little above and a little below 0.8, which a sample takes for the other now and then."""
-    monkeypatch.setattr(near, "PIECE", piece, raising=False)
-    r, rows = random.Random(3), []
-    for base in range(40):
-        text = words(base, 1500).split()
-        t = list(text)
-        for place in r.sample(range(0, 1500, 10), 33 + base % 5 - 2):
-            t[place] = "zz" + str(place)
-        rows += [(2 * base, " ".join(text)), (2 * base + 1, " ".join(t))]
-    sets = {d: shingles(t) for d, t in rows}
-    prints = {d: near.sketch(t, 5)[:2] for d, t in rows}
-    near_by = [(2 * i, 2 * i + 1) for i in range(40) if proposed(prints[2 * i], prints[2 * i + 1])]
-    good = [(a, b) for a, b in near_by if jaccard(sets[a], sets[b]) >= 0.8]
-    assert 5 < len(good) < len(near_by) - 5
-    assert {x.doc_id: x.component_id for x in near.near_copies(docs(spark, rows)).collect()} == grouped(good, sets)
-
-
-def test_near_copies_odd_rows(spark):
-    assert near.near_copies(docs(spark, [])).count() == 0
-    t = words(1, 200)
-    rows = [(5, t), (3, t + " "), (3, t + " "), (9, words(2, 50)), (None, words(3, 50)), (None, t)]
-    table = docs(spark, rows)
-    groups = near.near_copies(table)
-    assert sorted((x.doc_id or 0, x.component_id or 0) for x in groups.collect()) == [
-        (0, 0), (0, 3), (3, 3), (3, 3), (5, 3), (9, 9)]
-    assert sorted(x.doc_id or 0 for x in drop_grouped(table, groups).collect()) == [0, 0, 3, 9]
-
-
-def test_near_copies_are_dropped_row_by_row(spark):
-    """Unlike texts under one doc_id stay, a near copy under it goes, and of copies without a doc_id one stays."""
-    a, b, c, d, e = (words(i, 200) for i in range(5))
-    rows = [(3, a), (5, a + " x"), (5, b), (7, c), (7, d), (None, e), (None, e + " x"), (None, e), (None, b + " x")]
-    kept = [(r.doc_id, r.text) for r in near.drop_near_copies(docs(spark, rows)).collect()]
-    assert sorted(x for x in kept if x[0] is not None) == sorted([(3, a), (5, b), (7, c), (7, d)])
-    assert len([t for i, t in kept if i is None]) == 1 and kept[[i for i, _ in kept].index(None)][1] in (e, e + " x")
-    assert near.drop_near_copies(docs(spark, [])).count() == 0
+    rows += [(1000 + i, words(100 + i, 60)) for i in range(70)] + [(1200, None), (1201, ""), (1202, " \t")]
+    root = brute_components({d: plain_fingerprint(t) for d, t in rows}, 3)
+    kept = sorted(x.doc_id for x in drop_near_duplicates(docs(spark, rows)).collect())
+    assert kept == sorted(set(root.values())) and len(kept) < len(rows) - 30
 
 
 # ---------------------------------------------------------------- suffixes
@@ -374,5 +293,5 @@ def test_stages_keep_columns_named_like_their_own(spark):
     out = drop_exact_duplicates(df)
     assert out.columns == df.columns and out.select("doc_id", "same", "__d").orderBy("doc_id").collect() == [
         (2, "same", "__d"), (3, "same", "__d")]
-    left = near.drop_near_copies(df.withColumn("__row", F.lit("mine")), 5, 0.8)
+    left = drop_near_duplicates(df.withColumn("__row", F.lit("mine")))
     assert {r["__row"] for r in left.collect()} == {"mine"} and left.columns == [*df.columns, "__row"]
