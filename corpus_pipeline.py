@@ -14,13 +14,13 @@ from stratum.llm.bpe import encode_documents
 from stratum.llm.common import free_names, table, written
 from stratum.llm.exact_dedup import drop_exact_duplicates
 from stratum.llm.mixing import mixed_documents
-from stratum.llm.near_copies import drop_near_copies
 from stratum.llm.quality import held_out, score, train
+from stratum.llm.simhash import drop_near_duplicates
 
 #: documents below this chance of being good go
 MIN_QUALITY = 0.5
-#: near copies: words of a shingle and the Jaccard similarity from which two texts link
-NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
+#: near copies: words of a shingle and the differing fingerprint bits up to which two texts link
+NEAR_SHINGLE, NEAR_BITS = 3, 3
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the document with the smallest doc_id, one without only where none has one."""
-    return drop_near_copies(docs, NEAR_SHINGLE, NEAR_SIMILARITY)
+    return drop_near_duplicates(docs, NEAR_SHINGLE, NEAR_BITS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
