@@ -618,6 +618,7 @@ def _finals() -> dict[str, str]:
         "null_rate_report": _null_census(fixed.NULL_RATE_REPORT_PCT),
         "duplicate_rows": _duplicates(REVIEWS),
         "profile_listings": _profile(LISTINGS, "listings", coverage_key="city"),
+        "profile_states": _profile(LISTINGS, "listings", coverage_key="city"),
         "profile_reviews": _profile(REVIEWS, "reviews"),
         "value_counts": _value_counts(),
         "distinct_values": (f"SELECT column_name, COUNT(value) AS distinct_values FROM ({_value_counts()}) "

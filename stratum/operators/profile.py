@@ -154,6 +154,14 @@ def type_census(df: DataFrame) -> DataFrame:
     return counts.withColumn("mixed", used > 1)
 
 
+def section_rows(frame: DataFrame, section: str, column: Column, value: Column, metrics: Sequence[str]) -> DataFrame:
+    """One report row per row of ``frame`` and metric."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("amount"))
+                      for m in metrics])
+    return frame.select(F.lit(section).alias("section"), column.alias("column_name"),
+                        value.alias("value"), F.inline(pairs))
+
+
 def profile_report(df: DataFrame, name: str,
                    categorical: Iterable[str] = fixed.PROFILE_CATEGORICAL,
                    numeric: Iterable[str] = fixed.PROFILE_NUMERIC,
@@ -163,13 +171,6 @@ def profile_report(df: DataFrame, name: str,
     With ``dim`` and a ``key`` column present, a ``coverage`` section lists the
     key values the dimension does not cover, with their row counts.
     """
-    def rows(frame: DataFrame, section: str, column: Column, value: Column,
-             metrics: Sequence[str]) -> DataFrame:
-        pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("amount"))
-                          for m in metrics])
-        return frame.select(F.lit(section).alias("section"), column.alias("column_name"),
-                            value.alias("value"), F.inline(pairs))
-
     none = F.lit(None).cast("string")
     present = [c for c in numeric if c in df.columns]
     # shape, null census and ranges share one aggregate (its exchange is reused)
@@ -177,21 +178,21 @@ def profile_report(df: DataFrame, name: str,
     counts = value_counts(df, categorical)
     ranges = _ranges_from(summary, present) if present else _empty(df, RANGES_SCHEMA)
     parts = [
-        rows(summary.select(F.col("__rows").alias("rows"), F.lit(len(df.columns)).alias("columns")),
+        section_rows(summary.select(F.col("__rows").alias("rows"), F.lit(len(df.columns)).alias("columns")),
              "shape", none, none, ["rows", "columns"]),
-        rows(duplicate_rows(df), "duplicates", none, none, ["duplicate_rows"]),
-        rows(_nulls_from(summary, df.columns, 0.0), "nulls", F.col("column_name"), none,
+        section_rows(duplicate_rows(df), "duplicates", none, none, ["duplicate_rows"]),
+        section_rows(_nulls_from(summary, df.columns, 0.0), "nulls", F.col("column_name"), none,
              ["nulls", "null_pct"]),
-        rows(counts, "values", F.col("column_name"), F.col("value"), ["n"]),
-        rows(distinct_counts(counts), "distinct", F.col("column_name"), none, ["distinct_values"]),
-        rows(ranges, "ranges", F.col("column_name"), none,
+        section_rows(counts, "values", F.col("column_name"), F.col("value"), ["n"]),
+        section_rows(distinct_counts(counts), "distinct", F.col("column_name"), none, ["distinct_values"]),
+        section_rows(ranges, "ranges", F.col("column_name"), none,
              ["min_value", "max_value", "mean_value", "nulls"]),
-        rows(type_census(df).withColumn("mixed", F.col("mixed").cast("int")), "types",
+        section_rows(type_census(df).withColumn("mixed", F.col("mixed").cast("int")), "types",
              F.col("column_name"), none,
              ["integer_values", "decimal_values", "date_values", "text_values", "mixed"]),
     ]
     if dim is not None and key in df.columns:
-        parts.append(rows(uncovered(df, key, dim), "coverage", F.lit(key), F.col(key), ["rows"]))
+        parts.append(section_rows(uncovered(df, key, dim), "coverage", F.lit(key), F.col(key), ["rows"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

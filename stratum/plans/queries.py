@@ -23,6 +23,7 @@ from stratum.operators.coverage import uncovered
 from stratum.operators.lookup import city_dimension
 from stratum.operators import profile
 from stratum.operators.numbering import with_positions
+from stratum.operators.profile_states import report_from_states, stored_states
 from stratum.operators.quality import row_counts, run_data_tests
 from stratum.operators.states import grouped_states
 from stratum.plans.bronze import bronze_listings, bronze_reviews
@@ -211,6 +212,18 @@ def q_profile_reviews(spark, sf_dir):
     return profile.profile_report(materialize(null_tokens(binding.raw_reviews(spark, sf_dir))), "reviews")
 
 
+def q_profile_states(spark, sf_dir):
+    """The listings profile merged from the states of three landing files, the last one scanned later."""
+    store = Snapshots(spark, shared_dir(spark, "profile"))
+    landed = materialize(_profiled(spark, sf_dir))
+    third = F.pmod(F.xxhash64("listing_id"), F.lit(3))
+    files = {str(i): landed.where(third == i) for i in range(3)}
+    keys = {f: f"file {f}" for f in files}
+    stored_states(store, {f: files[f] for f in ("0", "1")}, keys, "listings")
+    states, _ = stored_states(store, files, keys, "listings")
+    return report_from_states(states, landed.columns, dim=city_dimension(spark))
+
+
 def _tested_models(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> dict[str, DataFrame]:
     """The models that tests of ``kinds`` look at, over bronze tables written once each.
 
@@ -405,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "table_shape": q_table_shape,
     "profile_listings": q_profile_listings,
     "profile_reviews": q_profile_reviews,
+    "profile_states": q_profile_states,
     "not_null_tests": _tests("not_null"),
     "unique_tests": _tests("unique"),
     "accepted_values_tests": _tests("accepted_values"),
