@@ -7,8 +7,11 @@ its end; maps of neighbouring lines compose, so the state in front of any line i
 1. lines are read splittably and cut into chunks of a split; an aggregate, combined before its
    shuffle and without the text, composes the maps of each chunk;
 2. over the chunks of a file, a row each, a scan tells in which state each chunk begins;
-3. within its chunk every line gets the state before it by a window, all chunks at once;
-4. a line that begins and ends outside is a record as it is; the lines of longer records
+3. a chunk that begins outside has one record per line up to the first line that leaves a
+   quoted field open; those lines are not shuffled. The few facts of chunks that hold other
+   lines (and of each file's first) are broadcast, a row per chunk;
+4. in the rest of its chunk every line gets the state before it by a window, all chunks at once;
+5. a line that begins and ends outside is a record as it is; the lines of longer records
    meet under the number of the line they begin with.
 """
 
@@ -77,12 +80,12 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str = "
     """
     source = spark.read.text(paths if isinstance(paths, str) else list(paths))
     value = F.col("value") if encoding.upper() in ("UTF-8", "UTF8") else F.decode(F.col("value").cast("binary"), encoding)
-    lines = source.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                          F.monotonically_increasing_id().alias("line"), value.alias("value"))
+    text = source.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("line"), value.alias("value"))
     chunk = F.shiftright(F.col("line").bitwiseAND((1 << 33) - 1), CHUNK_LINES.bit_length() - 1)
-    lines = lines.withColumn("chunk", chunk).select(
-        *CHUNK, "line", "value", ends_quoted(F.col("value"), False).alias("from_out"),
-        ends_quoted(F.col("value"), True).alias("from_in"))
+    text = text.select(*CHUNK[:2], chunk.alias("chunk"), "line", "value")
+    from_out, from_in = ends_quoted(F.col("value"), False), ends_quoted(F.col("value"), True)
+    lines = text.select(*CHUNK, "line", "value", from_out.alias("from_out"), from_in.alias("from_in"))
     settles = F.col("from_out") == F.col("from_in")
     swaps = F.col("from_out") & ~F.col("from_in")
 
@@ -90,8 +93,9 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str = "
     chunks = (lines.groupBy(*CHUNK).agg(
         F.max(F.when(settles, F.struct("line", "from_out"))).alias("last"),
         F.collect_list(F.when(swaps, F.col("line"))).alias("swap_lines"),
+        F.min(F.when(F.col("from_out"), F.col("line"))).alias("opens"),
         F.min(F.when(F.col("value") != "", F.col("line"))).alias("text_line"))
-        .select(*CHUNK, "text_line", F.col("last.from_out").alias("state"),
+        .select(*CHUNK, "text_line", "opens", F.col("last.from_out").alias("state"),
                 F.size(F.filter("swap_lines", lambda x: x > F.coalesce("last.line", F.lit(-1)))).alias("later")))
 
     # 2. how each chunk begins
@@ -102,13 +106,26 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str = "
     # swaps are counted through; those up to a settling chunk's settling line are taken off
     settled = F.last(F.when(F.col("state").isNotNull(), F.struct("state", (F.col("upto") - F.col("later")).alias("swaps"))),
                      ignorenulls=True).over(before)
-    chunks = chunks.select(*CHUNK, _state(F.lit(False), settled, F.col("upto") - F.col("later")).alias("begins"),
-                           F.first("text_line", ignorenulls=True).over(whole_file).alias("head"))
+    chunks = (chunks.select(*CHUNK, "text_line", "opens",
+                            _state(F.lit(False), settled, F.col("upto") - F.col("later")).alias("begins"),
+                            F.first("text_line", ignorenulls=True).over(whole_file).alias("head"))
+              .withColumn("odd_from", F.when(F.col("begins"), -1).otherwise(F.col("opens"))))
+
+    # 3. until a chunk's first line that opens a quoted field and leaves it open, lines are records
+    # and go on as they come; a chunk without a row here holds no other line
+    noted = chunks.where(F.col("odd_from").isNotNull() | (F.col("head") == F.col("text_line")))
+    plain = (text.join(F.broadcast(noted.select(*CHUNK, "odd_from", "head")), CHUNK, "left")
+             .where((F.col("value") != "") & F.coalesce(F.col("line") < F.col("odd_from"), F.lit(True))))
+    if header:
+        plain = plain.where(~F.col("line").eqNullSafe(F.col("head")))
+    plain = plain.select(*CHUNK, "line", "value", F.lit(True).alias("alone"), F.col("line").alias("record_no"))
 
-    # 3. the state before every line
+    # 4. the state before every line from there on
     rows = Window.partitionBy(*CHUNK).orderBy("line")
     earlier = rows.rowsBetween(Window.unboundedPreceding, -1)
-    known = lines.join(chunks.hint("shuffle_hash"), CHUNK)
+    odd = F.broadcast(chunks.where(F.col("odd_from").isNotNull()).select(*CHUNK, "odd_from", "begins", "head"))
+    known = (text.join(odd, CHUNK).where(F.col("line") >= F.col("odd_from"))
+             .withColumns({"from_out": from_out, "from_in": from_in}))
     known = known.withColumn("swaps", F.coalesce(F.sum(swaps.cast("int")).over(earlier), F.lit(0)))
     settled = F.last(F.when(settles, F.struct(F.col("from_out").alias("state"), "swaps")), ignorenulls=True).over(earlier)
     known = known.withColumn("before", _state(F.col("begins"), settled, F.col("swaps")))
@@ -119,7 +136,8 @@ def csv_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str = "
     if header:
         known = known.withColumn("is_head", F.col("record_no").eqNullSafe(F.col("head"))).where(
             "not (alone and is_head)").withColumn("record_no", F.when(F.col("is_head"), -1).otherwise(F.col("record_no")))
-    return known.where(~F.col("alone") | (F.col("value") != "")).select(*CHUNK, "line", "value", "alone", "record_no")
+    known = known.where(~F.col("alone") | (F.col("value") != "")).select(*CHUNK, "line", "value", "alone", "record_no")
+    return plain.unionByName(known)
 
 
 def long_records(lines: DataFrame) -> DataFrame:
@@ -146,13 +164,14 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str], parse, path: st
     """
     lines = csv_lines(spark, paths, encoding, header)
     alone = F.col("alone")
+    # "several" is a plain column: writing by it as a partition would sort every task's records
     (lines.select(F.when(alone, parse(F.col("value"))).alias("record"), (~alone).cast("int").alias("several"),
                   *[F.when(~alone, F.col(c)).alias(c) for c in ("file", "block", "chunk", "line", "value", "record_no")])
-     .write.mode("overwrite").partitionBy("several").parquet(path))
+     .write.mode("overwrite").parquet(path))
     schema = StructType([f for f in lines.select(parse(F.col("value")).alias("record"), *CHUNK, "line", "value",
                                                  "record_no").schema] + [StructField("several", IntegerType())])
     stored = spark.read.schema(schema).parquet(path)
     long = long_records(stored.where("several = 1").withColumn("alone", F.lit(False)))
     (long.select(parse(F.col("record")).alias("record"), F.lit(2).alias("several"))
-     .write.mode("append").partitionBy("several").parquet(path))
+     .write.mode("append").parquet(path))
     return spark.read.schema(schema).parquet(path).where("several != 1").select("record.*")

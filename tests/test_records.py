@@ -96,3 +96,23 @@ def test_named_scan_takes_names_from_the_header(spark, scratch):
     assert got.columns == ["id", "full name", "x"]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [
         ("1", "Café\nNoir", "y"), ("2", None, None), ("3", "a", "b")]))
+
+
+def test_lines_without_open_quotes_are_not_shuffled(spark, scratch):
+    path = os.path.join(scratch, "plain.csv")
+    with open(path, "w") as f:
+        f.write("a,b,c\n" + '"x, ""y""",2,z\n' * 3000)
+    df = records.csv_lines(spark, path)
+    assert df.count() == 3000 and df.where("not alone").count() == 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" not in plan and "SortMergeJoin" not in plan
+
+
+def test_records_are_written_without_a_sort(spark, scratch):
+    path = os.path.join(scratch, "in.csv")
+    with open(path, "w") as f:
+        f.write('a,b,c\n1,2,3\n"x\ny",5,6\n')
+    out = os.path.join(scratch, "out")
+    good, rejects = read_csv_positional(spark, path, COLUMNS, stage_to=out)
+    assert sorted(map(tuple, good.collect())) == [("1", "2", "3"), ("x\ny", "5", "6")] and rejects.count() == 0
+    assert not [f for f in os.listdir(out) if f.startswith("several=")]
