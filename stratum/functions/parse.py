@@ -12,7 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Plain decimal notation with an optional exponent, surrounding blanks allowed.
-NUMERIC_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+# Possessive and without groups to note down: the same texts match, in one pass.
+NUMERIC_PATTERN = r"^[+-]?+(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?+\d++)?+$"
+# Most whole numbers: settled without a decimal; what it matches fits 64 bits.
+SHORT_DIGITS_PATTERN = r"^\d{1,18}$"
 ISO_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -34,9 +37,10 @@ def try_number(c: str | Column) -> Column:
     has a value but not in 64 bits stops the job: it is never lost as a NULL.
     The check is reached only by rows without a 64-bit value.
     """
+    c = _col(c)
     wide = numeric_text(c).try_cast("decimal(38,0)")
-    return F.coalesce(wide.try_cast("bigint"), F.when(
-        wide.isNotNull(), F.raise_error(F.concat(F.lit("number beyond 64 bits: "), wide.cast("string"))).cast("bigint")))
+    return F.when(c.rlike(SHORT_DIGITS_PATTERN), c.try_cast("bigint")).otherwise(F.coalesce(wide.try_cast("bigint"), F.when(
+        wide.isNotNull(), F.raise_error(F.concat(F.lit("number beyond 64 bits: "), wide.cast("string"))).cast("bigint"))))
 
 
 def try_double(c: str | Column) -> Column:
@@ -57,7 +61,8 @@ def strict_int(c: str | Column, name: str = "value") -> Column:
     """
     c = _col(c)
     parsed = numeric_text(c).try_cast("decimal(38,0)").try_cast("bigint")
-    return F.when(c.isNotNull() & parsed.isNull(),
+    return F.when(c.rlike(SHORT_DIGITS_PATTERN), c.try_cast("bigint")).when(
+                  c.isNotNull() & parsed.isNull(),
                   F.raise_error(F.concat(F.lit(f"cannot cast {name} to INTEGER: '"), c, F.lit("'")))
                   ).otherwise(parsed)
 

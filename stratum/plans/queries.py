@@ -225,18 +225,20 @@ def q_profile_states(spark, sf_dir):
 
 
 def _tested_models(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> dict[str, DataFrame]:
-    """The models that tests of ``kinds`` look at, over bronze tables written once each.
+    """The models that tests of ``kinds`` look at, over a raw table of the listings written once
+    and bronze reviews written once.
 
-    A unique test reads one column of a model, so those stay lazy: column pruning leaves less
-    to compute than a write of the whole bronze table.
+    The tests read few columns of a model: over the raw text only those are parsed, which is less
+    than a write of the whole bronze table. A unique test reads one column, so for those alone
+    nothing is written.
     """
     wanted = {model for model, _, kind, _ in fixed.DATA_TESTS if kind in kinds}
     raw_l, raw_r = raw_listings(spark, sf_dir), raw_reviews(spark, sf_dir)
-    bl, br = bronze_listings(raw_l), bronze_reviews(raw_r)
     if set(kinds) != {"unique"}:
-        bl = materialize(bl, "bronze_listings")
-        if wanted & {"bronze_reviews", "silver_reviews", "fct_seasonal_trends"}:
-            br = materialize(br, "bronze_reviews")
+        raw_l = materialize(raw_l, "raw_listings")
+    bl, br = bronze_listings(raw_l), bronze_reviews(raw_r)
+    if set(kinds) != {"unique"} and wanted & {"bronze_reviews", "silver_reviews", "fct_seasonal_trends"}:
+        br = materialize(br, "bronze_reviews")
     found = models_over(bl, br, city_dimension(spark), AS_OF)
     return {name: df for name, df in found.items() if name in wanted}
 

@@ -111,3 +111,17 @@ def test_ratio_rounds_quotient_to_six_places_first(spark):
 def test_avg_nonzero_ignores_sentinel(spark):
     df = spark.createDataFrame([(0.0,), (90.0,), (None,), (80.0,)], "s double")
     assert df.agg(measures.avg_nonzero(F.col("s")).alias("a")).first().a == 85.0
+
+
+def test_short_digits_take_no_decimal(spark):
+    """Whole numbers of up to 18 digits are settled before the decimal; the others read as ever."""
+    from stratum.functions.parse import strict_int, try_double, try_number
+    texts = ["7", "007", "999999999999999999", "1000000000000000000", " 8 ", "+9", "-3", "3.7", "2.0", "5\n", "\t5",
+             "", "1e3", ".5", "5.", ".", "12d", "--1", "1e", "\u0663"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.n, r.d) for r in df.select("t", try_number("t").alias("n"), try_double("t").alias("d")).collect()}
+    assert [got[t][0] for t in texts] == [7, 7, 10**18 - 1, 10**18, 8, 9, -3, 4, 2, 5, None, None, 1000, 1, 5,
+                                          None, None, None, None, None]
+    assert [got[t][1] for t in texts[6:15]] == [-3.0, 3.7, 2.0, 5.0, None, None, 1000.0, 0.5, 5.0]
+    plan = df.select(strict_int("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("{1,18}") < plan.index("decimal(38,0)")

@@ -168,3 +168,13 @@ def test_load_stamp_and_defaults(spark):
     filled = fill_defaults(df, {"a": "Unknown", "b": 1}).collect()
     assert [tuple(r) for r in filled] == [("Unknown", 1), ("x", 2)]
     assert fill_defaults(df, {"a": "Unknown"}).columns == ["a", "b"]
+
+
+def test_tests_and_order_read_one_raw_table(spark, monkeypatch):
+    """Listings are written as raw text once; no query computes or writes the whole bronze table for them."""
+    from stratum.plans import queries as q
+    seen = []
+    plain = q.materialize
+    monkeypatch.setattr(q, "materialize", lambda df, label="materialized": seen.append((label, df.columns)) or plain(df, label))
+    q._tested_models(spark, "/root/testdata/sf0.001", ("accepted_values",))
+    assert [n for n, _ in seen] == ["raw_listings", "bronze_reviews"]
