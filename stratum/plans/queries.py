@@ -363,8 +363,9 @@ def _named_rows(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
 
 
 def q_presentation_order(spark, sf_dir):
-    """Row positions of the sorted gold tables and of the sorted profile sections."""
-    silver, profiled = _silver(spark, sf_dir), _profiled(spark, sf_dir)
+    """Row positions of the sorted gold tables and of the sorted profile sections, over one raw table."""
+    profiled = _profiled_once(spark, sf_dir)
+    silver = silver_listings(bronze_listings(with_load_time(profiled, BATCH_TS)), city_dimension(spark), AS_OF)
     parts = [
         _named_rows(fct_revenue_by_city(silver), "fct_revenue_by_city", ["city", "total_listings"]),
         _named_rows(fct_superhost_performance(silver), "fct_superhost_performance", ["city", "host_type"]),

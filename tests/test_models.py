@@ -178,3 +178,6 @@ def test_tests_and_order_read_one_raw_table(spark, monkeypatch):
     monkeypatch.setattr(q, "materialize", lambda df, label="materialized": seen.append((label, df.columns)) or plain(df, label))
     q._tested_models(spark, "/root/testdata/sf0.001", ("accepted_values",))
     assert [n for n, _ in seen] == ["raw_listings", "bronze_reviews"]
+    seen.clear()
+    q.q_presentation_order(spark, "/root/testdata/sf0.001")
+    assert [columns[0] for _, columns in seen] == ["listing_id"]
