@@ -6,7 +6,7 @@ leftmost of equals). Equal windows have their anchor at the same offset, so it i
 sort the suffixes that begin at anchors, some 6 % of all.
 
 Round one sorts those suffixes by their first GRAM bytes and keeps anchors that several
-documents share. Round two sorts, for the anchors kept, all bytes of the windows that have
+documents share; keys that one run alone has are left out of the merge. Round two sorts, for the anchors kept, all bytes of the windows that have
 that anchor: from the anchor to the right, then from it to the left. Whatever is equal is
 then adjacent, and windows of neighbouring suffixes with an equal anchor are compared byte
 by byte.
@@ -269,16 +269,65 @@ def _gram_run(docs, parts: int):
     return blobs, own
 
 
-def _gram_stream(blob: bytes):
-    same, left, inside, local, place, ids, lines = unpack(blob)
-    local, place = np.frombuffer(local, "<u4"), np.frombuffer(place, "<u4").tolist()
-    ids, lines = unsteps(ids)[local].tolist(), unsteps(lines)[local].tolist()
-    at, key = 0, b""
-    for c, entry in zip(same, zip(inside, ids, lines, place)):
-        end = at + GRAM - c
-        key = key[:c] + left[at:end]
-        at = end
-        yield c, key, entry
+def _front_decoded(same: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Front-coded keys of GRAM bytes as rows of a square: every byte is that of the last key that has its own there."""
+    same = same.astype(np.int64)
+    begin = np.cumsum(GRAM - same) - (GRAM - same) - same
+    line = np.arange(len(same))
+    square = np.empty((len(same), GRAM), np.uint8)
+    for j in range(GRAM):
+        own = np.maximum.accumulate(np.where(same <= j, line, 0))
+        square[:, j] = left[begin[own] + j]
+    return square
+
+
+#: most cells of the table that tells which keys come in several runs
+CELLS = 1 << 26
+
+
+def _gram_streams(blobs: list[bytes]) -> list[Iterator[tuple[int, bytes, tuple]]]:
+    """The runs to merge, front-coded anew without the keys that no other run has: those are
+    not shared, or their run has settled them by itself.
+
+    Whether another run has a key is looked up by hash, so a few of them stay; never is one lost.
+    """
+    runs = []
+    for blob in blobs:
+        same, left, *rest = unpack(blob)
+        same = np.frombuffer(same, np.uint8)
+        key = _front_decoded(same, np.frombuffer(left, np.uint8))
+        half = key.view("<u8")
+        h = (half[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ (half[:, 1] * np.uint64(0xD6E8FEB86659FD93))
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xC2B2AE3D27D4EB4F)
+        runs.append((same, key, (h >> np.uint64(32)).astype(np.uint32), rest))
+    size = 1 << 10
+    while size < min(CELLS, 8 * sum(len(r[0]) for r in runs)):
+        size *= 2
+    low = np.uint32(size - 1)
+    seen, again = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+    for same, _, h, _ in runs:
+        cell = h[same < GRAM] & low  # each key of the run once
+        again[cell[seen[cell]]] = True
+        seen[cell] = True
+
+    def stream(key, inside, local, place, ids, lines):
+        same = np.zeros(len(key), np.int64)
+        if len(key) > 1:
+            diff = key[1:] != key[:-1]
+            same[1:] = np.where(diff.any(1), diff.argmax(1), GRAM)
+        raw = key.tobytes()
+        entries = zip(inside.tolist(), ids[local].tolist(), lines[local].tolist(), place.tolist())
+        for at, (c, entry) in enumerate(zip(same.tolist(), entries)):
+            yield c, raw[at * GRAM:(at + 1) * GRAM], entry
+
+    streams = []
+    for _, key, h, (inside, local, place, ids, lines) in runs:
+        keep = np.flatnonzero(again[h & low])
+        if len(keep):
+            streams.append(stream(key[keep], np.frombuffer(inside, np.uint8)[keep], np.frombuffer(local, "<u4")[keep],
+                                  np.frombuffer(place, "<u4")[keep], unsteps(ids), unsteps(lines)))
+    return streams
 
 
 FLUSH = 400_000
@@ -331,8 +380,8 @@ def _merged_grams(keys: list[int]):
         lines, places = [], []
         # of the entries with the present key: the first, those after it while none is of another document
         first, waiting, shared = None, [], False
-        for common, _, entry in merge_runs([_gram_stream(b) for b in blobs]):
-            if common < GRAM:  # most keys come once, and nothing more is done for them
+        for common, _, entry in merge_runs(_gram_streams(blobs)):
+            if common < GRAM:
                 first, shared = entry, entry[0]
                 if waiting:
                     waiting = []

@@ -295,3 +295,30 @@ def test_stages_keep_columns_named_like_their_own(spark):
         (2, "same", "__d"), (3, "same", "__d")]
     left = drop_near_duplicates(df.withColumn("__row", F.lit("mine")))
     assert {r["__row"] for r in left.collect()} == {"mine"} and left.columns == [*df.columns, "__row"]
+
+
+def test_keys_of_one_run_alone_are_left_out_of_the_merge():
+    import numpy as np
+
+    from stratum.llm import suffix_dedup as s
+    rnd = np.random.default_rng(3)
+    pool = rnd.integers(0, 3, (400, s.GRAM)).astype(np.uint8)
+
+    def blob(first, rows):
+        rows = rows[np.lexsort(rows.T[::-1])]
+        same, left = s.front_code([r.tobytes() for r in rows])
+        n = len(rows)
+        assert (s._front_decoded(np.frombuffer(same, np.uint8), np.frombuffer(left, np.uint8)) == rows).all()
+        return [r.tobytes() for r in rows], s.pack(
+            same, left, bytes(n), np.arange(n).astype("<u4").tobytes(), np.arange(n).astype("<u4").tobytes(),
+            s.steps(np.arange(first, first + n)), s.steps(np.arange(first, first + n)))
+
+    keys, blobs = zip(*[blob(1000 * i, pool[rnd.choice(400, 90)]) for i in range(3)])
+    shared = {k for i in range(3) for k in keys[i] if any(k in keys[j] for j in range(3) if j != i)}
+    got = [(k, e) for _, k, e in s.merge_runs(s._gram_streams(list(blobs)))]
+    assert [k for k, _ in got] == sorted(k for k, _ in got)
+    for i in range(3):  # every entry of a key that another run has; nearly nothing else
+        for at, k in enumerate(keys[i]):
+            assert k not in shared or (k, (0, 1000 * i + at, 1000 * i + at, at)) in got
+    assert len(got) < sum(map(len, keys)) and sum(k not in shared for k, _ in got) < 20
+    assert list(s.merge_runs(s._gram_streams([]))) == []
