@@ -36,27 +36,45 @@ def _merged(states: DataFrame) -> DataFrame:
 
 def profile_states(df: DataFrame, categorical: Iterable[str] = fixed.PROFILE_CATEGORICAL,
                    numeric: Iterable[str] = fixed.PROFILE_NUMERIC) -> DataFrame:
-    """The state table of one input: every row becomes its states, combined before and after one shuffle.
+    """The state table of one input: cells and digests of its rows, each combined before and after a shuffle.
 
     Columns that the input lacks are skipped; an input without rows has no states.
     """
-    def state(kind: str, column: str | None, value: Column, n: Column = F.lit(1), number: Column | None = None):
-        number = F.lit(None).cast("double") if number is None else number
-        return F.struct(F.lit(kind).alias("kind"), F.lit(column).cast("string").alias("column_name"),
-                        value.cast("string").alias("value"), n.cast("bigint").alias("n"),
-                        number.alias("total"), number.alias("low"), number.alias("high"))
-
-    none, texts = F.lit(None), {c: F.col(c).cast("string") for c in df.columns}
-    states = [state("rows", None, none)]
-    states += [state("types", c, F.coalesce(F.when(t.isNotNull(), value_class(t)), F.lit("null"))) for c, t in texts.items()]
-    for c in numeric:
-        if c in texts:
-            v = money(F.col(c))
-            states.append(state("ranges", c, none, v.isNotNull().cast("int"), v))
-    states += [state("values", c, texts[c]) for c in categorical if c in texts]
-    # nulls leave no field in the JSON text, so they differ from empty text
-    states.append(state("digests", None, F.sha2(F.to_json(F.struct(*[t.alias(c) for c, t in texts.items()])), 256)))
-    return _merged(df.select(F.inline(F.array(*states))))
+    texts = {c: F.col(c).cast("string") for c in df.columns}
+    names = list(texts)
+    counted, measured = ([i for i, c in enumerate(names) if c in set(some)] for some in (categorical, numeric))
+    # one cell per column and row, classified after the unpivot: one small expression, not one per column
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), t.alias("v")) for i, t in enumerate(texts.values())])))
+    i, v = F.col("i"), F.col("v")
+    cells = (cells.select(i, F.when(v.isNotNull(), value_class(v)).otherwise("null").alias("class"),
+                          F.when(i.isin(counted), v).alias("value"), F.when(i.isin(measured), money(v)).alias("number"))
+             .groupBy("i", "class", "value").agg(F.count(F.lit(1)).alias("n"), F.count("number").alias("numbers"),
+                                                 F.sum("number").alias("total"), F.min("number").alias("low"),
+                                                 F.max("number").alias("high")))
+
+    def state(kind: str, value: Column, column: bool = True, n: str = "n", number: bool = False):
+        return F.struct(F.lit(kind).alias("kind"), F.when(F.lit(column), F.col("column_name")).alias("column_name"),
+                        value.cast("string").alias("value"), F.col(n).alias("n"),
+                        *[F.when(F.lit(number), F.col(c)).alias(c) for c in ("total", "low", "high")])
+
+    none = F.lit(None)
+    column_name = F.element_at(F.array(*[F.lit(c) for c in names]), i + 1)
+    states = F.array(F.when(i == 0, state("rows", none, column=False)), state("types", F.col("class")),
+                     F.when(i.isin(measured), state("ranges", none, n="numbers", number=True)),
+                     F.when(i.isin(counted), state("values", F.col("value"))))
+    small = _merged(cells.withColumn("column_name", column_name)
+                    .select(F.inline(F.filter(states, lambda s: s.isNotNull()))))
+    # every text under its column's name and length, so no two rows read alike; nulls leave nothing, so they
+    # differ from empty text. Grouped on their own, since they are as many as the rows: the hash table of
+    # the other states stays small
+    named = [F.coalesce(F.concat(F.lit(f"{len(c)}:{c}="), F.octet_length(t).cast("string"), F.lit(":"), t), F.lit(""))
+             for c, t in texts.items()]
+    digest = F.sha2(F.concat(*named), 256)
+    missing = F.lit(None).cast("double")
+    digests = (df.groupBy(digest.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+               .select(F.lit("digests").alias("kind"), F.lit(None).cast("string").alias("column_name"), "value", "n",
+                       *[missing.alias(c) for c in ("total", "low", "high")]))
+    return small.unionByName(digests)
 
 
 def report_from_states(states: DataFrame, columns: Iterable[str],
@@ -124,7 +142,7 @@ def stored_states(store: Snapshots, files: Mapping[str, DataFrame], keys: Mappin
         raise ValueError("no files to profile")
     lists = [list(categorical), list(numeric)]
     tables = {f: store.write(profile_states(df, *lists), "PROFILE", f"{name}-{f}",
-                             key=digest_of("profile", name, lists, df.columns, keys[f]))
+                             key=digest_of("profile 2", name, lists, df.columns, keys[f]))
               for f, df in files.items()}
     spark = next(iter(files.values())).sparkSession
     return spark.read.parquet(*[t.path for t in tables.values()]), tables

@@ -60,3 +60,10 @@ def test_only_a_new_file_is_scanned(spark, scratch):
 def test_coverage_needs_the_values_of_its_key(spark):
     with pytest.raises(ValueError, match="city"):
         report_from_states(profile_states(frame(spark, ROWS), ()), COLS, categorical=(), dim=city_dimension(spark))
+
+
+def test_states_classify_cells_after_the_unpivot(spark):
+    """The plan has the patterns once, however many columns there are, and digests are grouped apart."""
+    got = profile_states(frame(spark, ROWS))
+    plan = got._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().startswith("Union") and 0 < plan.toString().count("RLIKE") < len(COLS)
