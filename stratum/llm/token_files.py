@@ -15,20 +15,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.bpe import PLAIN_END, character_classes
+from stratum.llm.bpe import PLAIN_END, Recent, byte_characters, character_classes
 from stratum.llm.common import per_worker, shared_folder, table, text_or_empty
 
 #: ids in a block; blocks of a file are coded side by side
 BLOCK = 8192
-#: a file is closed once it holds so many ids (it holds whole documents)
+#: a file of a partition is closed at so many ids once as many more are there; the last one takes up to twice as many
 FILE_IDS = 6 << 20
 END_ID = 0
-MAGIC, VERSION = b"TIDS", 1
+MAGIC, VERSION = b"TIDS", 2
+#: version, six counts, length and crc32 of the head
+HEAD = "<HQQQQQQQI"
 
 # ---------------------------------------------------------------- ids of texts
 
-#: pieces kept by one worker; the cache starts anew beyond that
-CACHE = 200_000
+#: bytes of runs and pieces that one worker keeps in each of two generations
+ROOM = 40 << 20
 
 
 class ByteBpe:
@@ -53,148 +55,187 @@ class ByteBpe:
         self.foreign = re.compile(rf"[^\x00-{chr(PLAIN_END)}]").search
         # white space beside a blank, or a blank at the end: its cut depends on what follows
         self.blanks = re.compile(r"[\t-\r\x85\xa0] | [\t-\r \x85\xa0]| $").search
-        self.cache: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.byte = dict(enumerate(byte_characters()))
+        self.kept = Recent(ROOM)
 
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _piece(self, piece: str) -> bytes:
+        """A piece is cut already, so it goes to the library's merges alone, as the characters of its bytes."""
+        found = self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(self.byte))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
     def _run(self, run: str) -> bytes:
         """Ids of the pieces of a run of text."""
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
+        kept = self.kept
         out = []
         for piece in self.pieces(run):
-            ids = cache.get(piece)
+            ids = kept.get(piece)
             if ids is None:
-                ids = cache[piece] = self._whole(piece)
+                ids = self._piece(piece)
+                kept.put(piece, ids)
             out.append(ids)
         return b"".join(out)
 
+    def _kept_run(self, run: str) -> bytes:
+        ids = self.kept.get(run)
+        if ids is None:
+            pieces = self.pieces(run)
+            ids = self._piece(run) if len(pieces) == 1 else self._run(run)
+            self.kept.put(run, ids)
+        return ids
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if self.foreign(text) or any(s in text for s in self.special):
             return self._whole(text)
-        if self.blanks(text):
+        if self.blanks(text) or "\0" in text:
             return self._run(text)
         # between single blanks the pieces of a run don't depend on what is around it
-        cache = self.cache
-        first, *rest = text.split(" ")
-        out = [self._run(first)]
-        for run in rest:
-            run = " " + run
-            ids = cache.get(run)
-            if ids is None:
-                ids = cache[run] = self._run(run)
-            out.append(ids)
-        return b"".join(out)
+        make, kept = self._kept_run, self.kept
+        # the young ones first, without a call; the dictionary may change with every miss
+        return b"".join([kept.young.get(run) or make(run) for run in text.replace(" ", "\0 ").split("\0") if run])
 
 
 # ---------------------------------------------------------------- the coder
 
-_TOP, _MASK = np.uint64(32), np.uint64((1 << 48) - 1)
-_S16, _U16 = np.uint64(16), np.uint64(0xFFFF)
+#: ids of a block between two adaptations of weights and rates, after the shorter first ones
+GROUP, FIRST = 128, (8, 16, 32, 64)
+#: ids of a block that share an order-0 table, and the most tables of a file
+SEGMENT, TABLES = 32, 8
+#: shares of an order-0 table add up to two to this power
+SHARES = 18
+ONE = 65536
+_OUT, _U32 = np.uint64(1 << 32), np.uint64(32)
+_S16, _SHARES, _LAST, _NONE = np.uint64(16), np.uint64(SHARES), np.uint64((1 << SHARES) - 1), np.uint64(0)
+
+
+class Order0:
+    """Order-0 tables of one file: for each table the share of every rank (place in the file's vocabulary)."""
+
+    def __init__(self, sizes: np.ndarray):
+        self.ranks = sizes.shape[1]
+        self.size = sizes.astype(np.uint64).ravel()
+        self.start = (np.cumsum(sizes, 1, dtype=np.uint64) - sizes.astype(np.uint64)).ravel()
+        self.rank = np.concatenate([np.repeat(np.arange(self.ranks, dtype=np.uint16), x) for x in sizes])
+
+
+def learn_order0(ranks: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shares by table and rank, table of each segment): tables are learned in rounds, every segment
+    going to the table that codes it shortest. The rounds see at most some 16,384 segments spread over
+    the file; then all segments choose, and the shares are counted over all.
+    ``often``: how often each rank comes."""
+    n, n_ranks = len(ranks), len(often)
+    tables = min(TABLES, 1 + (n >> 17))
+    segments = np.concatenate((ranks, np.repeat(ranks[-1:], -n % SEGMENT))).reshape(-1, SEGMENT)
+    m = len(segments)
+    whole = often / n
+
+    def choose(some, counts):
+        # of each table a little goes to the file's own shares, so that nothing is impossible
+        p = counts + (0.02 * counts.sum(1, keepdims=True) + 1) * whole
+        cost = -np.log2(p / p.sum(1, keepdims=True)).astype(np.float32)
+        return np.stack([c.take(some).sum(1) for c in cost]).argmin(0)
+
+    def count(some, choice):
+        cells = (choice[:, None] * n_ranks + some).ravel()
+        return np.bincount(cells, minlength=tables * n_ranks).reshape(tables, n_ranks).astype(np.float64)
+
+    some = segments[::max(1, m >> 14)]
+    learned = np.stack([np.bincount(segments[i * m // tables:][:8].ravel(), minlength=n_ranks)
+                        for i in range(tables)]).astype(np.float64)
+    for _ in range(6 if tables > 1 else 0):
+        learned = count(some, choose(some, learned))
+    counts, chosen = np.tile(0.001 * whole * n / tables, (tables, 1)), []
+    for i in range(0, m, 8192):
+        some = segments[i:i + 8192]
+        chosen.append(choose(some, learned))
+        counts += count(some, chosen[-1])
+    choice = np.concatenate(chosen)
+    sizes = 1 + np.floor(counts * ((1 << SHARES) - n_ranks) / counts.sum(1, keepdims=True)).astype(np.int64)
+    # what rounding left over goes to, or is taken from, the most frequent rank
+    sizes[np.arange(tables), sizes.argmax(1)] += (1 << SHARES) - sizes.sum(1)
+    return sizes, choice
 
 
 class Encoder:
-    """A range coder per lane (48-bit low, 16-bit words out), all lanes side by side."""
+    """A range coder per lane (64-bit low, 32-bit words out), all lanes side by side."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, longest: int):
+        # an id takes at most one word
+        self.room = longest + 2
+        self.words = np.zeros(lanes * self.room, np.uint32)
+        self.at = np.arange(lanes) * self.room
         self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, (1 << 48) - 1, np.uint64)
-        self.words = np.zeros((lanes, 64), np.uint16)
-        self.used = np.zeros(lanes, np.int64)
-
-    def _put(self, at, start, size, total) -> None:
-        r = self.range[at] // total
-        low = self.low[at] + r * start
-        r = r * size
-        over = np.flatnonzero(low >> np.uint64(48))
-        if len(over):
-            lanes = at[over]
-            back = self.used[lanes] - 1
-            while len(lanes):  # a carry runs back over words of all ones
-                self.words[lanes, back] += np.uint16(1)
-                on = self.words[lanes, back] == 0
-                lanes, back = lanes[on], back[on] - 1
-            low &= _MASK
-        out = np.flatnonzero(r < np.uint64(1 << 32))
-        if len(out):
-            lanes = at[out]
-            pos = self.used[lanes]
-            if pos.max() + 8 >= self.words.shape[1]:
-                self.words = np.concatenate((self.words, np.zeros_like(self.words)), 1)
-            self.words[lanes, pos] = (low[out] >> _TOP).astype(np.uint16)
-            self.used[lanes] = pos + 1
-            low[out] = (low[out] << _S16) & _MASK
-            r[out] <<= _S16
-        self.low[at] = low
-        self.range[at] = r
-
-    def bit(self, at, p, bit):
-        """Code a bit per lane of ``at``; p: chance of 1 in 65536ths."""
-        p = p.astype(np.uint64)
-        one = np.uint64(65536)
-        self._put(at, np.where(bit, np.uint64(0), p), np.where(bit, p, one - p), one)
-        return bit
-
-    def symbol(self, at, counts, symbol):
-        """Code one of the columns of ``counts`` per lane, by its share."""
-        line = np.arange(len(at))
-        ends = np.cumsum(counts, 1, dtype=np.uint64)
-        size = counts[line, symbol].astype(np.uint64)
-        self._put(at, ends[line, symbol] - size, size, ends[:, -1])
-        return symbol
+        self.range = np.full(lanes, (1 << 64) - 1, np.uint64)
+
+    def _add(self, low, at, add) -> np.ndarray:
+        new = low + add
+        lanes = (new < low).nonzero()[0]
+        if len(lanes):
+            back = at[lanes] - 1
+            while len(back):  # a carry runs back over words of all ones
+                self.words[back] += np.uint32(1)
+                back = back[self.words[back] == 0] - 1
+        return new
+
+    def step(self, n, order0, table, a, b, c2, c1, x):
+        """Code an id per lane: order 2's guess up to ``a`` 65536ths, order 1's up to ``b``, then order 0's shares."""
+        all_, at = self.range[:n], self.at[:n]
+        second = x == c2
+        literal = ~(second | (x == c1))
+        r = all_ >> _S16
+        ra, rb = r * a, r * b
+        rl = (all_ - rb) >> _SHARES
+        cell = table * order0.ranks + x
+        low = self._add(self.low[:n], at, np.where(literal, rb + rl * order0.start.take(cell), np.where(second, _NONE, ra)))
+        r = np.where(literal, rl * order0.size.take(cell), np.where(second, ra, rb - ra))
+        out = r < _OUT
+        # the next word is put down in every lane and stays where one is out; elsewhere it is written again
+        self.words[at] = low >> _U32
+        at += out
+        shift = out * _U32
+        self.low[:n] = low << shift
+        self.range[:n] = r << shift
+        return x, second, literal
 
     def finish(self) -> list[bytes]:
-        at = np.arange(len(self.low))
-        for _ in range(3):
-            self.range[:] = 1
-            self._put(at, np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64), np.uint64(1))
-        return [self.words[i, :n].astype("<u2").tobytes() for i, n in enumerate(self.used.tolist())]
+        # the range is 2**32 or more, so one word names a number in it
+        low = self._add(self.low, self.at, np.uint64((1 << 32) - 1))
+        self.words[self.at] = low >> _U32
+        return [self.words[i * self.room:at + 1].astype("<u4").tobytes() for i, at in enumerate(self.at.tolist())]
 
 
 class Decoder:
     """The reverse of ``Encoder``, over the lanes' words."""
 
     def __init__(self, payloads: list[bytes]):
-        n = max(map(len, payloads), default=0) // 2 + 8
-        self.words = np.zeros((len(payloads), n), np.uint64)
-        for i, p in enumerate(payloads):
-            self.words[i, :len(p) // 2] = np.frombuffer(p, "<u2")
-        self.code = (self.words[:, 0] << np.uint64(32)) | (self.words[:, 1] << _S16) | self.words[:, 2]
-        self.used = np.full(len(payloads), 3)
-        self.range = np.full(len(payloads), (1 << 48) - 1, np.uint64)
-
-    def _take(self, at, r, start, size) -> None:
-        code = self.code[at] - r * start
-        r = r * size
-        out = np.flatnonzero(r < np.uint64(1 << 32))
-        if len(out):
-            lanes = at[out]
-            code[out] = (code[out] << _S16) | self.words[lanes, self.used[lanes]]
-            self.used[lanes] += 1
-            r[out] <<= _S16
-        self.code[at] = code
-        self.range[at] = r
-
-    def bit(self, at, p, _):
-        p = p.astype(np.uint64)
-        one = np.uint64(65536)
-        r = self.range[at] // one
-        bit = self.code[at] // r < p
-        self._take(at, r, np.where(bit, np.uint64(0), p), np.where(bit, p, one - p))
-        return bit
-
-    def symbol(self, at, counts, _):
-        line = np.arange(len(at))
-        ends = np.cumsum(counts, 1, dtype=np.uint64)
-        r = self.range[at] // ends[:, -1]
-        symbol = (ends <= (self.code[at] // r)[:, None]).sum(1)
-        size = counts[line, symbol].astype(np.uint64)
-        self._take(at, r, ends[line, symbol] - size, size)
-        return symbol
+        sizes = np.array([len(p) // 4 + 3 for p in payloads], np.int64)
+        self.words = np.frombuffer(b"".join([p + bytes(12) for p in payloads]), "<u4").astype(np.uint32)
+        self.at = np.cumsum(sizes) - sizes + 2
+        self.code = (self.words[self.at - 2].astype(np.uint64) << _U32) | self.words[self.at - 1]
+        self.range = np.full(len(payloads), (1 << 64) - 1, np.uint64)
+
+    def step(self, n, order0, table, a, b, c2, c1, _):
+        all_, code, at = self.range[:n], self.code[:n], self.at[:n]
+        r = all_ >> _S16
+        ra, rb = r * a, r * b
+        rl = (all_ - rb) >> _SHARES
+        second, literal = code < ra, code >= rb
+        share = np.minimum((code - rb) // rl, _LAST).view(np.int64)
+        rank = order0.rank.take((table << SHARES) + share)
+        cell = table * order0.ranks + rank
+        code = code - np.where(literal, rb + rl * order0.start.take(cell), np.where(second, _NONE, ra))
+        r = np.where(literal, rl * order0.size.take(cell), np.where(second, ra, rb - ra))
+        out = r < _OUT
+        shift = out * _U32
+        self.code[:n] = (code << shift) | self.words.take(at) * out
+        at += out
+        self.range[:n] = r << shift
+        return np.where(literal, rank, np.where(second, c2, c1)), second, literal
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -206,149 +247,204 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 STRETCH, SQUASH = _tables()
-ORDER1, ORDER2 = 11, 12  # bits of the prediction tables
-LEVELS = 16
+ORDER = 12  # bits of a prediction table
+LEVELS = 8
+_ID, _LEVEL, _UP = np.int32(0xFFFF), np.int32(16), np.int32(1 << 16)
+_HASH = np.int64(0x2F0B4C47)
+
+
+class _Rates:
+    """How often a guess was right, per lane and cell, older groups of ids counting less and less."""
+
+    def __init__(self, lanes: int, cells: int):
+        self.trials, self.hits = np.zeros((lanes, cells), np.int64), np.zeros((lanes, cells), np.int64)
+
+    def add(self, trials, hits) -> None:
+        # counts are kept in 16ths
+        self.trials += (trials << 4) - (self.trials >> 5)
+        self.hits += (hits << 4) - (self.hits >> 5)
+
+    def stretched(self) -> np.ndarray:
+        return STRETCH[(4096 * (self.hits + 2) // (self.trials + 8)).clip(0, 4095)]
 
 
 class _Mixer:
-    """Chance that a predicted id is right, mixed from the chances the orders give (per lane, whole numbers)."""
+    """Chances (4096ths) per lane and cell, mixed from the chances that several orders give (whole numbers)."""
 
     def __init__(self, lanes: int, inputs: int):
-        self.weights = np.full((lanes, inputs), 24000, np.int64)
+        self.weights = np.full((lanes, inputs), 30000, np.int64)
 
-    def mix(self, at, chances):
-        self.inputs = STRETCH[chances >> 4]
-        dot = (self.weights[at] * self.inputs).sum(1) >> 16
+    def mix(self, *inputs) -> np.ndarray:
+        """Each input: stretched chances, broadcast to (lane, cells)."""
+        self.inputs = inputs
+        shape = (-1,) + (1,) * (inputs[0].ndim - 1)
+        dot = sum(w.reshape(shape) * x for w, x in zip(self.weights.T, inputs)) >> 16
         self.chance = SQUASH[dot.clip(-2047, 2047) + 2047]
-        return self.chance << 4
+        return self.chance
 
-    def learn(self, at, bit):
-        miss = (bit.astype(np.int64) << 12) - self.chance
-        self.weights[at] += (self.inputs * (miss * 6)[:, None] + 512) >> 10
+    def learn(self, trials, hits) -> None:
+        miss = (hits << 12) - trials * self.chance
+        axes = tuple(range(1, miss.ndim))
+        for i, x in enumerate(self.inputs):
+            self.weights[:, i] += (miss * x).sum(axes) >> 12
+        self.weights.clip(-ONE, 2 * ONE, self.weights)
 
 
-def code(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Run the model over blocks of ids, one lane each, and have ``coder`` code every decision.
+class _Model:
+    """Chances that the orders' guesses are right; they follow what came, a group of ids at a time."""
 
-    ``ids`` (lane, place) when encoding, None when decoding; returns the ids. Every block
-    begins with a fresh model. Per id: orders 2 and 1 each keep, under a hash of the ids before,
-    the id that followed last and how often it was right since. First it is coded whether
-    order 2's id comes, its chance mixed from the learned reliability of both orders and the
-    order-0 rate of such hits; if not, whether order 1's id comes; if not, the id goes in four
-    hexadecimal digits by adaptive order-0 counts.
+    def __init__(self, lanes: int):
+        self.lanes = lanes
+        self.r2, self.r1, self.r0 = _Rates(lanes, LEVELS), _Rates(lanes, 2 * LEVELS), _Rates(lanes, 1)
+        self.q1, self.q0 = _Rates(lanes, LEVELS), _Rates(lanes, 1)
+        self.first, self.second = _Mixer(lanes, 3), _Mixer(lanes, 2)
+        self.ends()
+
+    def ends(self) -> None:
+        """Where the guesses' shares end, in 65536ths, by lane, order 2's level, agreement and order 1's level."""
+        p = self.first.mix(self.r2.stretched()[:, :, None], self.r1.stretched()[:, None, :],
+                           self.r0.stretched()[:, :, None])
+        q = self.second.mix(self.q1.stretched(), self.q0.stretched())
+        a = np.minimum(p << 4, ONE - 128)
+        b = a.copy()
+        apart = a[:, :, :LEVELS]
+        b[:, :, :LEVELS] = np.clip(apart + ((ONE - apart) * q[:, None, :] >> 12), apart + 16, ONE - 64)
+        self.a, self.b = a.ravel().view(np.uint64), b.ravel().view(np.uint64)
+
+    def learn(self, cells, second, literal) -> None:
+        """A group of ids: their cells (of ``ends``), and which were order 2's guess and which no guess."""
+        size = self.lanes * LEVELS * 2 * LEVELS
+        kinds = np.where(second, 0, size) + literal * size
+        n2, n1, n0 = np.bincount(kinds + cells, minlength=3 * size).reshape(3, self.lanes, LEVELS, 2 * LEVELS)
+        trials = n2 + n1 + n0
+        self.first.learn(trials, n2)
+        t, h = trials.sum(1), n2.sum(1)
+        self.r2.add(trials.sum(2), n2.sum(2))
+        self.r1.add(t, h)
+        self.r0.add(t.sum(1, keepdims=True), h.sum(1, keepdims=True))
+        # order 1 is asked where order 2 was wrong and guessed otherwise
+        h = n1[:, :, :LEVELS].sum(1)
+        t = h + n0[:, :, :LEVELS].sum(1)
+        self.second.learn(t, h)
+        self.q1.add(t, h)
+        self.q0.add(t.sum(1, keepdims=True), h.sum(1, keepdims=True))
+        self.ends()
+
+
+def code(coder, lengths: np.ndarray, order0: Order0, choice: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    """Run the model over blocks of ids (ranks in the file's vocabulary), one lane each, and have ``coder`` code them.
+
+    ``ids`` (place, lane) when encoding, None when decoding; returns the ids. ``lengths`` don't
+    grow from lane to lane; ``choice`` (segment, lane) names the order-0 tables. Every block begins
+    with a fresh model. Per id: orders 2 and 1 each keep, under a hash of the ids before, the id
+    that followed last and how often it was right since; these follow every id. The id is order
+    2's, with a chance mixed from the reliability of both orders and the rate of such hits, or
+    order 1's, mixed likewise, or goes by the order-0 table of its segment. Reliabilities, rates
+    and weights of the mix follow once a group of ids.
     """
     lanes = len(lengths)
     longest = int(lengths.max(initial=0))
-    out = np.zeros((lanes, longest), np.int64) if ids is None else ids
-    t1, t2 = np.zeros((lanes, 1 << ORDER1), np.uint16), np.zeros((lanes, 1 << ORDER2), np.uint16)
-    k1, k2 = np.zeros((lanes, 1 << ORDER1), np.uint8), np.zeros((lanes, 1 << ORDER2), np.uint8)
-    # reliability per level of order 2, of order 1 beside it (agreeing or not), and of all hits
-    r2 = np.full((lanes, LEVELS), 16384, np.int64)
-    r1 = np.full((lanes, 2 * LEVELS), 16384, np.int64)
-    r0 = np.full((lanes, 1), 16384, np.int64)
-    q1 = np.full((lanes, LEVELS), 16384, np.int64)
-    q0 = np.full((lanes, 1), 16384, np.int64)
-    first, second = _Mixer(lanes, 3), _Mixer(lanes, 2)
-    digits = [np.ones((lanes, 16 ** i, 16), np.uint16) for i in range(4)]
-    prev1, prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    zero = np.zeros(lanes, np.int64)
-
-    def toward(rates, at, cell, bit):
-        rates[at, cell] += ((bit.astype(np.int64) << 16) - rates[at, cell]) >> 5
-
+    out = np.zeros((longest, lanes), np.uint16) if ids is None else ids
+    ends = {*FIRST, *range(GROUP, longest, GROUP)}
+    model = _Model(lanes)
+    lane = np.arange(lanes)
+    at_cell = lane * (LEVELS * 2 * LEVELS)
+    # per order and lane a table of entries: an id and, above it, its level
+    entries = np.zeros((2 * lanes) << ORDER, np.int32)
+    first = np.stack((lane, lanes + lane)) << ORDER
+    mask, top, level = (1 << ORDER) - 1, np.int32((LEVELS - 1) << 16), np.int32(LEVELS)
+    hashes = np.zeros((2, lanes), np.int64)
+    cells, seconds, literals = [], [], []
+    n = lanes
     for t in range(longest):
-        at = np.flatnonzero(lengths > t)
-        h1 = (prev1[at] * 40503 >> 3) & ((1 << ORDER1) - 1)
-        h2 = ((prev1[at] * 0x2F0B4C47 + prev2[at] * 0x6C8E9CF5) >> 9) & ((1 << ORDER2) - 1)
-        c1, c2 = t1[at, h1].astype(np.int64), t2[at, h2].astype(np.int64)
-        l1, l2 = k1[at, h1].astype(np.int64), k2[at, h2].astype(np.int64)
-        x = None if ids is None else ids[at, t]
-        side = l1 + LEVELS * (c1 == c2)
-        p = first.mix(at, np.stack((r2[at, l2], r1[at, side], r0[at, 0]), 1))
-        hit = coder.bit(at, p, None if x is None else x == c2)
-        first.learn(at, hit)
-        toward(r2, at, l2, hit)
-        toward(r1, at, side, hit)
-        toward(r0, at, 0, hit)
-        got = np.where(hit, c2, 0)
-        rest = np.flatnonzero(~hit)
-        ask = rest[c1[rest] != c2[rest]]
-        if len(ask):
-            lane = at[ask]
-            p = second.mix(lane, np.stack((q1[lane, l1[ask]], q0[lane, 0]), 1))
-            hit1 = coder.bit(lane, p, None if x is None else x[ask] == c1[ask])
-            second.learn(lane, hit1)
-            toward(q1, lane, l1[ask], hit1)
-            toward(q0, lane, 0, hit1)
-            got[ask] = np.where(hit1, c1[ask], 0)
-            done = np.zeros(len(at), dtype=bool)
-            done[ask[hit1]] = True
-            rest = rest[~done[rest]]
-        if len(rest):
-            lane = at[rest]
-            node = zero[:len(rest)]
-            for i, counts in enumerate(digits):
-                here = counts[lane, node]
-                digit = coder.symbol(lane, here, None if x is None else (x[rest] >> (12 - 4 * i)) & 15)
-                here[np.arange(len(rest)), digit] += np.uint16(32)
-                big = here.sum(1, dtype=np.int64) > 8192
-                if big.any():
-                    here[big] = (here[big] + np.uint16(1)) >> np.uint16(1)
-                counts[lane, node] = here
-                node = node * 16 + digit
-            got[rest] = node
+        if t >= lengths[n - 1]:
+            n = int((lengths > t).sum())
+            at_cell, first, hashes = at_cell[:n], first[:, :n], hashes[:, :n].copy()
+        if t in ends:
+            model.learn(np.concatenate(cells), np.concatenate(seconds), np.concatenate(literals))
+            cells, seconds, literals = [], [], []
+        if t % SEGMENT == 0:
+            chosen = choice[t // SEGMENT]
+        h = (hashes >> 9 & mask) + first
+        e = entries.take(h)
+        c, l = e & _ID, e >> _LEVEL
+        c1, c2 = c
+        cell = l[1] * (2 * level) + l[0] + (c1 == c2) * level + at_cell
+        got, second, literal = coder.step(n, order0, chosen[:n], model.a.take(cell), model.b.take(cell), c2, c1,
+                                          None if ids is None else ids[t, :n])
         if ids is None:
-            out[at, t] = got
-        for table_, level, h, c, l in ((t1, k1, h1, c1, l1), (t2, k2, h2, c2, l2)):
-            right = got == c
-            table_[at, h] = np.where(right | (l > 1), c, got)
-            level[at, h] = np.where(right, np.minimum(l + 1, LEVELS - 1), l >> 1)
-        prev2[at] = prev1[at]
-        prev1[at] = got
+            out[t, :n] = got
+        cells.append(cell)
+        seconds.append(second)
+        literals.append(literal)
+        # right: a level up; wrong: half the level, and below two another id
+        entries[h] = np.where(got == c, np.minimum(e + _UP, top | c),
+                              np.where(l > 1, c | (l >> 1) << _LEVEL, got))
+        own = got * _HASH
+        hashes[1] = hashes[0] * 5 + own
+        hashes[0] = own
     return out
 
 
 # ---------------------------------------------------------------- the file
 
+def _by_place(flat: np.ndarray, blocks: int, width: int) -> np.ndarray:
+    """(place, block) of values that follow one another block by block, ``width`` to a block; the last is filled with 0."""
+    square = np.zeros(blocks * width, flat.dtype)
+    square[:len(flat)] = flat
+    return np.ascontiguousarray(square.reshape(blocks, width).T)
+
+
 def write_file(docs: list[tuple[int | None, bytes]]) -> tuple[int, bytes]:
     """(number of ids, file) for (doc_id, ids as little-endian 32-bit) in order.
 
-    Layout, little-endian: MAGIC, version, counts of documents, ids and blocks, length and
-    crc32 of the head; the head (zstd): doc_ids, which of them are null, ids per document, and
-    per block its number of ids, bytes, crc32 of the ids and of the bytes; then the blocks.
+    Layout, little-endian: MAGIC, version, counts of documents, ids, blocks, ids of a block,
+    distinct ids and order-0 tables, length and crc32 of the head; the head (zstd): doc_ids, which
+    of them are null, ids per document, per block its number of ids, bytes, crc32 of the ids and of
+    the bytes, the distinct ids, the tables' shares and the table of each segment; then the blocks.
     """
     flat = np.frombuffer(b"".join(d[1] for d in docs), "<u4")
     if len(flat) and int(flat.max()) > 0xFFFF:
-        raise ValueError("ids above 65535 don't fit the coder's four digits")
+        raise ValueError("ids above 65535 don't fit the coder's ranks")
     blocks = -(-len(flat) // BLOCK)
     lengths = np.full(blocks, BLOCK)
     payloads: list[bytes] = []
+    vocabulary, sizes, choice = np.zeros(0, "<u2"), np.zeros((0, 0), "<u4"), np.zeros(0, "u1")
     if blocks:
         lengths[-1] = len(flat) - BLOCK * (blocks - 1)
-        square = np.zeros(blocks * BLOCK, np.int64)
-        square[:len(flat)] = flat
-        coder = Encoder(blocks)
-        code(coder, lengths, square.reshape(blocks, BLOCK)[:, :lengths.max()])
+        # in parts: ids are widened to 64 bits to count and look up
+        parts = [flat[i:i + (1 << 20)] for i in range(0, len(flat), 1 << 20)]
+        often = sum(np.bincount(x, minlength=1 << 16) for x in parts)
+        vocabulary = np.flatnonzero(often).astype("<u2")
+        rank = (np.cumsum(often > 0) - 1).astype(np.uint16)
+        ranks = np.concatenate([rank.take(x) for x in parts])
+        sizes, choice = learn_order0(ranks, often[vocabulary])
+        coder = Encoder(blocks, int(lengths.max()))
+        code(coder, lengths, Order0(sizes), _by_place(choice, blocks, BLOCK // SEGMENT),
+             _by_place(ranks, blocks, BLOCK)[:lengths.max()])
         payloads = coder.finish()
     sums = [zlib.crc32(flat[i * BLOCK:(i + 1) * BLOCK].tobytes()) for i in range(blocks)]
     head = b"".join((
         np.array([d[0] or 0 for d in docs], "<i8").tobytes(), bytes(d[0] is None for d in docs),
         np.array([len(d[1]) // 4 for d in docs], "<u8").tobytes(),
         lengths.astype("<u4").tobytes(), np.array([len(p) for p in payloads], "<u4").tobytes(),
-        np.array(sums, "<u4").tobytes(), np.array([zlib.crc32(p) for p in payloads], "<u4").tobytes()))
+        np.array(sums, "<u4").tobytes(), np.array([zlib.crc32(p) for p in payloads], "<u4").tobytes(),
+        vocabulary.tobytes(), sizes.astype("<u4").tobytes(), choice.astype("u1").tobytes()))
     packed = zstandard.ZstdCompressor(level=3).compress(head)
-    return len(flat), (MAGIC + struct.pack("<HQQQQI", VERSION, len(docs), len(flat), blocks, len(packed),
-                                           zlib.crc32(packed)) + packed + b"".join(payloads))
+    counts = len(docs), len(flat), blocks, BLOCK, len(vocabulary), len(sizes)
+    return len(flat), (MAGIC + struct.pack(HEAD, VERSION, *counts, len(packed), zlib.crc32(packed))
+                       + packed + b"".join(payloads))
 
 
 def read_file(raw: bytes) -> list[tuple[int | None, np.ndarray]]:
     """The documents of ``write_file``, every checksum verified; a damaged file raises ValueError."""
     if raw[:4] != MAGIC:
         raise ValueError("not a token-id file")
-    version, n_docs, n_ids, blocks, size, check = struct.unpack_from("<HQQQQI", raw, 4)
+    version, = struct.unpack_from("<H", raw, 4)
     if version != VERSION:
         raise ValueError(f"unknown version {version}")
-    at = 4 + struct.calcsize("<HQQQQI")
+    _, n_docs, n_ids, blocks, width, n_ranks, tables, size, check = struct.unpack_from(HEAD, raw, 4)
+    at = 4 + struct.calcsize(HEAD)
     packed = raw[at:at + size]
     if zlib.crc32(packed) != check:
         raise ValueError("damaged head")
@@ -364,6 +460,8 @@ def read_file(raw: bytes) -> list[tuple[int | None, np.ndarray]]:
 
     doc_ids, null, counts = column("<i8", n_docs), column("u1", n_docs), column("<u8", n_docs)
     lengths, sizes, sums, checks = (column("<u4", blocks) for _ in range(4))
+    vocabulary, shares = column("<u2", n_ranks), column("<u4", tables * n_ranks)
+    choice = column("u1", -(-n_ids // SEGMENT))
     ends = at + np.cumsum(sizes, dtype=np.int64)
     payloads = [raw[e - s:e] for s, e in zip(sizes.tolist(), ends.tolist())]
     for i, (p, c) in enumerate(zip(payloads, checks.tolist())):
@@ -371,10 +469,12 @@ def read_file(raw: bytes) -> list[tuple[int | None, np.ndarray]]:
             raise ValueError(f"damaged block {i}")
     ids = np.zeros(0, "<u4")
     if blocks:
-        found = code(Decoder(payloads), lengths.astype(np.int64), None).astype("<u4")
-        ids = np.concatenate([found[i, :n] for i, n in enumerate(lengths.tolist())])
-        for i, c in enumerate(sums.tolist()):
-            if zlib.crc32(ids[i * BLOCK:i * BLOCK + int(lengths[i])].tobytes()) != c:
+        ranks = code(Decoder(payloads), lengths.astype(np.int64), Order0(shares.reshape(tables, n_ranks)),
+                     _by_place(choice.astype(np.int64), blocks, width // SEGMENT), None)
+        ranks, known = np.ascontiguousarray(ranks.T), vocabulary.astype("<u4")
+        ids = np.concatenate([known.take(ranks[i, :n]) for i, n in enumerate(lengths.tolist())])
+        for i, (e, n, c) in enumerate(zip(np.cumsum(lengths, dtype=np.int64).tolist(), lengths.tolist(), sums.tolist())):
+            if zlib.crc32(ids[e - n:e].tobytes()) != c:
                 raise ValueError(f"block {i} decodes to other ids")
     if len(ids) != n_ids:
         raise ValueError("ids are missing")
@@ -388,7 +488,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary_path: str, text:
     """Write the ids of all documents, in ascending doc_id order, to files in ``folder``.
 
     Returns (part, number, n_ids, file), read back: each row is one file of whole documents of
-    about FILE_IDS ids; files follow one another by part and number. Documents are ranged by
+    FILE_IDS to twice as many ids (a partition's only file may hold fewer, whole
+    documents may make it more); files follow one another by part and number. Documents are ranged by
     doc_id and, among equal ones, by a hash of the text, so that a repeated doc_id spreads;
     null doc_ids come first. Null and empty texts hold only the end id.
     """
@@ -402,8 +503,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary_path: str, text:
         part = TaskContext.get().partitionId()
         held, size, number = [], 0, 0
 
-        def row():
-            n, raw = write_file(held)
+        def row(docs):
+            n, raw = write_file(docs)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([n], pa.int64()),
                  pa.array([raw], pa.binary())], names=["part", "number", "n_ids", "file"])
@@ -413,11 +514,13 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary_path: str, text:
                 ids = bpe.encode(b.column(1)[i].as_py()) + tail
                 held.append((b.column(0)[i].as_py(), ids))
                 size += len(ids) // 4
-                if size >= FILE_IDS:
-                    yield row()
-                    held, size, number = [], 0, number + 1
+                if size >= 2 * FILE_IDS:
+                    counts = np.cumsum([len(d[1]) // 4 for d in held])
+                    cut = int(np.searchsorted(counts, FILE_IDS)) + 1
+                    yield row(held[:cut])
+                    held, size, number = held[cut:], size - int(counts[cut - 1]), number + 1
         if held:
-            yield row()
+            yield row(held)
 
     ranged.mapInArrow(run, "part int, number int, n_ids long, file binary").write.parquet(folder)
     return docs.sparkSession.read.schema("part int, number int, n_ids long, file binary").parquet(folder)

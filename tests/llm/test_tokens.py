@@ -100,6 +100,44 @@ def test_repeats_compress():
     assert len(raw) < 2 * 8000 / 8
 
 
+def mixed_languages(n=1_200_000):
+    """Ids of texts of some 150 ids in four languages of 1,000 ids each, by Zipf's law."""
+    r = np.random.default_rng(3)
+    language = np.repeat(r.integers(0, 4, n // 150 + 1), 150)[:n]
+    return (np.minimum(r.zipf(1.2, n), 1000) + 1000 * language).astype("<u4")
+
+
+def test_languages_have_tables_of_their_own():
+    ids = mixed_languages()
+    own = np.bincount(ids % 1000)[np.bincount(ids % 1000) > 0] / len(ids)
+    bits = -(own * np.log2(own)).sum()  # an id's bits if its language were known
+    _, raw = write_file([(1, ids.tobytes())])
+    assert len(raw) * 8 / len(ids) < bits + 1
+    assert read_file(raw)[0][1].tobytes() == ids.tobytes()
+
+
+def test_carries_and_short_last_blocks(monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK", 64)
+    r = np.random.default_rng(5)
+    for n in [1, 63, 64, 65, 6400, 6401, 20_000]:
+        ids = np.where(r.random(n) < 0.97, 7, r.integers(0, 1 << 16, n)).astype("<u4")
+        _, raw = write_file([(1, ids.tobytes())])
+        assert read_file(raw)[0][1].tobytes() == ids.tobytes()
+
+
+def test_no_small_file_at_the_end_of_a_partition(spark, scratch, monkeypatch):
+    # a file's steps are as many for few blocks as for many
+    monkeypatch.setattr(token_files, "FILE_IDS", 100)
+    df = spark.createDataFrame([(i, "the the the") for i in range(40)], "doc_id long, text string").coalesce(1)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        files = write_token_files(df, f"{scratch}/files", BYTES).orderBy("number").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert [f.n_ids for f in files] == [160]
+
+
 def test_token_files(spark, scratch, monkeypatch):
     monkeypatch.setattr(token_files, "FILE_IDS", 300)
     rows = [(i * 13 % 50, t) for i, t in enumerate(texts(40))] + [(None, "null id"), (1, None), (1, "again")]
